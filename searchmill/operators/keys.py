@@ -40,8 +40,8 @@ def stage_ordered(facts: DataFrame, folder: str, unique_keys: bool = False) -> S
 
     The range exchange splits a hot date over as many tasks as it needs. Copies of a row
     could still fill one range, so unless the keys are known to be unique they are spread
-    by a tie breaker. It is taken after a local sort: the same rows then get the same ties
-    when a lost task runs again.
+    by a tie breaker. It counts the rows of a task after a local sort by row hash (one long,
+    a radix sort): copies then get the same ties again when a lost task is repeated.
     """
     spark = facts.sparkSession
     order = [c for c in ROW_ORDER if c in facts.columns]
@@ -49,8 +49,11 @@ def stage_ordered(facts: DataFrame, folder: str, unique_keys: bool = False) -> S
     if not unique_keys:
         order = order + TIE_ORDER
         spread = [*order, "_tie"]
-        facts = facts.sortWithinPartitions(*order).withColumn(
-            "_tie", F.monotonically_increasing_id()
+        facts = (
+            facts.withColumn("_hash", F.xxhash64(*order))
+            .sortWithinPartitions("_hash")
+            .withColumn("_tie", F.monotonically_increasing_id())
+            .drop("_hash")
         )
     (
         facts.repartitionByRange(*spread)

@@ -18,6 +18,10 @@ from searchmill.sources.storage import export_name, require_folder
 
 logger = logging.getLogger(__name__)
 
+# Spark skips files this much older than the newest one seen. Its default of a week would
+# lose an old export that is copied in late, so practically none is skipped.
+MAX_FILE_AGE = "36500d"
+
 FILE_SCHEMA = T.StructType(
     [
         T.StructField("path", T.StringType()),
@@ -52,6 +56,7 @@ def ingest(
         .schema(FILE_SCHEMA)
         .option("pathGlobFilter", PATTERNS["xlsx"])
         .option("maxFilesPerTrigger", files_per_batch)
+        .option("maxFileAge", MAX_FILE_AGE)
     )
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)

@@ -1,0 +1,138 @@
+"""Column rules and reshaping on hand-made rows."""
+
+import datetime as dt
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from searchmill.functions.columns import click_cap, demand_floor, strip_url_params
+from searchmill.operators.quality import clean_facts, repeated_ids, require_dates
+from searchmill.operators.reshape import (
+    has_repeated_rows,
+    keep_positive,
+    pivot_first,
+    rename_ids,
+    split_header,
+    type_facts,
+    unpivot_cells,
+    wide_to_facts,
+)
+from searchmill.schemas import FACT_COLUMNS, require_columns
+
+D5, D6 = dt.date(2026, 6, 5), dt.date(2026, 6, 6)
+FACT_TYPES = "dt date, query string, page_path string, demand int, impressions int, position double, clicks int"
+
+
+def column(spark, values, kind, expression):
+    rows = spark.createDataFrame(values, kind)
+    return [r[0] for r in rows.select(expression).collect()]
+
+
+def test_strip_url_params(spark):
+    urls = ["/a?x=1", "/a", "", "?x", "/a?x?y", "/a#f?x=1", None]
+    got = column(spark, [(u,) for u in urls], "u string", strip_url_params(F.col("u")))
+    assert got == ["/a", "/a", "", "", "/a", "/a#f", None]
+
+
+def test_demand_floor(spark):
+    pairs = [(1, 5), (5, 1), (None, 5), (5, None)]
+    got = column(spark, pairs, "d int, i int", demand_floor(F.col("d"), F.col("i")))
+    assert got == [5, 5, None, 5]
+
+
+def test_click_cap(spark):
+    pairs = [(5, 1), (1, 5), (None, 5), (5, None)]
+    got = column(spark, pairs, "c int, i int", click_cap(F.col("c"), F.col("i")))
+    assert got == [1, 1, None, 5]
+
+
+def test_cleaning_merges_no_rows(spark):
+    rows = [(D5, "q", "/a?x=1", 1, 5, 1.0, 9), (D5, "q", "/a?x=2", 7, 5, 1.0, 2)]
+    got = clean_facts(spark.createDataFrame(rows, FACT_TYPES)).collect()
+    assert sorted(map(tuple, got)) == [(D5, "q", "/a", 5, 5, 1.0, 5), (D5, "q", "/a", 7, 5, 1.0, 2)]
+
+
+def test_positive_filter_ignores_position(spark):
+    rows = [(D5, "q", "/", 0, 0, 4.0, 0), (D5, "q", "/", 0, 1, 0.0, 0), (D5, "r", "/", 0, 0, 0.0, 1)]
+    got = keep_positive(spark.createDataFrame(rows, FACT_TYPES))
+    assert sorted(r.query for r in got.collect()) == ["q", "r"]
+
+
+def sheet(spark, rows, *names, kinds=None):
+    columns = ["Query string", "Url string"] + [f"`{n}` {k}" for n, k in zip(names, kinds or ["double"] * len(names))]
+    return spark.createDataFrame(rows, ", ".join(columns)).coalesce(1)
+
+
+DAY = [f"2026-06-05_{m}" for m in ("demand", "shows", "position", "clicks")]
+
+
+def both_ways(wide):
+    """Facts in one step, and through cells; they must agree."""
+    direct = sorted(map(tuple, wide_to_facts(wide).collect()), key=str)
+    cells = pivot_first(split_header(unpivot_cells(wide)))
+    assert sorted(map(tuple, keep_positive(type_facts(cells)).collect()), key=str) == direct
+    return direct
+
+
+def test_repeated_rows_keep_the_first_with_its_nulls(spark):
+    wide = sheet(spark, [("q", "/", 3.0, None, 1.0, 1.0), ("q", "/", 9.0, 7.0, 9.0, 9.0)], *DAY)
+    assert both_ways(wide) == [(D5, "q", "/", 3, 0, 1.0, 1)]
+    assert has_repeated_rows(rename_ids(wide))
+
+
+def test_null_keys_stay_and_form_a_group(spark):
+    wide = sheet(spark, [(None, "/", 1.0, 1.0, 1.0, 1.0), (None, "/", 2.0, 2.0, 2.0, 2.0), ("q", None, 1.0, 0.0, 0.0, 0.0)], *DAY)
+    assert both_ways(wide) == [(D5, "q", None, 1, 0, 0.0, 0), (D5, None, "/", 1, 1, 1.0, 1)]
+
+
+def test_metric_missing_on_a_date_and_extra_metric(spark):
+    names = [*DAY, "2026-06-06_demand", "2026-06-05_ctr"]
+    wide = sheet(spark, [("q", "/", 1.0, 2.0, 3.0, 4.0, 5.0, 0.9)], *names)
+    assert both_ways(wide) == [(D5, "q", "/", 1, 2, 3.0, 4), (D6, "q", "/", 5, 0, 0.0, 0)]
+    assert not has_repeated_rows(rename_ids(wide))
+
+
+def test_fractions_truncate_and_text_metrics_are_read(spark):
+    wide = sheet(spark, [("q", "/", 2.9, "7", 1, 0)], *DAY, kinds=["double", "string", "int", "bigint"])
+    assert both_ways(wide) == [(D5, "q", "/", 2, 7, 1.0, 0)]
+
+
+def test_count_beyond_int_fails(spark):
+    wide = sheet(spark, [("q", "/", 3e9, 1.0, 1.0, 1.0)], *DAY)
+    with pytest.raises(PySparkException, match="CAST_OVERFLOW"):
+        wide_to_facts(wide).collect()
+
+
+def test_split_header_parts(spark):
+    cells = spark.createDataFrame([("2026-06-05_demand_x",), ("Total",)], "date_metric string")
+    got = [(r.date, r.metric) for r in split_header(cells).collect()]
+    assert got == [("2026-06-05", "demand"), ("Total", None)]
+
+
+def test_many_dates(spark):
+    days = [dt.date(2025, 1, 1) + dt.timedelta(n) for n in range(400)]
+    names = [f"{d}_{m}" for d in days for m in ("demand", "shows", "position", "clicks")]
+    wide = sheet(spark, [("q", "/", *[float(n) for n in range(len(names))])], *names)
+    got = {r.dt: tuple(r)[3:] for r in wide_to_facts(wide).collect()}
+    assert got == {d: (4 * n, 4 * n + 1, 4.0 * n + 2, 4 * n + 3) for n, d in enumerate(days)}
+
+
+def test_require_columns(spark):
+    facts = spark.createDataFrame([], FACT_TYPES)
+    require_columns(facts)
+    with pytest.raises(ValueError, match=r"\['dt', 'clicks'\]"):
+        require_columns(facts.drop("dt", "clicks"))
+    assert facts.columns == FACT_COLUMNS
+
+
+def test_require_dates(spark):
+    rows = spark.createDataFrame([(D5, 1), (None, 2)], "dt date, n int")
+    with pytest.raises(PySparkException, match="dt must not be null"):
+        require_dates(rows).collect()
+    assert require_dates(rows.where("n = 1")).first().dt == D5
+
+
+def test_repeated_ids(spark):
+    rows = spark.createDataFrame([(1,), (2,), (2,)], "id bigint")
+    assert [tuple(r) for r in repeated_ids(rows).collect()] == [(2, 2)]
