@@ -13,6 +13,7 @@ from searchmill.operators.merge import latest_export_per_date
 from searchmill.operators.quality import clean_facts
 from searchmill.schemas import CLEAN_COLUMNS, FACT_COLUMNS, RAW_COLUMNS, Mart, require_columns
 from searchmill.sources.storage import delete_folder, new_folder
+from searchmill.sources.tables import current_table
 
 
 @dataclass(frozen=True)
@@ -65,7 +66,7 @@ def _load(facts, mart, exports, unique_keys, replace) -> WriteReport:
         if any(r.dt is None for r in found):
             raise ValueError("dt must not be null")
         dates = sorted(r.dt for r in found)
-        table, deleted = spark.table(mart.raw), 0
+        table, deleted = current_table(spark, mart.raw), 0
         if replace:
             deleted = table.where(F.col("dt").isin(dates)).count()
             table = table.where(~F.col("dt").isin(dates))
@@ -84,9 +85,9 @@ def refresh_clean(spark: SparkSession, mart: Mart = Mart()) -> WriteReport:
 
     Rules, numbering and write are one map-side pass over the raw files.
     """
-    numbered = number_table(spark.table(mart.raw))
+    numbered = number_table(current_table(spark, mart.raw))
     _insert(clean_facts(numbered), mart.clean, CLEAN_COLUMNS, "static")
-    return WriteReport(rows_inserted=spark.table(mart.clean).count())
+    return WriteReport(rows_inserted=current_table(spark, mart.clean).count())
 
 
 def seed_raw(history: DataFrame, mart: Mart = Mart()) -> WriteReport:
@@ -94,14 +95,14 @@ def seed_raw(history: DataFrame, mart: Mart = Mart()) -> WriteReport:
     require_columns(history, RAW_COLUMNS)
     # Rebalancing by date gives whole files per date and lets AQE split a hot date.
     _insert(history.hint("rebalance", "dt"), mart.raw, RAW_COLUMNS, "static")
-    return WriteReport(rows_inserted=history.sparkSession.table(mart.raw).count())
+    return WriteReport(rows_inserted=current_table(history.sparkSession, mart.raw).count())
 
 
 def delete_by_dates(spark: SparkSession, dates: list[dt.date], mart: Mart = Mart()) -> int:
     """Remove whole dates from the raw table; the number of removed rows."""
     if not dates:
         return 0
-    present = spark.table(mart.raw).where(F.col("dt").isin(dates))
+    present = current_table(spark, mart.raw).where(F.col("dt").isin(dates))
     deleted = present.count()
     parts = ", ".join(f"PARTITION (dt = DATE '{d.isoformat()}')" for d in sorted(set(dates)))
     spark.sql(f"ALTER TABLE {mart.raw} DROP IF EXISTS {parts}")

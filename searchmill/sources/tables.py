@@ -7,9 +7,19 @@ from pyspark.sql import DataFrame, SparkSession
 from searchmill.schemas import CLEAN_COLUMNS, RAW_COLUMNS, Mart
 
 
+def current_table(spark: SparkSession, name: str) -> DataFrame:
+    """The table as its folder is now.
+
+    A session keeps the file list of a table it has read, and loads run in other sessions
+    too (a stream has its own), so the list is dropped first.
+    """
+    spark.catalog.refreshTable(name)
+    return spark.table(name)
+
+
 def read_raw(spark: SparkSession, mart: Mart = Mart()) -> DataFrame:
-    return spark.table(mart.raw).select(*RAW_COLUMNS)
+    return current_table(spark, mart.raw).select(*RAW_COLUMNS)
 
 
 def read_clean(spark: SparkSession, mart: Mart = Mart()) -> DataFrame:
-    return spark.table(mart.clean).select(*CLEAN_COLUMNS)
+    return current_table(spark, mart.clean).select(*CLEAN_COLUMNS)
