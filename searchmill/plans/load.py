@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import logging
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,7 +21,7 @@ from searchmill.sinks.tables import WriteReport, refresh_clean, replace_by_date,
 from searchmill.sources.discover import export_files, exports, warn_legacy_files
 from searchmill.sources.history import read_history
 from searchmill.sources.spreadsheet import read_spreadsheets
-from searchmill.sources.wide import read_wide_csv, read_wide_parquet
+from searchmill.sources.wide import parquet_scans, read_wide_csv
 
 logger = logging.getLogger(__name__)
 
@@ -40,9 +41,12 @@ def export_facts(spark: SparkSession, folder: str, fmt: str = "xlsx") -> DataFra
         return sheet_rows_to_facts(read_spreadsheets(spark, folder))
     if fmt == "csv":
         return sheet_rows_to_facts(read_wide_csv(spark, folder))
-    wide = read_wide_parquet(spark, folder)
-    # The columnar key check costs two columns; it usually saves shuffling all of them.
-    return wide_to_facts(wide, unique_rows=not has_repeated_rows(rename_ids(wide)))
+    parts = []
+    for wide in parquet_scans(spark, folder):
+        # The columnar key check costs two columns; it usually saves shuffling all of them.
+        unique = not has_repeated_rows(rename_ids(wide))
+        parts.append(wide_to_facts(wide, unique_rows=unique))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def load_exports(

@@ -3,24 +3,32 @@
 from __future__ import annotations
 
 import csv
+import datetime as dt
+import re
+import sys
 from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from searchmill.functions.headers import Header, parse_header
+from searchmill.functions.headers import parse_header
+from searchmill.operators.reshape import sheet_header
 from searchmill.schemas import DAY_TYPE, METRICS
 from searchmill.sources.discover import PATTERNS, export_files
 from searchmill.sources.storage import export_name, first_line, require_folder
 
-# The header table is broadcast up to this size; beyond it Spark joins by shuffle.
+# The header tables are broadcast up to this size; beyond it Spark joins by shuffle.
 BROADCAST_BYTES = 64 * 1024 * 1024
 HEADER_READERS = 16
 
+# A Parquet scan merges exports up to this many dates.
+MERGED_DATES = 200
+
 LAYOUT_SCHEMA = T.StructType(
     [
-        T.StructField("file_path", T.StringType()),
+        T.StructField("header_id", T.IntegerType()),
         T.StructField("width", T.IntegerType()),
         T.StructField("query_at", T.IntegerType()),
         T.StructField("page_at", T.IntegerType()),
@@ -37,18 +45,21 @@ LAYOUT_SCHEMA = T.StructType(
 )
 
 
-def read_wide_parquet(spark: SparkSession, folder: str) -> DataFrame:
-    """All Parquet exports under `folder` as one wide frame, with `source_file` and `row_no`.
+def read_wide_parquet(
+    spark: SparkSession, folder: str, names: list[str] | None = None
+) -> DataFrame:
+    """Parquet exports under `folder` as one wide frame, with `source_file` and `row_no`.
 
     Columns merge by name: a date an export does not have is null there, which the
-    positive-metric filter removes again.
+    positive-metric filter removes again. `names` limits the scan to those exports.
     """
     require_folder(spark, folder)
+    paths = [folder] if names is None else [_child(folder, name) for name in names]
     rows = (
         spark.read.option("mergeSchema", "true")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", PATTERNS["parquet"])
-        .parquet(folder)
+        .parquet(*paths)
     )
     return rows.select(
         export_name(spark, folder).alias("source_file"),
@@ -57,20 +68,54 @@ def read_wide_parquet(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def parquet_scans(spark: SparkSession, folder: str) -> list[DataFrame]:
+    """The Parquet exports of a folder in as few wide frames as is sensible.
+
+    Usually one. Years of exports with a few weeks each would merge to thousands of columns
+    that are almost all null, so beyond MERGED_DATES dates, exports that lie close together
+    are scanned together.
+    """
+    merged = read_wide_parquet(spark, folder)
+    if len(sheet_header(merged).dates) <= MERGED_DATES:
+        return [merged]
+    files = export_files(spark, folder, "parquet").select("source_file").distinct()
+    names = sorted(r.source_file for r in files.collect())
+
+    def dates(name: str) -> list[dt.date]:
+        return sheet_header(read_wide_parquet(spark, folder, [name])).dates
+
+    with ThreadPoolExecutor(HEADER_READERS) as pool:
+        spans = sorted(zip(pool.map(dates, names), names))
+    batches: list[tuple[set[dt.date], list[str]]] = []
+    for found, name in spans:
+        if not batches or len(batches[-1][0].union(found)) > MERGED_DATES:
+            batches.append((set(), []))
+        batches[-1][0].update(found)
+        batches[-1][1].append(name)
+    return [read_wide_parquet(spark, folder, batch) for _, batch in batches]
+
+
+def _child(folder: str, name: str) -> str:
+    """Path of an export; characters that have a meaning in path patterns are escaped."""
+    return f"{folder.rstrip('/')}/" + re.sub(r"([][{}*?\\])", r"\\\1", unquote(name))
+
+
 def read_wide_csv(spark: SparkSession, folder: str, pattern: str | None = None) -> DataFrame:
     """All CSV exports under `folder` as packed sheet rows: (source_file, row_no, query,
     page_path, days).
 
     Spark applies one header to all files of a CSV scan, which would put values on wrong
-    dates. So the scan is by position, and a small table with the header of each file says
-    what the positions mean. One scan, whose plan does not grow with the number of headers.
+    dates. So the scan is by position, and two small tables (file -> header, header ->
+    layout) say what the positions mean: one scan, and a plan that does not grow with the
+    number of headers.
     """
     require_folder(spark, folder)
     files = export_files(spark, folder, "csv", pattern).where("length > 0")
     listing = files.select("file_path", "path").collect()
-    headers = read_csv_headers(spark, {r.file_path: r.path for r in listing})
+    lines = read_csv_headers(spark, {r.file_path: r.path for r in listing})
+    names_by_line = {line: next(csv.reader([line]), []) for line in set(lines.values())}
     # One column more than the widest header, to notice rows that are longer still.
-    width = max((w for _, w in headers.values()), default=2) + 1
+    width = max(map(len, names_by_line.values()), default=2) + 1
     names = [f"c{i}" for i in range(width)]
     scan = (
         spark.read.schema(T.StructType([T.StructField(n, T.StringType()) for n in names]))
@@ -92,7 +137,8 @@ def read_wide_csv(spark: SparkSession, folder: str, pattern: str | None = None)
             F.array(*names).alias("cells"),
         )
     )
-    rows = scan.join(_layout_table(spark, headers), "file_path")
+    files, layouts = _header_tables(spark, lines, names_by_line)
+    rows = scan.join(files, "file_path").join(layouts, "header_id")
     too_long = F.raise_error(F.concat(F.lit("row longer than the header of "), "file_path"))
     return rows.select(
         "source_file",
@@ -116,25 +162,38 @@ def _longer_than_header() -> Column:
     return F.exists(beyond, lambda cell: cell.isNotNull())
 
 
-def read_csv_headers(spark: SparkSession, paths: dict[str, str]) -> dict[str, tuple[Header, int]]:
-    """Header and width of each file (file URI -> path). Every file is opened for one line."""
-
-    def read(path: str) -> tuple[Header, int]:
-        names = next(csv.reader([first_line(spark, path) or ""]), [])
-        return parse_header([n.lstrip("\ufeff") or None for n in names], where=path), len(names)
-
+def read_csv_headers(spark: SparkSession, paths: dict[str, str]) -> dict[str, str]:
+    """Header line of each file (file URI -> path). Every file is opened for one line."""
     with ThreadPoolExecutor(HEADER_READERS) as pool:
-        return dict(zip(paths, pool.map(read, paths.values())))
-
-
-def _layout_table(spark: SparkSession, headers: dict[str, tuple[Header, int]]) -> DataFrame:
-    rows, size = [], 0
-    for path, (header, width) in headers.items():
-        places = [
+        lines = pool.map(lambda path: first_line(spark, path) or "", paths.values())
+        # Files mostly share their header: equal lines are kept once.
+        return {file: sys.intern(line.lstrip("\ufeff")) for file, line in zip(paths, lines)}
+
+
+def _header_tables(
+    spark: SparkSession, lines: dict[str, str], names_by_line: dict[str, list[str]]
+) -> tuple[DataFrame, DataFrame]:
+    """(file_path, header_id) and (header_id, width, query_at, page_at, layout)."""
+    example = {line: file for file, line in lines.items()}
+    ids, layouts, places = {}, [], 0
+    for line, names in names_by_line.items():
+        ids[line] = len(ids)
+        header = parse_header([n or None for n in names], where=example[line])
+        layout = [
             (date, *[found[m].position if m in found else None for m in METRICS])
             for date, found in header.days()
         ]
-        rows.append((path, width, header.query, header.page_path, places))
-        size += 2 * len(path) + 48 * (len(places) + 1)
-    table = spark.createDataFrame(rows, LAYOUT_SCHEMA)
-    return F.broadcast(table) if size <= BROADCAST_BYTES else table
+        layouts.append((ids[line], len(names), header.query, header.page_path, layout))
+        places += 1 + len(layout)
+    files = [(file, ids[line]) for file, line in lines.items()]
+
+    def sized(table: DataFrame, size: int) -> DataFrame:
+        return F.broadcast(table) if size <= BROADCAST_BYTES else table
+
+    return (
+        sized(
+            spark.createDataFrame(files, "file_path string, header_id int"),
+            sum(len(file) + 32 for file in lines),
+        ),
+        sized(spark.createDataFrame(layouts, LAYOUT_SCHEMA), 64 * places),
+    )

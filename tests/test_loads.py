@@ -6,6 +6,7 @@ import os
 import pytest
 
 from searchmill import load_exports, refresh_clean, run, seed_history
+from searchmill.sources import wide as wide_sources
 from searchmill.sources.tables import read_clean, read_raw
 from workload.xlsx import workbook
 
@@ -93,7 +94,9 @@ def test_empty_and_missing_folders(spark, mart, tmp_path):
     assert (tmp_path / "empty" / "zero.xlsx").exists()
 
 
-def test_csv_folder_with_different_headers(spark, mart, tmp_path):
+@pytest.mark.parametrize("broadcast_bytes", [0, 1 << 26])
+def test_csv_folder_with_different_headers(spark, mart, tmp_path, monkeypatch, broadcast_bytes):
+    monkeypatch.setattr(wide_sources, "BROADCAST_BYTES", broadcast_bytes)
     folder = tmp_path / "csv"
     folder.mkdir()
     (folder / "one.csv").write_text(",".join(header(D5)) + "\nq,/a?1,5,5,5.5,5\n\"q, r\",,1,,,\n", "utf-8")
@@ -117,12 +120,15 @@ def test_csv_row_longer_than_header_fails(spark, tmp_path):
         export_facts(spark, str(tmp_path), "csv").collect()
 
 
-def test_parquet_exports_may_be_folders(spark, mart, tmp_path):
+@pytest.mark.parametrize("merged_dates", [1, 200])
+def test_parquet_exports_may_be_folders(spark, mart, tmp_path, monkeypatch, merged_dates):
+    monkeypatch.setattr(wide_sources, "MERGED_DATES", merged_dates)
     folder = tmp_path / "pq"
     wide = spark.createDataFrame([("a", "/", 1, 2, 3.0, 4), ("b", "/", 1, 2, 3.0, 4)] , header(D5))
     wide.repartition(2, "Query").write.parquet(str(folder / "one.parquet"))
-    spark.createDataFrame([("a", "/", 5, 6, 7.0, 8)], header(D6)).write.parquet(str(folder / "two.parquet"))
-    load_exports(spark, str(folder), mart, fmt="parquet")
+    spark.createDataFrame([("a", "/", 5, 6, 7.0, 8)], header(D6)).write.parquet(str(folder / "two [1] 50%.parquet"))
+    report = load_exports(spark, str(folder), mart, fmt="parquet", archive=str(tmp_path / "out"))
+    assert report.exports == 2 and len(os.listdir(tmp_path / "out")) == 2 and not os.listdir(folder)
     assert raw(spark, mart) == [
         (1, D5, "/", "a", 1, 2, 3.0, 4),
         (2, D5, "/", "b", 1, 2, 3.0, 4),
