@@ -104,7 +104,8 @@ def first_rows(rows: DataFrame) -> DataFrame:
     are spread over dates shuffles each row once instead of once per date. Spark limits
     each group to one row in the map tasks before the shuffle, so a frequent key is small.
     """
-    keys = [c for c in ("source_file",) if c in rows.columns] + ["query", "page_path"]
+    # The query leads, as it tells rows apart early in the sort; exports repeat their name.
+    keys = ["query", "page_path"] + [c for c in ("source_file",) if c in rows.columns]
     order = Window.partitionBy(*keys).orderBy("row_no")
     return rows.withColumn("_nth", F.row_number().over(order)).where("_nth = 1").drop("_nth")
 
