@@ -43,7 +43,7 @@ def unpivot_cells(wide: DataFrame) -> DataFrame:
     wide = with_row_no(rename_ids(wide))
     ids = [c for c in SCAN_COLUMNS if c in wide.columns] + list(SHEET_IDS.values())
     names = [c.name for c in header.columns]
-    typed = wide.select(*ids, *[_quoted(n).cast("double").alias(n) for n in names])
+    typed = wide.selectExpr(*ids, *[f"CAST({_quoted(n)} AS double) AS {_quoted(n)}" for n in names])
     return typed.unpivot(ids, names, "date_metric", "value")
 
 
@@ -132,16 +132,16 @@ def wide_to_facts(wide: DataFrame, unique_rows: bool = False) -> DataFrame:
     rows = rename_ids(with_row_no(wide))
     if not unique_rows:
         rows = first_rows(rows)
-    missing = F.lit(None).cast("double")
-    cells: list[Column] = []
+    # As text: a wide sheet has thousands of cells, and one parse beats as many calls.
+    cells = []
     for date, columns in header.days():
-        cells.append(F.lit(date))
+        cells.append(f"DATE '{date}'")
         for metric in METRICS:
-            column = columns.get(metric)
-            cells.append(_quoted(column.name).cast("double") if column else missing)
+            column = _quoted(columns[metric].name) if metric in columns else "NULL"
+            cells.append(f"CAST({column} AS double)")
     ids = [c for c in ("source_file", "query", "page_path") if c in rows.columns]
-    days = F.stack(F.lit(len(header.days())), *cells).alias("dt", *METRICS)
-    return keep_positive(type_facts(rows.select(*ids, days)))
+    days = f"stack({len(header.days())}, {', '.join(cells)}) AS (dt, {', '.join(METRICS)})"
+    return keep_positive(type_facts(rows.selectExpr(*ids, days)))
 
 
 def sheet_rows_to_facts(rows: DataFrame) -> DataFrame:
@@ -172,5 +172,5 @@ def sheet_rows_to_cells(rows: DataFrame) -> DataFrame:
     return flat.select(*ids, F.stack(F.lit(len(METRICS)), *cells).alias("date_metric", "value"))
 
 
-def _quoted(name: str) -> Column:
-    return F.col("`" + name.replace("`", "``") + "`")
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"

@@ -95,18 +95,17 @@ def event_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     dates = sorted(r.dt for r in events.select("dt").distinct().collect())
     cells = []
     for date in dates:
-        today = F.col("dt") == F.lit(date)
-        kind = F.col("event_type")
+        today = f"CASE WHEN dt = DATE '{date}'"
         cells += [
-            F.when(today & (kind != "error"), F.col("event_id") % 5).alias(f"{date}_demand"),
-            F.when(today, F.col("user_id") % 4).alias(f"{date}_shows"),
-            F.when(today, F.col("value")).alias(f"{date}_position"),
-            F.when(today & (kind == "click"), F.lit(1)).alias(f"{date}_clicks"),
+            f"{today} AND event_type <> 'error' THEN event_id % 5 END AS `{date}_demand`",
+            f"{today} THEN user_id % 4 END AS `{date}_shows`",
+            f"{today} THEN value END AS `{date}_position`",
+            f"{today} AND event_type = 'click' THEN 1 END AS `{date}_clicks`",
         ]
-    return events.select(
-        F.col("event_id").alias("row_no"),
-        F.when(F.col("user_id") % 11 != 0, F.concat(F.lit("q"), F.col("user_id") % 7)).alias("Query"),
-        F.concat(F.lit("/u/"), F.col("user_id")).alias("Url"),
+    return events.selectExpr(
+        "event_id AS row_no",
+        "CASE WHEN user_id % 11 <> 0 THEN 'q' || (user_id % 7) END AS Query",
+        "'/u/' || user_id AS Url",
         *cells,
     )
 
