@@ -7,12 +7,12 @@ import logging
 
 from pyspark.sql import SparkSession
 
+from searchmill.operators.quality import loaded_dates
 from searchmill.plans.load import describe, export_facts, load_exports, run, seed_history
 from searchmill.schemas import Mart, create_layers
 from searchmill.sinks.tables import refresh_clean
 from searchmill.sources.discover import PATTERNS
 from searchmill.sources.tables import read_raw
-from searchmill.operators.quality import loaded_dates
 from searchmill.streaming.ingest import ingest
 
 PREVIEW_ROWS = 5
@@ -39,8 +39,9 @@ def parser() -> argparse.ArgumentParser:
     jobs.add_parser("dates", help="list the dates of the raw table")
     job = jobs.add_parser("seed", help="fill the raw table from the history CSV")
     job.add_argument("input")
-    job = jobs.add_parser("ingest", help="load the spreadsheets that are new in a folder")
+    job = jobs.add_parser("ingest", help="load the exports that are new in a folder")
     job.add_argument("input")
+    job.add_argument("--format", default="xlsx", choices=sorted(PATTERNS))
     job.add_argument("--checkpoint", required=True)
     job.add_argument("--archive")
     job.add_argument("--files-per-batch", type=int, default=1)
@@ -70,7 +71,7 @@ def main(argv: list[str] | None = None) -> None:
         print(seed_history(spark, args.input, mart))
     elif args.job == "ingest":
         query = ingest(
-            spark, args.input, args.checkpoint, mart, args.archive, args.files_per_batch
+            spark, args.input, args.checkpoint, mart, args.format, args.archive, args.files_per_batch
         )
         query.awaitTermination()
 

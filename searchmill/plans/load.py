@@ -35,14 +35,17 @@ class LoadReport:
     archived: list[str] = field(default_factory=list)
 
 
-def export_facts(spark: SparkSession, folder: str, fmt: str = "xlsx") -> DataFrame:
-    """Facts of all exports in a folder, with `source_file`."""
+def export_facts(
+    spark: SparkSession, folder: str, fmt: str = "xlsx", names: list[str] | None = None
+) -> DataFrame:
+    """Facts of the exports in a folder, with `source_file`. `names` picks CSV or Parquet
+    exports; by default, and for spreadsheets, the whole folder is read."""
     if fmt == "xlsx":
         return sheet_rows_to_facts(read_spreadsheets(spark, folder))
     if fmt == "csv":
-        return sheet_rows_to_facts(read_wide_csv(spark, folder))
+        return sheet_rows_to_facts(read_wide_csv(spark, folder, names))
     parts = []
-    for wide in parquet_scans(spark, folder):
+    for wide in parquet_scans(spark, folder, names):
         # The columnar key check costs two columns; it usually saves shuffling all of them.
         unique = not has_repeated_rows(rename_ids(wide))
         parts.append(wide_to_facts(wide, unique_rows=unique))

@@ -7,7 +7,7 @@ import logging
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from searchmill.sources.storage import export_name, require_folder
+from searchmill.sources.storage import export_name, literal, require_folder
 
 logger = logging.getLogger(__name__)
 
@@ -31,7 +31,7 @@ def export_files(
         spark.read.format("binaryFile")
         .option("pathGlobFilter", pattern or PATTERNS[fmt])
         .option("recursiveFileLookup", str(fmt != "xlsx").lower())
-        .load(folder)
+        .load(literal(folder))
         # "~$name.xlsx" is the lock file of an open spreadsheet.
         .where(~F.col("_metadata.file_name").startswith("~$"))
         .select(

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from searchmill.functions.headers import HeaderError, parse_header
 from searchmill.schemas import METRICS, SHEET_ROW_SCHEMA
 from searchmill.sources.discover import PATTERNS
-from searchmill.sources.storage import export_name, require_folder
+from searchmill.sources.storage import export_name, literal, require_folder
 
 BATCH_ROWS = 2000
 CELL_REFERENCE = re.compile(r"([A-Z]+)")
@@ -46,7 +46,7 @@ def read_spreadsheets(spark: SparkSession, folder: str) -> DataFrame:
     files = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", PATTERNS["xlsx"])
-        .load(folder)
+        .load(literal(folder))
         .where(~F.col("_metadata.file_name").startswith("~$"))
         .select(
             export_name(spark, folder).alias("source_file"),

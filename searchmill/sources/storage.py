@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -22,6 +23,11 @@ def require_folder(spark: SparkSession, folder: str) -> None:
         raise FileNotFoundError(f"folder {folder} does not exist")
 
 
+def literal(path: str) -> str:
+    """`path` for a Spark reader, which takes paths as patterns: special characters escaped."""
+    return re.sub(r"([][{}*?\\])", r"\\\1", path)
+
+
 def first_line(spark: SparkSession, path: str) -> str | None:
     """First line of a (possibly compressed) text file, without reading the rest."""
     jvm = spark._jvm

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import csv
 import datetime as dt
-import re
 import sys
 from concurrent.futures import ThreadPoolExecutor
 from urllib.parse import unquote
@@ -17,7 +16,7 @@ from searchmill.functions.headers import parse_header
 from searchmill.operators.reshape import sheet_header
 from searchmill.schemas import DAY_TYPE, METRICS
 from searchmill.sources.discover import PATTERNS, export_files
-from searchmill.sources.storage import export_name, first_line, require_folder
+from searchmill.sources.storage import export_name, first_line, literal, require_folder
 
 # The header tables are broadcast up to this size; beyond it Spark joins by shuffle.
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -54,12 +53,11 @@ def read_wide_parquet(
     positive-metric filter removes again. `names` limits the scan to those exports.
     """
     require_folder(spark, folder)
-    paths = [folder] if names is None else [_child(folder, name) for name in names]
     rows = (
         spark.read.option("mergeSchema", "true")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", PATTERNS["parquet"])
-        .parquet(*paths)
+        .parquet(*_paths(folder, names))
     )
     return rows.select(
         export_name(spark, folder).alias("source_file"),
@@ -68,18 +66,21 @@ def read_wide_parquet(
     )
 
 
-def parquet_scans(spark: SparkSession, folder: str) -> list[DataFrame]:
+def parquet_scans(
+    spark: SparkSession, folder: str, names: list[str] | None = None
+) -> list[DataFrame]:
     """The Parquet exports of a folder in as few wide frames as is sensible.
 
     Usually one. Years of exports with a few weeks each would merge to thousands of columns
     that are almost all null, so beyond MERGED_DATES dates, exports that lie close together
     are scanned together.
     """
-    merged = read_wide_parquet(spark, folder)
+    merged = read_wide_parquet(spark, folder, names)
     if len(sheet_header(merged).dates) <= MERGED_DATES:
         return [merged]
-    files = export_files(spark, folder, "parquet").select("source_file").distinct()
-    names = sorted(r.source_file for r in files.collect())
+    if names is None:
+        files = export_files(spark, folder, "parquet").select("source_file").distinct()
+        names = [r.source_file for r in files.collect()]
 
     def dates(name: str) -> list[dt.date]:
         return sheet_header(read_wide_parquet(spark, folder, [name])).dates
@@ -95,14 +96,17 @@ def parquet_scans(spark: SparkSession, folder: str) -> list[DataFrame]:
     return [read_wide_parquet(spark, folder, batch) for _, batch in batches]
 
 
-def _child(folder: str, name: str) -> str:
-    """Path of an export; characters that have a meaning in path patterns are escaped."""
-    return f"{folder.rstrip('/')}/" + re.sub(r"([][{}*?\\])", r"\\\1", unquote(name))
+def _paths(folder: str, names: list[str] | None) -> list[str]:
+    if names is None:
+        return [literal(folder)]
+    return [literal(f"{folder.rstrip('/')}/{unquote(name)}") for name in names]
 
 
-def read_wide_csv(spark: SparkSession, folder: str, pattern: str | None = None) -> DataFrame:
-    """All CSV exports under `folder` as packed sheet rows: (source_file, row_no, query,
-    page_path, days).
+def read_wide_csv(
+    spark: SparkSession, folder: str, names: list[str] | None = None
+) -> DataFrame:
+    """CSV exports under `folder` as packed sheet rows: (source_file, row_no, query,
+    page_path, days). `names` limits the scan to those exports.
 
     Spark applies one header to all files of a CSV scan, which would put values on wrong
     dates. So the scan is by position, and two small tables (file -> header, header ->
@@ -110,20 +114,22 @@ def read_wide_csv(spark: SparkSession, folder: str, pattern: str | None = None)
     number of headers.
     """
     require_folder(spark, folder)
-    files = export_files(spark, folder, "csv", pattern).where("length > 0")
+    files = export_files(spark, folder, "csv").where("length > 0")
+    if names is not None:
+        files = files.where(F.col("source_file").isin(names))
     listing = files.select("file_path", "path").collect()
     lines = read_csv_headers(spark, {r.file_path: r.path for r in listing})
-    names_by_line = {line: next(csv.reader([line]), []) for line in set(lines.values())}
+    columns_by_line = {line: next(csv.reader([line]), []) for line in set(lines.values())}
     # One column more than the widest header, to notice rows that are longer still.
-    width = max(map(len, names_by_line.values()), default=2) + 1
-    names = [f"c{i}" for i in range(width)]
+    width = max(map(len, columns_by_line.values()), default=2) + 1
+    cells = [f"c{i}" for i in range(width)]
     scan = (
-        spark.read.schema(T.StructType([T.StructField(n, T.StringType()) for n in names]))
+        spark.read.schema(T.StructType([T.StructField(c, T.StringType()) for c in cells]))
         .option("header", "true")
         .option("enforceSchema", "true")
         .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", pattern or PATTERNS["csv"])
-        .csv(folder)
+        .option("pathGlobFilter", PATTERNS["csv"])
+        .csv(_paths(folder, names))
         # Taken on the scan itself: the id orders the rows of one split, the block start
         # orders the splits of one file.
         .select(
@@ -134,10 +140,10 @@ def read_wide_csv(spark: SparkSession, folder: str, pattern: str | None = None)
                 F.monotonically_increasing_id().alias("id"),
             ).alias("row_no"),
             "_metadata.file_path",
-            F.array(*names).alias("cells"),
+            F.array(*cells).alias("cells"),
         )
     )
-    files, layouts = _header_tables(spark, lines, names_by_line)
+    files, layouts = _header_tables(spark, lines, columns_by_line)
     rows = scan.join(files, "file_path").join(layouts, "header_id")
     too_long = F.raise_error(F.concat(F.lit("row longer than the header of "), "file_path"))
     return rows.select(
@@ -171,12 +177,12 @@ def read_csv_headers(spark: SparkSession, paths: dict[str, str]) -> dict[str, st
 
 
 def _header_tables(
-    spark: SparkSession, lines: dict[str, str], names_by_line: dict[str, list[str]]
+    spark: SparkSession, lines: dict[str, str], columns_by_line: dict[str, list[str]]
 ) -> tuple[DataFrame, DataFrame]:
     """(file_path, header_id) and (header_id, width, query_at, page_at, layout)."""
     example = {line: file for file, line in lines.items()}
     ids, layouts, places = {}, [], 0
-    for line, names in names_by_line.items():
+    for line, names in columns_by_line.items():
         ids[line] = len(ids)
         header = parse_header([n or None for n in names], where=example[line])
         layout = [

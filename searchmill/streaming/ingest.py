@@ -10,11 +10,12 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from searchmill.operators.reshape import sheet_rows_to_facts
+from searchmill.plans.load import export_facts
 from searchmill.schemas import Mart
 from searchmill.sinks.tables import replace_by_date
 from searchmill.sources.discover import PATTERNS
 from searchmill.sources.spreadsheet import decode_spreadsheets
-from searchmill.sources.storage import export_name, require_folder
+from searchmill.sources.storage import export_name, literal, require_folder
 
 logger = logging.getLogger(__name__)
 
@@ -37,10 +38,11 @@ def ingest(
     folder: str,
     checkpoint: str,
     mart: Mart = Mart(),
+    fmt: str = "xlsx",
     archive: str | None = None,
     files_per_batch: int = 1,
 ) -> StreamingQuery:
-    """Load the spreadsheets that are new in `folder`, oldest first, then stop.
+    """Load the exports that are new in `folder`, oldest first, then stop.
 
     One file per batch is the order of loading them by hand; larger batches give the same
     rows because the latest export wins each date. The checkpoint records what was loaded:
@@ -48,28 +50,34 @@ def ingest(
     rewrites the same dates with the same rows and ids. No state is kept, so a late file
     for an old date simply replaces that date.
 
-    With `archive`, Spark moves a finished file there during the next batches.
+    An export is one file here, also for CSV and Parquet. With `archive`, Spark moves a
+    finished file there during the next batches.
     """
     require_folder(spark, folder)
     reader = (
         spark.readStream.format("binaryFile")
         .schema(FILE_SCHEMA)
-        .option("pathGlobFilter", PATTERNS["xlsx"])
+        .option("pathGlobFilter", PATTERNS[fmt])
         .option("maxFilesPerTrigger", files_per_batch)
         .option("maxFileAge", MAX_FILE_AGE)
     )
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
-    files = reader.load(folder).select(
+    files = reader.load(literal(folder)).select(
         export_name(spark, folder).alias("source_file"),
         F.col("modificationTime").alias("mtime"),
         "content",
     )
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        found = batch.select("source_file", "mtime").where(~F.col("source_file").startswith("~$"))
         sheets = batch.where(~F.col("source_file").startswith("~$"))
-        facts = sheet_rows_to_facts(decode_spreadsheets(sheets))
+        # Without `content` the files are listed, not opened.
+        found = sheets.select("source_file", "mtime")
+        if fmt == "xlsx":
+            facts = sheet_rows_to_facts(decode_spreadsheets(sheets))
+        else:
+            names = [r.source_file for r in found.collect()]  # files_per_batch at most
+            facts = export_facts(batch.sparkSession, folder, fmt, names)
         report = replace_by_date(facts, mart, exports=found, unique_keys=True)
         logger.info("batch %d: %s", batch_id, report)
 

@@ -29,7 +29,7 @@ def raw(spark, mart):
 
 
 def test_spreadsheet_load_and_refresh(spark, mart, tmp_path):
-    folder = tmp_path / "in dir"
+    folder = tmp_path / "in [dir] 1"
     folder.mkdir()
     put(folder, "a b+c.xlsx", [
         header(D5, D6),

@@ -2,6 +2,9 @@
 
 import os
 
+import pandas as pd
+import pytest
+
 from searchmill import ingest, load_exports
 from searchmill.sources.tables import read_raw
 from tests.test_loads import D5, D6, D7, header, put, raw
@@ -61,3 +64,16 @@ def test_archive(spark, mart, tmp_path):
     assert moved | {p.name for p in folder.iterdir()} >= {"0.xlsx", "1.xlsx", "2.xlsx"}
     assert "0.xlsx" in moved
     assert read_raw(spark, mart).first().demand == 3
+
+
+@pytest.mark.parametrize("fmt", ["csv", "parquet"])
+def test_native_formats(spark, mart, tmp_path, fmt):
+    folder = tmp_path / "in [x]"
+    folder.mkdir()
+    for n, day in enumerate([D5, D6, D5]):
+        sheet = pd.DataFrame([["q", "/", n + 1, 1, 1.5, 1]], columns=header(day))
+        path = folder / f"{n} {{a}}.{fmt}"
+        sheet.to_csv(path, index=False) if fmt == "csv" else sheet.to_parquet(path, index=False)
+        os.utime(path, (1_780_000_000 + n, 1_780_000_000 + n))
+    loaded = advance(spark, folder, tmp_path / "checkpoint", mart, fmt=fmt, files_per_batch=2)
+    assert [r[1:] for r in loaded] == [(D6, "/", "q", 2, 1, 1.5, 1), (D5, "/", "q", 3, 1, 1.5, 1)]
