@@ -57,8 +57,11 @@ def _load(facts, mart, exports, unique_keys, replace) -> WriteReport:
         counts = staged.counts
         if by_export:
             winners = latest_export_per_date(counts, exports)
-            # At most one row per calendar date.
-            counts = counts.join(F.broadcast(winners), ["dt", "source_file"], "left_semi")
+            # Winners are at most one row per calendar date. Written down, because the dates,
+            # the numbers and the ids all come from the remaining counts.
+            won = counts.join(F.broadcast(winners), ["dt", "source_file"], "left_semi")
+            won.write.parquet(f"{folder}/won")
+            counts = spark.read.parquet(f"{folder}/won")
         per_date = counts.groupBy("dt").agg(F.sum("n").alias("n"), F.count("n").alias("size"))
         found = per_date.collect()
         if not found:
