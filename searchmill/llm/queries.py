@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from searchmill.llm import substring_dedup, suffix_dedup
 from searchmill.llm.perspectives import rotate_perspectives
 from searchmill.llm.tables import read_table
 from searchmill.llm.url_filter import LEAST, RULES, Z, filter_urls
@@ -135,5 +136,64 @@ FROM judged j JOIN h_k ON j.host = h_k.host
 """
 
 
-def queries() -> dict[str, Query]:
-    return dict(QUERIES)
+def _covered_sql(listed: str, n_units: str, unit: str, key: str, n: str, joined: str, digest: str) -> str:
+    """SQL of op1 and op9: units of a document, and the key of the window from each unit on."""
+    return f"""
+WITH listed AS ({listed}), flat AS (
+    SELECT doc_id, unnest({unit}) AS u, unnest(range(1, {n_units} + 1)) AS i,
+        unnest(list_transform(range(1, {n_units} + 1), lambda i:
+            CASE WHEN i + 49 <= {n_units} THEN {key} END)) AS key
+    FROM listed
+), judged AS (
+    SELECT doc_id, u, i, key IS NOT NULL AND min(doc_id) OVER (PARTITION BY key) < doc_id AS dup
+    FROM flat
+), covered AS (
+    SELECT *, bool_or(dup) OVER (PARTITION BY doc_id ORDER BY i
+        ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS gone
+    FROM judged
+), edges AS (
+    SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY i), false) AS first
+    FROM covered
+), counted AS (
+    SELECT doc_id, count(*) AS n, count(*) FILTER (gone) AS n_removed, count(*) FILTER (first)
+        AS n_spans, string_agg(u, '{joined}' ORDER BY i) FILTER (NOT gone) AS kept
+    FROM edges GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n, 0) AS {n}, coalesce(n_removed, 0) AS n_removed,
+    coalesce(n_spans, 0) AS n_spans, {digest} AS kept_sha256
+FROM documents d LEFT JOIN counted USING (doc_id)
+"""
+
+
+@query
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without passages of 50 words that start in an earlier one."""
+    return substring_dedup.digest(read_table(spark, sf_dir, "documents"))
+
+
+SQL["op1_substring_dedup"] = _covered_sql(
+    r"SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS us FROM documents",
+    "len(us)",
+    "us",
+    "md5(array_to_string(us[i:i+49], ' '))",
+    "n_words",
+    " ",
+    "sha256(coalesce(kept, ''))",
+)
+
+
+@query
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without strings of 50 bytes that start in an earlier one."""
+    return suffix_dedup.digest(read_table(spark, sf_dir, "documents"))
+
+
+SQL["op9_suffix_dedup"] = _covered_sql(
+    "SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents",
+    "length(h) // 2",
+    "regexp_extract_all(h, '..')",
+    "md5(substr(h, 2 * i - 1, 100))",
+    "n_bytes",
+    "",
+    "sha256(unhex(coalesce(kept, '')))",
+)
