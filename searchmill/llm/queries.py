@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from searchmill.llm import substring_dedup, suffix_dedup
+from searchmill.llm import decontamination, quality, substring_dedup, suffix_dedup
 from searchmill.llm.perspectives import rotate_perspectives
 from searchmill.llm.tables import read_table
 from searchmill.llm.url_filter import LEAST, RULES, Z, filter_urls
@@ -62,6 +62,12 @@ FROM started
 """
 
 
+@query
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quality score for every document."""
+    return quality.digest(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 @query
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's URL. The pages have no outcomes of their own: `labels.quality` of the same
@@ -182,6 +188,49 @@ SQL["op1_substring_dedup"] = _covered_sql(
 )
 
 
+@query
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents against all benchmark items."""
+    return decontamination.digest(
+        read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
+    )
+
+
+_LETTERS = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+_LOWER = """translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"""
+
+SQL["op2_decontamination"] = f"""
+WITH items AS (
+    SELECT item_id, regexp_extract_all({_LOWER}, {_LETTERS}) AS ws FROM benchmark
+), item_windows AS (
+    SELECT DISTINCT item_id, least(len(ws), 10) AS n,
+        unnest(list_transform(range(1, greatest(len(ws) - 9, 1) + 1), lambda i:
+            array_to_string(ws[i:i+least(len(ws), 10)-1], ' '))) AS w
+    FROM items WHERE len(ws) > 0
+), sizes AS (SELECT DISTINCT n FROM item_windows), keys AS (SELECT DISTINCT n, w FROM item_windows),
+docs AS (
+    SELECT doc_id, regexp_extract_all({_LOWER}, {_LETTERS}) AS ws FROM documents
+), windows AS (
+    SELECT doc_id, n, unnest(range(1, len(ws) - n + 2)) AS i,
+        unnest(list_transform(range(1, len(ws) - n + 2), lambda i: array_to_string(ws[i:i+n-1], ' '))) AS w
+    FROM docs, sizes
+), hits AS (
+    SELECT doc_id, i, n, w FROM windows JOIN keys USING (n, w)
+), words AS (
+    SELECT doc_id, count(DISTINCT p) AS n_hit
+    FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY doc_id
+), pairs AS (
+    SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item_id FROM hits JOIN item_windows USING (n, w)
+), listed AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+    FROM pairs GROUP BY doc_id
+)
+SELECT doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+    sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN words USING (doc_id) LEFT JOIN listed USING (doc_id)
+"""
+
+
 @query
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without strings of 50 bytes that start in an earlier one."""

@@ -173,3 +173,15 @@ def text_buffer(column) -> tuple[np.ndarray, np.ndarray]:
     if data is None:
         return np.empty(0, np.uint8), np.zeros(len(column), np.int64)
     return np.frombuffer(data, np.uint8)[at[0] : at[-1]], at[1:] - at[0]
+
+
+def in_pieces(batches, column: int, most: int = 8 << 20):
+    """The batches cut into runs of rows with up to about `most` bytes of text each."""
+    for batch in batches:
+        _, ends = text_buffer(batch.column(column))
+        at = 0
+        while at < batch.num_rows:
+            done = int(ends[at - 1]) if at else 0
+            to = max(int(np.searchsorted(ends, done + most, "right")), at + 1)
+            yield batch.slice(at, to - at)
+            at = to
