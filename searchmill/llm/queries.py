@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from searchmill.llm import decontamination, quality, substring_dedup, suffix_dedup
+from searchmill.llm import decontamination, ngram_join, quality, substring_dedup, suffix_dedup
 from searchmill.llm.perspectives import rotate_perspectives
 from searchmill.llm.tables import read_table
 from searchmill.llm.url_filter import LEAST, RULES, Z, filter_urls
@@ -17,6 +17,10 @@ QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
 
+_LETTERS = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+_LOWER = """translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"""
+
+
 def query(run: Query) -> Query:
     QUERIES[run.__name__] = run
     return run
@@ -62,6 +66,35 @@ FROM started
 """
 
 
+@query
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class and number of links of every document."""
+    return ngram_join.similar_documents(read_table(spark, sf_dir, "documents"))
+
+
+SQL["op4_ngram_join"] = f"""
+WITH RECURSIVE docs AS (
+    SELECT doc_id, regexp_extract_all({_LOWER}, {_LETTERS}) AS ws FROM documents
+), grams AS (
+    SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(len(ws) - 4, 1) + 1), lambda i:
+        array_to_string(ws[i:i+4], ' '))) AS g
+    FROM docs WHERE len(ws) > 0
+), sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+common AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM grams a JOIN grams b USING (g)
+    WHERE a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+    SELECT x, y FROM common JOIN sizes s ON s.doc_id = x JOIN sizes t ON t.doc_id = y
+    WHERE c * 5 >= 4 * (s.n + t.n - c)
+), reach AS (
+    SELECT x AS a, x AS b FROM links UNION SELECT a, y FROM reach JOIN links ON b = x
+), classes AS (SELECT a, min(b) AS class_id FROM reach GROUP BY a),
+counts AS (SELECT x, count(*) AS n FROM links GROUP BY x)
+SELECT doc_id, coalesce(class_id, doc_id) AS class_id, coalesce(n, 0) AS n_links
+FROM docs LEFT JOIN classes ON a = doc_id LEFT JOIN counts ON x = doc_id
+"""
+
+
 @query
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A quality score for every document."""
@@ -196,9 +229,6 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_LETTERS = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
-_LOWER = """translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"""
-
 SQL["op2_decontamination"] = f"""
 WITH items AS (
     SELECT item_id, regexp_extract_all({_LOWER}, {_LETTERS}) AS ws FROM benchmark

@@ -44,3 +44,8 @@ def total_bytes(docs: DataFrame, text: str = "text") -> int:
 
 def parts(n_bytes: int, per_part: int) -> int:
     return max(1, -(-n_bytes // per_part))
+
+
+def small(df: DataFrame, most: int) -> DataFrame:
+    """`df` as a side to broadcast if it has at most `most` rows, else as it is, for a shuffle."""
+    return F.broadcast(df) if df.count() <= most else df

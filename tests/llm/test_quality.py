@@ -20,7 +20,7 @@ def test_features_depend_on_the_text_alone():
     bins, to = quality.features(data, ends, 18)
     begin = np.concatenate(([0], to[:-1]))
     for text, a, b in zip(texts, begin, to, strict=True):
-        alone, _ = quality.features(*text_buffer(pa.array([text])), 18)
+        alone, _ = quality.features(*text_buffer(pa.array([text], pa.string())), 18)
         assert sorted(bins[a:b]) == sorted(alone)
     sizes = dict(zip(texts[-3:], (to - begin)[-3:], strict=True))
     # tokens + pairs + tokens equal to the one two places before
