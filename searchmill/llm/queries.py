@@ -7,11 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from searchmill.llm import decontamination, ngram_join, quality, substring_dedup, suffix_dedup
+from searchmill.llm import (
+    decontamination,
+    ngram_join,
+    packing,
+    quality,
+    substring_dedup,
+    suffix_dedup,
+    token_files,
+)
 from searchmill.llm.perspectives import rotate_perspectives
 from searchmill.llm.tables import read_table
 from searchmill.llm.url_filter import LEAST, RULES, Z, filter_urls
 
+TOKENIZER = "byte_bpe_50k.json"
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
@@ -276,3 +286,15 @@ SQL["op9_suffix_dedup"] = _covered_sql(
     "",
     "sha256(unhex(coalesce(kept, '')))",
 )
+
+
+@query
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 1024 ids."""
+    return packing.digest(read_table(spark, sf_dir, "documents"), TOKENIZER)
+
+
+@query
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as token files, read back."""
+    return token_files.digest(read_table(spark, sf_dir, "documents"), TOKENIZER)

@@ -28,11 +28,11 @@ def fresh_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, purpose: str) -> DataFrame:
+def written(df: DataFrame, purpose: str, compression: str = "snappy") -> DataFrame:
     """`df` as a Parquet table in the shared folder: computed once, and safe from lost executors."""
     spark = df.sparkSession
     folder = fresh_folder(spark, purpose)
-    df.write.parquet(folder)
+    df.write.option("compression", compression).parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
 
 

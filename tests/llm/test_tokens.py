@@ -1,0 +1,124 @@
+"""Encoding by chunks, token files and packing against the tokenizer itself."""
+
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+from tokenizers import Tokenizer
+
+from searchmill.llm import packing, token_files, tokens
+from tests.llm.odd import SCHEMA, odd_documents
+
+NAME = "byte_bpe_50k.json"
+ODD = ["<|endoftext|> x", "", None, "don't we'll  I'm   ", "  x  y", "a\x1c b", "ü " * 300]
+
+
+@pytest.fixture(scope="module")
+def encode():
+    tokenizer = Tokenizer.from_file(public_tokenizers.path(NAME))
+    tokenizer.encode_special_tokens = True
+    return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
+
+
+def rows(n=1):
+    many = odd_documents(7)
+    return many + [(100_000 + k, t, None, None, None, None, None) for k, t in enumerate(ODD)]
+
+
+def crc(ids):
+    return zlib.crc32(np.array(ids, "<u4").tobytes())
+
+
+@pytest.mark.parametrize("kept", [10, 1 << 20])
+def test_chunks_encode_like_whole_texts(monkeypatch, encode, kept):
+    monkeypatch.setattr(tokens, "KEPT_CHUNKS", kept)
+    rng = random.Random(3)
+    some = "ab Zé \u0085\t\n\r'sß1 2.,! 　中🙂\x1c\x0b\x0c߿"
+    texts = ["".join(rng.choices(some, k=rng.randrange(60))) for _ in range(500)] + ODD
+    encoder = tokens.Encoder(public_tokenizers.path(NAME))
+    for part in (texts[:300], texts[200:], texts):
+        ids, to = encoder.encode(pa.array(part, pa.string()))
+        begin = np.concatenate(([0], to[:-1]))
+        assert [ids[a:b].tolist() for a, b in zip(begin, to, strict=True)] == [encode(t) for t in part]
+
+
+@pytest.mark.parametrize("size", [None, 2000])
+def test_token_files_round_trip(spark, monkeypatch, encode, size):
+    if size:
+        monkeypatch.setattr(token_files, "PART_BYTES", size)
+    docs = spark.createDataFrame(rows(), SCHEMA).repartition(5)
+    folder, listed = token_files.write_token_files(docs, NAME)
+    assert listed.count() > 3 if size else listed.count() >= 1
+    read = sorted(token_files.read_token_files(spark, folder, listed).collect(), key=lambda r: r.start)
+    keys = [(r.doc_id is not None, r.doc_id or 0) for r in read]
+    assert keys == sorted(keys) and len(read) == len(rows())
+    at = 0
+    for r in read:
+        assert (r.start, r.n_tokens) == (at, len(r.ids) // 4)
+        at += r.n_tokens
+    want = sorted((-1 if r[0] is None else r[0], encode(r[1]) + [2]) for r in rows())
+    got = sorted((-1 if r.doc_id is None else r.doc_id, np.frombuffer(r.ids, "<u4").tolist()) for r in read)
+    assert got == want
+
+
+@pytest.mark.parametrize("size", [1024, 64])
+def test_packing_covers_every_piece_once(spark, encode, size):
+    docs = spark.createDataFrame(rows(), SCHEMA).repartition(5)
+    packed = packing.pack_documents(docs, NAME, size).collect()
+    sequences, pieces = {}, {}
+    for r in packed:
+        sequences.setdefault(r.sequence_id, []).append((r.offset, r.length))
+        assert len(r.ids) == 4 * r.length
+        pieces.setdefault(r.doc_id, []).append((r.piece, r.start, np.frombuffer(r.ids, "<u4").tolist()))
+    for spans in sequences.values():
+        at = 0
+        for offset, length in sorted(spans):
+            assert offset == at
+            at += length
+        assert at <= size
+    want = {}
+    for row in rows():
+        ids = encode(row[1]) + [2]
+        first = (len(ids) - 1) % size + 1
+        cuts = [0, *range(first, len(ids) + 1, size)]
+        for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
+            want.setdefault(row[0], []).append((k, a, ids[a:b]))
+    assert {k: sorted(v) for k, v in pieces.items()} == {k: sorted(v) for k, v in want.items()}
+    total = sum(r.length for r in packed)
+    full = -(-total // size)
+    assert len(sequences) <= full + max(2, full // 20)
+
+
+def test_plan_uses_up_the_histogram():
+    rng = np.random.default_rng(1)
+    for size, n in ((16, 50), (1024, 30_000), (1024, 200)):
+        lengths = rng.integers(1, size + 1, n)
+        counts = np.bincount(lengths, minlength=size + 1)
+        plan = packing.plan_patterns(counts)
+        used = np.zeros(size + 1, np.int64)
+        for pattern, times in plan:
+            assert sum(pattern) <= size and times > 0
+            np.add.at(used, pattern, times)
+        assert (used == counts).all()
+        sequences = sum(times for _, times in plan)
+        least = -(-int(lengths.sum()) // size)
+        assert sequences <= least * 1.02 + 3
+        covered = sorted((p[0], p[1], p[2]) for p in packing.places(plan))
+        for (n1, _, b), (n2, c, _) in zip(covered, covered[1:]):
+            assert b == c if n1 == n2 else c == 0
+
+
+def test_empty_tables(spark):
+    empty = spark.createDataFrame([], SCHEMA)
+    assert packing.digest(empty, NAME).collect() == []
+    assert token_files.digest(empty, NAME).collect() == []
+
+
+def test_digests_agree(spark, encode):
+    docs = spark.createDataFrame([(5, "one two"), (2, None)], "doc_id long, text string")
+    got = sorted(map(tuple, token_files.digest(docs, NAME).collect()))
+    two = encode("one two") + [2]
+    assert got == [(2, 0, 1, crc([2])), (5, 1, len(two), crc(two))]
