@@ -14,6 +14,7 @@ from searchmill.llm import (
     quality,
     substring_dedup,
     suffix_dedup,
+    text_prints,
     token_files,
 )
 from searchmill.llm.perspectives import rotate_perspectives
@@ -111,6 +112,12 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.digest(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+@query
+def op6_text_prints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents, their edited texts and their neighbours."""
+    return text_prints.digest(read_table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's URL. The pages have no outcomes of their own: `labels.quality` of the same
