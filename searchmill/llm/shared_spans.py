@@ -79,7 +79,7 @@ def _keep_bytes(data, ends, unit_ends, state, kept):
 BYTES = Units(_read_bytes, _keep_bytes, np.uint8, "binary")
 
 
-def _words(inside: np.ndarray) -> Units:
+def _words(inside: np.ndarray, in_place: bool) -> Units:
     def read(data, ends):
         start, end, unit_ends = word_spans(data, ends, inside)
         hashes = word_hashes(data, start, end)
@@ -102,12 +102,28 @@ def _words(inside: np.ndarray) -> Units:
         sizes = np.bincount(doc, weights=step, minlength=len(ends)).astype(np.int64)
         return out, np.cumsum(sizes)
 
-    return Units(read, keep, U64, "string")
+    def keep_in_place(data, ends, unit_ends, state, kept):
+        """Each document without its removed words and the white space after each of them."""
+        _, start, _ = state
+        last = np.zeros(len(start) + 1, bool)
+        last[unit_ends] = True  # the word before is a document's last
+        stop = np.append(start[1:], len(data))
+        of_last = np.flatnonzero(last[1:])
+        doc = np.searchsorted(unit_ends, of_last, "right")
+        stop[of_last] = ends[doc]
+        edge = np.zeros(len(data) + 1, np.int64)
+        edge[start[~kept]] += 1
+        np.add.at(edge, stop[~kept], -1)
+        stays = np.cumsum(edge[:-1]) == 0
+        return data[stays], np.concatenate(([0], np.cumsum(stays)))[ends]
+
+    return Units(read, keep_in_place if in_place else keep, U64, "string")
 
 
 SPACES = np.ones(256, bool)
 SPACES[[0x20, *range(0x09, 0x0E)]] = False
-WORDS = _words(SPACES)
+WORDS = _words(SPACES, in_place=False)
+WORDS_IN_PLACE = _words(SPACES, in_place=True)
 
 
 class Block:

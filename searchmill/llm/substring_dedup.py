@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from searchmill.llm.shared_spans import WORDS, Found, cut_shared
+from searchmill.llm.shared_spans import WORDS, WORDS_IN_PLACE, Found, cut_shared
 from searchmill.llm.windows import U64, Hasher
 
 WIDTH = 50
@@ -93,15 +93,28 @@ def factor(found: Found, width: int):
     return segment[order], window[order], n[order]
 
 
-def remove_repeated_passages(docs: DataFrame, width: int = WIDTH) -> DataFrame:
+def remove_repeated_passages(docs: DataFrame, width: int = WIDTH, in_place: bool = False) -> DataFrame:
     """Each document without the words that lie in a window of `width` words which also starts in
     a document of smaller doc_id.
 
     Words are what white space (0x20, 0x09 to 0x0D) separates. Returns (other, n_units,
     n_removed, n_spans, spans, kept): `other` all columns but the text, spans in words, `kept`
-    the remaining words joined by one space. See `shared_spans` for nulls, ties and repeats.
+    the remaining words joined by one space, or `in_place` the text without the removed words
+    and the white space after them. See `shared_spans` for nulls, ties and repeats.
     """
-    return cut_shared(docs, WORDS, factor, width, min(GRAM, width))
+    units = WORDS_IN_PLACE if in_place else WORDS
+    return cut_shared(docs, units, factor, width, min(GRAM, width))
+
+
+def cut_passages(docs: DataFrame) -> DataFrame:
+    """`docs` with repeated passages cut out of `text`, all columns kept (`n_chars`, if there,
+    is that of the new text). Documents of which nothing is left go; others stay as they are."""
+    done = remove_repeated_passages(docs, in_place=True)
+    new = {"text": F.col("kept"), "n_chars": F.length("kept").cast("bigint")}
+    columns = [
+        new[c].alias(c) if c in new else F.col("other").getField(c).alias(c) for c in docs.columns
+    ]
+    return done.where("n_removed = 0 OR n_removed < n_units").select(*columns)
 
 
 def digest(docs: DataFrame) -> DataFrame:
