@@ -33,12 +33,14 @@ def parser() -> argparse.ArgumentParser:
         job = jobs.add_parser(name, help=text)
         job.add_argument("input")
         job.add_argument("--format", default="xlsx", choices=sorted(PATTERNS))
+        job.add_argument("--multi-line", action="store_true", help="CSV fields hold line breaks")
         if name != "preview":
             job.add_argument("--archive", help="folder the loaded exports are moved to")
     jobs.add_parser("refresh", help="rebuild the cleaned table")
     jobs.add_parser("dates", help="list the dates of the raw table")
     job = jobs.add_parser("seed", help="fill the raw table from the history CSV")
     job.add_argument("input")
+    job.add_argument("--multi-line", action="store_true", help="CSV fields hold line breaks")
     job = jobs.add_parser("ingest", help="load the exports that are new in a folder")
     job.add_argument("input")
     job.add_argument("--format", default="xlsx", choices=sorted(PATTERNS))
@@ -54,13 +56,14 @@ def main(argv: list[str] | None = None) -> None:
     spark = SparkSession.builder.appName(f"searchmill-{args.job}").getOrCreate()
     mart = Mart(args.raw, args.clean)
     if args.job == "preview":
-        export_facts(spark, args.input, args.format).limit(PREVIEW_ROWS).show(truncate=False)
+        facts = export_facts(spark, args.input, args.format, multi_line=args.multi_line)
+        facts.limit(PREVIEW_ROWS).show(truncate=False)
         return
     create_layers(spark, mart, args.location)
     if args.job == "run":
-        print(describe(*run(spark, args.input, mart, args.format, args.archive)))
+        print(describe(*run(spark, args.input, mart, args.format, args.archive, args.multi_line)))
     elif args.job == "load":
-        print(load_exports(spark, args.input, mart, args.format, args.archive))
+        print(load_exports(spark, args.input, mart, args.format, args.archive, args.multi_line))
     elif args.job == "refresh":
         print(refresh_clean(spark, mart))
     elif args.job == "dates":
@@ -68,7 +71,7 @@ def main(argv: list[str] | None = None) -> None:
         # One row per loaded calendar date.
         print("\n".join(r.date_str for r in dates.collect()))
     elif args.job == "seed":
-        print(seed_history(spark, args.input, mart))
+        print(seed_history(spark, args.input, mart, args.multi_line))
     elif args.job == "ingest":
         query = ingest(
             spark, args.input, args.checkpoint, mart, args.format, args.archive, args.files_per_batch

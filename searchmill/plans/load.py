@@ -8,7 +8,9 @@ from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from searchmill.operators.report import quality_report
 from searchmill.operators.reshape import (
     has_repeated_rows,
     rename_ids,
@@ -19,8 +21,10 @@ from searchmill.schemas import Mart, create_layers
 from searchmill.sinks.archive import archive_exports
 from searchmill.sinks.tables import WriteReport, refresh_clean, replace_by_date, seed_raw
 from searchmill.sources.discover import export_files, exports, warn_legacy_files
+from searchmill.sources.heads import export_heads, file_heads
 from searchmill.sources.history import read_history
 from searchmill.sources.spreadsheet import read_spreadsheets
+from searchmill.sources.tables import read_raw
 from searchmill.sources.wide import parquet_scans, read_wide_csv
 
 logger = logging.getLogger(__name__)
@@ -36,14 +40,18 @@ class LoadReport:
 
 
 def export_facts(
-    spark: SparkSession, folder: str, fmt: str = "xlsx", names: list[str] | None = None
+    spark: SparkSession,
+    folder: str,
+    fmt: str = "xlsx",
+    names: list[str] | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
-    """Facts of the exports in a folder, with `source_file`. `names` picks CSV or Parquet
-    exports; by default, and for spreadsheets, the whole folder is read."""
+    """Facts of the exports in a folder, or of those in `names`, with `source_file`.
+    `multi_line` allows line breaks inside quoted CSV fields."""
     if fmt == "xlsx":
-        return sheet_rows_to_facts(read_spreadsheets(spark, folder))
+        return sheet_rows_to_facts(read_spreadsheets(spark, folder, names))
     if fmt == "csv":
-        return sheet_rows_to_facts(read_wide_csv(spark, folder, names))
+        return sheet_rows_to_facts(read_wide_csv(spark, folder, names, multi_line))
     parts = []
     for wide in parquet_scans(spark, folder, names):
         # The columnar key check costs two columns; it usually saves shuffling all of them.
@@ -58,20 +66,26 @@ def load_exports(
     mart: Mart = Mart(),
     fmt: str = "xlsx",
     archive: str | None = None,
+    multi_line: bool = False,
 ) -> LoadReport:
     """Load every export of `folder` into the raw table, then move the files to `archive`.
 
-    An empty folder, or exports without traffic, leave the table as it is.
+    An empty folder, or exports without traffic, leave the table as it is. A history CSV in
+    the folder is no export: it stays there.
     """
     if fmt == "xlsx":
         warn_legacy_files(spark, folder)
     found = exports(export_files(spark, folder, fmt))
-    names = [r.source_file for r in found.select("source_file").collect()]
+    if fmt == "csv":
+        names = list(export_heads(file_heads(spark, folder, fmt), fmt))
+        found = found.where(F.col("source_file").isin(names))
+    else:
+        names = [r.source_file for r in found.select("source_file").collect()]
     if not names:
         logger.warning("no %s exports in %s", fmt, folder)
         return LoadReport()
     written = replace_by_date(
-        export_facts(spark, folder, fmt), mart, exports=found, unique_keys=True
+        export_facts(spark, folder, fmt, names, multi_line), mart, exports=found, unique_keys=True
     )
     if not written.dates:
         # As nothing was stored, the files stay where they are.
@@ -87,19 +101,25 @@ def run(
     mart: Mart = Mart(),
     fmt: str = "xlsx",
     archive: str | None = None,
+    multi_line: bool = False,
 ) -> tuple[LoadReport, WriteReport]:
     """Raw load, then cleaned refresh; the refresh also runs when there was nothing to load."""
     create_layers(spark, mart)
-    loaded = load_exports(spark, folder, mart, fmt, archive)
+    loaded = load_exports(spark, folder, mart, fmt, archive, multi_line)
+    if loaded.write.dates:
+        fresh = read_raw(spark, mart).where(F.col("dt").isin(loaded.write.dates))
+        logger.info("%s", quality_report(fresh).first().asDict())
     refreshed = refresh_clean(spark, mart)
     logger.info("%s", describe(loaded, refreshed))
     return loaded, refreshed
 
 
-def seed_history(spark: SparkSession, path: str, mart: Mart = Mart()) -> WriteReport:
+def seed_history(
+    spark: SparkSession, path: str, mart: Mart = Mart(), multi_line: bool = False
+) -> WriteReport:
     """Fill the raw table from the history CSV, replacing all it holds."""
     create_layers(spark, mart)
-    return seed_raw(read_history(spark, path), mart)
+    return seed_raw(read_history(spark, path, multi_line), mart)
 
 
 def describe(loaded: LoadReport, refreshed: WriteReport) -> str:

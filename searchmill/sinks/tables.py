@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from searchmill.operators.keys import highest_id, number_staged, number_table, stage_ordered
-from searchmill.operators.merge import latest_export_per_date
-from searchmill.operators.quality import clean_facts
+from searchmill.operators.merge import keep_winners, latest_export_per_date
+from searchmill.operators.quality import clean_facts, require_dates
 from searchmill.schemas import CLEAN_COLUMNS, FACT_COLUMNS, RAW_COLUMNS, Mart, require_columns
 from searchmill.sources.storage import delete_folder, new_folder
 from searchmill.sources.tables import current_table
@@ -57,10 +57,9 @@ def _load(facts, mart, exports, unique_keys, replace) -> WriteReport:
         counts = staged.counts
         if by_export:
             winners = latest_export_per_date(counts, exports)
-            # Winners are at most one row per calendar date. Written down, because the dates,
-            # the numbers and the ids all come from the remaining counts.
-            won = counts.join(F.broadcast(winners), ["dt", "source_file"], "left_semi")
-            won.write.parquet(f"{folder}/won")
+            # Written down, because the dates, the numbers and the ids all come from the
+            # remaining counts.
+            keep_winners(counts, winners).write.parquet(f"{folder}/won")
             counts = spark.read.parquet(f"{folder}/won")
         per_date = counts.groupBy("dt").agg(F.sum("n").alias("n"), F.count("n").alias("size"))
         found = per_date.collect()
@@ -86,18 +85,20 @@ def _load(facts, mart, exports, unique_keys, replace) -> WriteReport:
 def refresh_clean(spark: SparkSession, mart: Mart = Mart()) -> WriteReport:
     """Rebuild the cleaned table from the raw one, with ids from 1.
 
-    Rules, numbering and write are one map-side pass over the raw files.
+    Rules, numbering and write are one map-side pass over the raw files. A failure leaves the
+    table as it was.
     """
-    numbered = number_table(current_table(spark, mart.raw))
-    _insert(clean_facts(numbered), mart.clean, CLEAN_COLUMNS, "static")
+    raw = current_table(spark, mart.raw)
+    _replace_all(clean_facts(number_table(raw)), mart.clean, CLEAN_COLUMNS, _dates(raw))
     return WriteReport(rows_inserted=current_table(spark, mart.clean).count())
 
 
 def seed_raw(history: DataFrame, mart: Mart = Mart()) -> WriteReport:
-    """Replace the whole raw table by `history`, keeping its ids."""
+    """Replace the whole raw table by `history`, keeping its ids. A failure leaves it as it was."""
     require_columns(history, RAW_COLUMNS)
+    history = require_dates(history)
     # Rebalancing by date gives whole files per date and lets AQE split a hot date.
-    _insert(history.hint("rebalance", "dt"), mart.raw, RAW_COLUMNS, "static")
+    _replace_all(history.hint("rebalance", "dt"), mart.raw, RAW_COLUMNS, _dates(history))
     return WriteReport(rows_inserted=current_table(history.sparkSession, mart.raw).count())
 
 
@@ -107,15 +108,38 @@ def delete_by_dates(spark: SparkSession, dates: list[dt.date], mart: Mart = Mart
         return 0
     present = current_table(spark, mart.raw).where(F.col("dt").isin(dates))
     deleted = present.count()
-    parts = ", ".join(f"PARTITION (dt = DATE '{d.isoformat()}')" for d in sorted(set(dates)))
-    spark.sql(f"ALTER TABLE {mart.raw} DROP IF EXISTS {parts}")
+    _drop_dates(spark, mart.raw, dates)
     return deleted
 
 
+def _dates(rows: DataFrame) -> set[dt.date]:
+    """The dates of `rows`: one value per calendar date."""
+    return {r.dt for r in rows.select("dt").distinct().collect()}
+
+
+def _replace_all(rows: DataFrame, table: str, columns: list[str], dates: set[dt.date]) -> None:
+    """Make `rows`, which have `dates`, the whole table.
+
+    A static overwrite empties the table before its tasks run. So the dates at hand are
+    replaced dynamically, which moves files only when all tasks are done, and the dates that
+    are no longer there are dropped after that. A failure between the two leaves old dates,
+    which the next run drops.
+    """
+    _insert(rows, table, columns, "dynamic")
+    gone = _dates(current_table(rows.sparkSession, table)) - dates
+    if gone:
+        _drop_dates(rows.sparkSession, table, gone)
+
+
+def _drop_dates(spark: SparkSession, table: str, dates) -> None:
+    parts = ", ".join(f"PARTITION (dt = DATE '{d.isoformat()}')" for d in sorted(set(dates)))
+    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {parts}")
+
+
 def _insert(rows: DataFrame, table: str, columns: list[str], overwrite: str | None) -> None:
     """Insert by position, with the partition column last. `overwrite` is 'dynamic' (the
-    dates at hand), 'static' (the whole table) or None (append). The mode is an option of
-    this one write; `DataFrameWriter.insertInto` would only take it from the session."""
+    dates at hand) or None (append). The mode is an option of this one write;
+    `DataFrameWriter.insertInto` would only take it from the session."""
     ordered = rows.select(*[c for c in columns if c != "dt"], "dt")
     verb = "OVERWRITE" if overwrite else "INTO"
     mode = f"WITH ('partitionOverwriteMode' = '{overwrite}')" if overwrite else ""

@@ -11,8 +11,14 @@ from searchmill.sources.storage import export_name, literal, require_folder
 
 logger = logging.getLogger(__name__)
 
-# What a folder is searched for, per format.
-PATTERNS = {"xlsx": "*.xlsx", "csv": "*.csv*", "parquet": "*.parquet"}
+# What a folder is searched for, per format. An export that is a folder of part
+# files is named like a file.
+PATTERNS = {
+    "xlsx": "*.xlsx",
+    "csv": "{*.csv,*.csv.gz,*.csv.bz2,*.csv.zst}",
+    "parquet": "*.parquet",
+}
+NAMES = {"xlsx": r"\.xlsx?$", "csv": r"\.csv(\.(gz|bz2|zst))?$", "parquet": r"\.parquet$"}
 
 
 def export_files(
@@ -21,8 +27,9 @@ def export_files(
     """The export files of a folder: (source_file, path, file_path, mtime, length).
 
     The folder itself is listed, not its subfolders, except that CSV and Parquet exports
-    may be folders of part files. Spark lists in parallel and, as `content` is not
-    selected, opens no file. A missing folder raises; an empty one gives no rows.
+    may be folders of part files, if they are named like an export: `week.csv.bak`, `old/` and
+    an archive inside the folder are no exports. Spark lists in parallel and, as `content` is
+    not selected, opens no file. A missing folder raises; an empty one gives no rows.
     """
     if fmt not in PATTERNS:
         raise ValueError(f"unknown export format {fmt!r}, expected one of {sorted(PATTERNS)}")
@@ -41,6 +48,7 @@ def export_files(
             F.col("modificationTime").alias("mtime"),
             "length",
         )
+        .where(F.col("source_file").rlike(NAMES[fmt]))
     )
 
 

@@ -3,17 +3,32 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from searchmill.schemas import HISTORY_SCHEMA
+from searchmill.schemas import HISTORY_SCHEMA, require_columns
 
 
-def read_history(spark: SparkSession, path: str) -> DataFrame:
-    """History rows with their ids. A header that differs, a bad date or a bad number fails."""
-    return (
-        spark.read.schema(HISTORY_SCHEMA)
-        .option("header", "true")
+def read_history(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """History rows with their ids; columns are found by name, in any order.
+
+    Quotes are doubled inside quoted fields. A missing column, a row with more or fewer fields
+    than the header, a bad date or a bad number fails. Quoted line breaks need `multi_line`,
+    which reads a file in one task.
+    """
+    rows = (
+        spark.read.option("header", "true")
         .option("enforceSchema", "false")
         .option("mode", "FAILFAST")
-        .option("dateFormat", "yyyy-MM-dd")
+        .option("escape", '"')
+        .option("columnPruning", "false")  # so that the fields of each row are counted
+        .option("multiLine", str(multi_line).lower())
         .csv(path)
     )
+    require_columns(rows, HISTORY_SCHEMA.names)
+    # Strict casts (ANSI).
+    return rows.select(
+        *[
+            (F.to_date(f.name, "yyyy-MM-dd") if f.name == "dt" else F.col(f.name).cast(f.dataType)).alias(f.name)
+            for f in HISTORY_SCHEMA
+        ]
+    )

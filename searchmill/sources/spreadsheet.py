@@ -13,6 +13,7 @@ import re
 import zipfile
 from collections.abc import Iterable, Iterator
 from itertools import chain
+from urllib.parse import unquote
 from xml.etree import ElementTree
 
 import pyarrow as pa
@@ -40,13 +41,19 @@ ARROW_SHEET_ROW = pa.schema(
 )
 
 
-def read_spreadsheets(spark: SparkSession, folder: str) -> DataFrame:
-    """Sheet rows (SHEET_ROW_SCHEMA) of the first sheet of every .xlsx file in `folder`."""
+def read_spreadsheets(
+    spark: SparkSession, folder: str, names: list[str] | None = None
+) -> DataFrame:
+    """Sheet rows (SHEET_ROW_SCHEMA) of the first sheet of every .xlsx file in `folder`, or of
+    those in `names`."""
     require_folder(spark, folder)
+    paths = literal(folder)
+    if names is not None:
+        paths = [literal(f"{folder.rstrip('/')}/{unquote(name)}") for name in names]
     files = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", PATTERNS["xlsx"])
-        .load(literal(folder))
+        .load(paths)
         .where(~F.col("_metadata.file_name").startswith("~$"))
         .select(
             export_name(spark, folder).alias("source_file"),

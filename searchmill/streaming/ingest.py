@@ -9,12 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from searchmill.operators.reshape import sheet_rows_to_facts
 from searchmill.plans.load import export_facts
 from searchmill.schemas import Mart
 from searchmill.sinks.tables import replace_by_date
 from searchmill.sources.discover import PATTERNS
-from searchmill.sources.spreadsheet import decode_spreadsheets
 from searchmill.sources.storage import export_name, literal, require_folder
 
 logger = logging.getLogger(__name__)
@@ -23,6 +21,8 @@ logger = logging.getLogger(__name__)
 # lose an old export that is copied in late, so practically none is skipped.
 MAX_FILE_AGE = "36500d"
 
+# Spark's schema of the file source. `content` is never selected: the stream says which files
+# are new, and their format's own reader reads them.
 FILE_SCHEMA = T.StructType(
     [
         T.StructField("path", T.StringType()),
@@ -66,19 +66,17 @@ def ingest(
     files = reader.load(literal(folder)).select(
         export_name(spark, folder).alias("source_file"),
         F.col("modificationTime").alias("mtime"),
-        "content",
     )
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        sheets = batch.where(~F.col("source_file").startswith("~$"))
-        # Without `content` the files are listed, not opened.
-        found = sheets.select("source_file", "mtime")
-        if fmt == "xlsx":
-            facts = sheet_rows_to_facts(decode_spreadsheets(sheets))
-        else:
-            names = [r.source_file for r in found.collect()]  # files_per_batch at most
-            facts = export_facts(batch.sparkSession, folder, fmt, names)
-        report = replace_by_date(facts, mart, exports=found, unique_keys=True)
+        # files_per_batch names at most.
+        found = [r for r in batch.collect() if not r.source_file.startswith("~$")]
+        if not found:
+            return
+        names = [r.source_file for r in found]
+        facts = export_facts(batch.sparkSession, folder, fmt, names)
+        exports = batch.sparkSession.createDataFrame(found, batch.schema)
+        report = replace_by_date(facts, mart, exports=exports, unique_keys=True)
         logger.info("batch %d: %s", batch_id, report)
 
     return (

@@ -94,9 +94,9 @@ def test_empty_and_missing_folders(spark, mart, tmp_path):
     assert (tmp_path / "empty" / "zero.xlsx").exists()
 
 
-@pytest.mark.parametrize("broadcast_bytes", [0, 1 << 26])
-def test_csv_folder_with_different_headers(spark, mart, tmp_path, monkeypatch, broadcast_bytes):
-    monkeypatch.setattr(wide_sources, "BROADCAST_BYTES", broadcast_bytes)
+@pytest.mark.parametrize("scan_files", [0, 4_000_000])
+def test_csv_folder_with_different_headers(spark, mart, tmp_path, monkeypatch, scan_files):
+    monkeypatch.setattr(wide_sources, "SCAN_FILES", scan_files)
     folder = tmp_path / "csv"
     folder.mkdir()
     (folder / "one.csv").write_text(",".join(header(D5)) + "\nq,/a?1,5,5,5.5,5\n\"q, r\",,1,,,\n", "utf-8")
@@ -120,9 +120,9 @@ def test_csv_row_longer_than_header_fails(spark, tmp_path):
         export_facts(spark, str(tmp_path), "csv").collect()
 
 
-@pytest.mark.parametrize("merged_dates", [1, 200])
-def test_parquet_exports_may_be_folders(spark, mart, tmp_path, monkeypatch, merged_dates):
-    monkeypatch.setattr(wide_sources, "MERGED_DATES", merged_dates)
+@pytest.mark.parametrize("scan_dates", [1, 200])
+def test_parquet_exports_may_be_folders(spark, mart, tmp_path, monkeypatch, scan_dates):
+    monkeypatch.setattr(wide_sources, "SCAN_DATES", scan_dates)
     folder = tmp_path / "pq"
     wide = spark.createDataFrame([("a", "/", 1, 2, 3.0, 4), ("b", "/", 1, 2, 3.0, 4)] , header(D5))
     wide.repartition(2, "Query").write.parquet(str(folder / "one.parquet"))
