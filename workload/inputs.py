@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import csv
+import io
 import uuid
 
 import pandas as pd
@@ -145,6 +147,34 @@ def write_wide_folders(facts: DataFrame, folder: str, fmt: str) -> None:
         wide.write.option("header", True).format(fmt).save(f"{folder}/{row.chunk}.{fmt}")
 
 
+def store_files(files: DataFrame, folder: str) -> None:
+    """Write (name, content) rows as files of the shared folder, in tasks."""
+
+    def store(batches):
+        for batch in batches:
+            system, root = fs.FileSystem.from_uri(folder)
+            system.create_dir(root, recursive=True)
+            for name, content in zip(batch["name"], batch["content"]):
+                with system.open_output_stream(f"{root}/{name}") as out:
+                    out.write(content)
+            yield batch[["name"]]
+
+    files.mapInPandas(store, "name string").write.format("noop").mode("overwrite").save()
+
+
+def _sheet(chunk: pd.DataFrame) -> list[list]:
+    """Header and rows of the export sheet of some facts."""
+    names = {column: name for name, column in SHEET_METRICS.items()}
+    dates = sorted(chunk["dt"].unique())
+    head = ["Query", "Url"] + [f"{d}_{names[m]}" for d in dates for m in METRICS]
+    sheet = {}
+    for f in chunk.itertuples():
+        cells = sheet.setdefault((f.query, f.page_path), [None] * (len(dates) * len(METRICS)))
+        at = dates.index(f.dt) * len(METRICS)
+        cells[at : at + len(METRICS)] = [getattr(f, m) for m in METRICS]
+    return [head, *[[*key, *cells] for key, cells in sheet.items()]]
+
+
 def write_spreadsheets(facts: DataFrame, folder: str, suffix: str = "") -> None:
     """One spreadsheet per ten days, written by the tasks into the shared folder.
 
@@ -153,26 +183,62 @@ def write_spreadsheets(facts: DataFrame, folder: str, suffix: str = "") -> None:
     """
 
     def build(chunk: pd.DataFrame) -> pd.DataFrame:
-        names = {column: name for name, column in SHEET_METRICS.items()}
-        dates = sorted(chunk["dt"].unique())
-        head = ["Query", "Url"] + [f"{d}_{names[m]}" for d in dates for m in METRICS]
-        sheet = {}
-        for f in chunk.itertuples():
-            cells = sheet.setdefault((f.query, f.page_path), [None] * (len(dates) * len(METRICS)))
-            at = dates.index(f.dt) * len(METRICS)
-            cells[at : at + len(METRICS)] = [getattr(f, m) for m in METRICS]
-        content = workbook([head, *[[*key, *cells] for key, cells in sheet.items()]])
+        content = workbook(_sheet(chunk))
         return pd.DataFrame({"name": [f"{chunk['chunk'].iloc[0]}{suffix}.xlsx"], "content": [content]})
 
-    def store(batches):
-        for batch in batches:
-            system, root = fs.FileSystem.from_uri(folder)
-            system.create_dir(root, recursive=True)
-            for name, content in zip(batch["name"], batch["content"]):
-                with system.open_output_stream(f"{root}/{name}") as out:
-                    out.write(content)
-            yield batch[["name"]]
+    parts = chunked(facts).select("chunk", *FACT_COLUMNS)
+    store_files(parts.groupBy("chunk").applyInPandas(build, "name string, content binary"), folder)
+
+
+def _csv_text(rows: list[list]) -> bytes:
+    """As Python's csv module writes it: quotes doubled, no escapes."""
+    out = io.StringIO()
+    csv.writer(out).writerows(rows)
+    return out.getvalue().encode()
+
+
+def write_csv_text(facts: DataFrame, folder: str) -> None:
+    """One CSV export per ten days, not written by Spark."""
+
+    def build(chunk: pd.DataFrame) -> pd.DataFrame:
+        content = _csv_text(_sheet(chunk))
+        return pd.DataFrame({"name": [f"{chunk['chunk'].iloc[0]}.csv"], "content": [content]})
 
     parts = chunked(facts).select("chunk", *FACT_COLUMNS)
-    files = parts.groupBy("chunk").applyInPandas(build, "name string, content binary")
-    files.mapInPandas(store, "name string").write.format("noop").mode("overwrite").save()
+    store_files(parts.groupBy("chunk").applyInPandas(build, "name string, content binary"), folder)
+
+
+def write_history_text(rows: DataFrame, folder: str, columns: list[str]) -> None:
+    """History files with their columns in this order, one per ten days, not written by Spark."""
+
+    def build(chunk: pd.DataFrame) -> pd.DataFrame:
+        content = _csv_text([columns, *chunk[columns].itertuples(index=False)])
+        return pd.DataFrame({"name": [f"{chunk['chunk'].iloc[0]}.csv"], "content": [content]})
+
+    parts = chunked(rows)
+    store_files(parts.groupBy("chunk").applyInPandas(build, "name string, content binary"), folder)
+
+
+AWKWARD = """'say "' || query || '", c:\\dir\\'"""
+
+
+def awkward(facts: DataFrame) -> DataFrame:
+    """Queries with quotes, commas and backslashes."""
+    return facts.withColumn("query", F.concat(F.lit('say "'), "query", F.lit('", c:\\dir\\')))
+
+
+# Facts that are unique by quarter, query and page, and grow with the lines.
+QUARTER_FACTS = """
+  SELECT CAST(date_trunc('quarter', l_shipdate) AS date) AS dt,
+         l_returnflag || l_linestatus AS query,
+         '/p/' || l_partkey || '?s=' || l_suppkey AS page_path,
+         CAST(sum(l_linenumber) AS int) AS demand,
+         CAST(count(*) * 4 AS int) AS impressions,
+         min(l_discount) AS position,
+         CAST(max(l_linenumber) AS int) AS clicks
+  FROM lineitem GROUP BY 1, 2, 3
+"""
+
+
+def quarter_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _sql(spark, sf_dir, "lineitem", QUARTER_FACTS)

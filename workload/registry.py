@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from searchmill import (
     append_facts,
+    export_facts,
     ingest,
     load_exports,
     refresh_clean,
@@ -19,6 +20,7 @@ from searchmill import (
     run,
     seed_history,
 )
+from searchmill.__main__ import PREVIEW_ROWS
 from searchmill.functions.columns import click_cap, demand_floor, strip_url_params
 from searchmill.operators.merge import keep_winners, latest_export_per_date
 from searchmill.operators.quality import clean_facts, loaded_dates, repeated_ids
@@ -38,17 +40,23 @@ from searchmill.sources.spreadsheet import read_spreadsheets
 from searchmill.sources.storage import new_folder
 from searchmill.sources.tables import read_clean, read_raw
 from workload.inputs import (
+    AWKWARD,
     EVENT_FACTS,
     EVENT_SHEET_FIRST,
     LINE_FACTS,
     ORDER_FACTS,
+    QUARTER_FACTS,
+    awkward,
     event_facts,
     event_sheet,
     line_facts,
     new_mart,
     order_facts,
+    quarter_facts,
     table,
     to_wide,
+    write_csv_text,
+    write_history_text,
     write_spreadsheets,
     write_wide_folders,
 )
@@ -383,17 +391,134 @@ def spreadsheet_cells(spark, sf_dir):
     return cells.select("query", "page_path", "date_metric", "value")
 
 
-@query(f"""{WITH}, later AS (SELECT dt, query, page_path, demand + 1 AS demand, impressions, position, clicks FROM events_f)
-  SELECT {FACTS} FROM later""")
+AWKWARD_FACTS = f"SELECT dt, {AWKWARD} AS query, page_path, demand, impressions, position, clicks FROM events_f"
+
+
+@query(f"{WITH} SELECT * FROM ({AWKWARD_FACTS}) WHERE {POSITIVE}")
+def csv_quoted(spark, sf_dir):
+    """CSV exports with quotes, commas and backslashes, not written by Spark."""
+    folder, mart = new_folder(spark, "csv"), new_mart(spark, "quoted")
+    write_csv_text(awkward(event_facts(spark, sf_dir)), folder)
+    load_exports(spark, folder, mart, fmt="csv")
+    return read_raw(spark, mart).drop("id")
+
+
+@query(f"{WITH} SELECT row_number() OVER (ORDER BY {ROW_ORDER}) AS id, {FACTS} FROM ({AWKWARD_FACTS})")
+def history_quoted(spark, sf_dir):
+    """History with awkward queries and columns in another order, not written by Spark."""
+    first, mart = new_mart(spark, "first"), new_mart(spark, "history")
+    replace_by_date(awkward(event_facts(spark, sf_dir)), first)
+    folder = new_folder(spark, "history")
+    order = ["dt", "clicks", "query", "id", "position", "page_path", "impressions", "demand"]
+    write_history_text(read_raw(spark, first), folder, order)
+    seed_history(spark, folder, mart)
+    return read_raw(spark, mart)
+
+
+# A second export of the days up to the 15th, with one more demand.
+OVERLAP = f"""later AS (SELECT dt, query, page_path, demand + 1 AS demand, impressions, position, clicks
+    FROM events_f WHERE day(dt) <= 15),
+  won AS (SELECT * FROM later UNION ALL
+    SELECT {FACTS} FROM events_f WHERE day(dt) > 15 AND {POSITIVE})"""
+
+
+def _two_exports(spark, sf_dir, mart, first, second):
+    """Load two Parquet exports with common dates in one go; the second one is later."""
+    folder = new_folder(spark, "two")
+    facts = event_facts(spark, sf_dir)
+    later = facts.where("day(dt) <= 15").withColumn("demand", F.col("demand") + 1)
+    first(to_wide(facts)).write.parquet(f"{folder}/1.parquet")
+    second(to_wide(later)).write.parquet(f"{folder}/2.parquet")
+    load_exports(spark, folder, mart, fmt="parquet")
+    return read_raw(spark, mart)
+
+
+def _metrics_as(kind):
+    return lambda wide: wide.select(
+        "Query", "Url", *[F.col(f"`{c}`").cast(kind).alias(c) for c in wide.columns[2:] if "position" not in c],
+        *[f"`{c}`" for c in wide.columns[2:] if "position" in c],
+    )
+
+
+def _third_part(suffix):
+    return lambda wide: wide.withColumnsRenamed({c: f"{c}_{suffix}" for c in wide.columns[2:]})
+
+
+@query(f"{WITH}, {OVERLAP} SELECT row_number() OVER (ORDER BY {ROW_ORDER}) AS id, {FACTS} FROM won")
+def parquet_mixed_types(spark, sf_dir):
+    """Two exports of common dates, double and integer: per date the later wins, ids included."""
+    return _two_exports(spark, sf_dir, new_mart(spark, "types"), _metrics_as("double"), _metrics_as("int"))
+
+
+@query(f"{WITH}, {OVERLAP} SELECT {FACTS} FROM won")
+def parquet_third_part(spark, sf_dir):
+    """Two exports of common dates whose headers have a third part that differs."""
+    rows = _two_exports(spark, sf_dir, new_mart(spark, "third"), _third_part("x"), _third_part("y"))
+    return rows.drop("id")
+
+
+@query(f"{WITH}, {OVERLAP} SELECT {FACTS} FROM won")
 def incremental_ingest(spark, sf_dir):
-    """A stream over a folder: exports, then corrected exports of the same dates."""
+    """A stream over a folder, a file a batch: all exports, then corrected ones for the days up
+    to the 15th. The other days come from the first wave alone."""
     folder, mart = new_folder(spark, "stream"), new_mart(spark, "stream")
     checkpoint = new_folder(spark, "stream-checkpoint")
     facts = event_facts(spark, sf_dir)
-    corrected = facts.withColumn("demand", F.col("demand") + 1)
+    corrected = facts.where("day(dt) <= 15").withColumn("demand", F.col("demand") + 1)
     for suffix, sheets in (("", facts), ("-corrected", corrected)):
         write_spreadsheets(sheets, folder, suffix)
-        ingest(spark, folder, checkpoint, mart, files_per_batch=1000).awaitTermination()
+        ingest(spark, folder, checkpoint, mart).awaitTermination()
+    table_ids = read_raw(spark, mart)
+    if repeated_ids(table_ids).count():
+        raise ValueError("ids are repeated")
+    return table_ids.drop("id")
+
+
+CHUNK = "strftime(dt, '%Y-%m-') || CAST(floor((day(dt) - 1) / 10) AS int)"
+
+
+@query(f"""{WITH} SELECT DISTINCT 'archive' AS place, {CHUNK} || '_stamp.xlsx' AS name FROM events_f""")
+def archived_exports(spark, sf_dir):
+    """Files after a load with an archive inside the input folder: all moved, with a time stamp."""
+    folder, mart = new_folder(spark, "in"), new_mart(spark, "archive")
+    write_spreadsheets(event_facts(spark, sf_dir), folder)
+    load_exports(spark, folder, mart, archive=f"{folder}/archive")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    name = F.regexp_replace("_metadata.file_name", r"_\d{8}_\d{6}", "_stamp")
+    below = F.substring_index(F.substring_index("_metadata.file_path", "/", -2), "/", 1)
+    return files.select(below.alias("place"), name.alias("name"))
+
+
+@query(f"{WITH} SELECT row_number() OVER (ORDER BY {ROW_ORDER}) AS id, {FACTS} FROM line_f")
+def refused_loads(spark, sf_dir):
+    """The raw table after loads that must be refused: a column missing, a null date, no rows."""
+    mart = new_mart(spark, "refused")
+    facts = line_facts(spark, sf_dir)
+    append_facts(facts, mart)
+    for bad in (facts.drop("clicks"), facts.withColumn("dt", F.when(F.col("clicks") > 0, F.col("dt")))):
+        try:
+            replace_by_date(bad, mart)
+        except ValueError:
+            continue
+        raise AssertionError("a bad load was not refused")
+    replace_by_date(facts.where("demand < 0"), mart)
+    return read_raw(spark, mart)
+
+
+@query(f"{WITH} SELECT CAST(least(count(*), 5) AS bigint) AS rows FROM events_f WHERE {POSITIVE}")
+def preview_rows(spark, sf_dir):
+    """Number of facts that a preview of a folder shows."""
+    folder = new_folder(spark, "preview")
+    write_csv_text(event_facts(spark, sf_dir), folder)
+    return export_facts(spark, folder, "csv").limit(PREVIEW_ROWS).agg(F.count("*").alias("rows"))
+
+
+@query(f"WITH q AS ({QUARTER_FACTS}) SELECT {FACTS} FROM q WHERE {POSITIVE}")
+def line_sheet_load(spark, sf_dir):
+    """A wide sheet of all order lines by quarter, loaded: as many facts as there are lines."""
+    folder, mart = new_folder(spark, "lines"), new_mart(spark, "lines")
+    to_wide(quarter_facts(spark, sf_dir)).write.parquet(f"{folder}/lines.parquet")
+    load_exports(spark, folder, mart, fmt="parquet")
     return read_raw(spark, mart).drop("id")
 
 
