@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from searchmill.llm.tables import written
+from searchmill.llm.tables import small, written
 from searchmill.llm.windows import (
     U64,
     Hasher,
@@ -45,6 +45,8 @@ from searchmill.llm.windows import (
 WIDTH = 10
 GRAM = 5
 MAP_BITS = 24
+ID_ROWS = 1 << 20
+"""Contaminated documents (16 bytes each) that may be sent to all tasks; more are shuffled."""
 
 LETTERS = np.zeros(256, bool)
 LETTERS[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
@@ -283,8 +285,10 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         .select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash"))
         .distinct()
     )
-    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (
-        F.xxhash64(F.coalesce(F.col("text"), F.lit(""))) == F.col("_hash")
+    dirty = small(written(dirty, "contaminated"), ID_ROWS)
+    # Columns by frame, as `docs` may have columns of any name.
+    same = docs["doc_id"].eqNullSafe(dirty["_doc"]) & (
+        F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == dirty["_hash"]
     )
     return docs.join(dirty, same, "left_anti")
 

@@ -384,4 +384,6 @@ def keep_first(docs: DataFrame) -> DataFrame:
         similar_documents(docs).where("doc_id <> class_id").select(F.col("doc_id").alias("_later")),
         "later-documents",
     )
-    return docs.join(small(later, ID_ROWS), F.col("doc_id") == F.col("_later"), "left_anti")
+    later = small(later, ID_ROWS)
+    # Columns by frame, as `docs` may have columns of any name.
+    return docs.join(later, docs["doc_id"] == later["_later"], "left_anti")

@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from searchmill.llm.decontamination import LETTERS
 from searchmill.llm.windows import U64, in_pieces, mix, text_buffer, word_hashes
@@ -162,8 +163,11 @@ def score_quality(docs: DataFrame, weights: np.ndarray, bits: int = BITS) -> Dat
     """(other, score) of each row: `other` is a struct of all columns but the text."""
     others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
     rows = docs.select(F.struct(*others).alias("other"), F.col("text"))
-    kind = rows.schema["other"].dataType.simpleString()
-    return rows.mapInArrow(_score(weights, bits), f"other {kind}, score double")
+    return rows.mapInArrow(_score(weights, bits), _scored(rows))
+
+
+def _scored(rows: DataFrame) -> T.StructType:
+    return T.StructType([rows.schema["other"], T.StructField("score", T.DoubleType())])
 
 
 def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -184,6 +188,5 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     others = [F.col(f"`{c}`") for c in columns]
     # The text goes along inside the struct, so rows needn't be joined again.
     rows = docs.select(F.struct(*others).alias("other"), F.col("text"))
-    kind = rows.schema["other"].dataType.simpleString()
-    scored = rows.mapInArrow(_score(weights, BITS), f"other {kind}, score double")
+    scored = rows.mapInArrow(_score(weights, BITS), _scored(rows))
     return scored.where("score >= 0.5").select("other.*")

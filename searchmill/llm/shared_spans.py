@@ -31,6 +31,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from searchmill.llm.tables import parts, total_bytes
 from searchmill.llm.windows import (
@@ -63,7 +64,7 @@ class Units:
     read: Callable
     keep: Callable
     dtype: type
-    kept_type: str
+    kept_type: T.DataType
 
 
 def _read_bytes(data, ends):
@@ -76,7 +77,7 @@ def _keep_bytes(data, ends, unit_ends, state, kept):
     return data[kept], so_far[ends]
 
 
-BYTES = Units(_read_bytes, _keep_bytes, np.uint8, "binary")
+BYTES = Units(_read_bytes, _keep_bytes, np.uint8, T.BinaryType())
 
 
 def _words(inside: np.ndarray, in_place: bool) -> Units:
@@ -117,7 +118,7 @@ def _words(inside: np.ndarray, in_place: bool) -> Units:
         stays = np.cumsum(edge[:-1]) == 0
         return data[stays], np.concatenate(([0], np.cumsum(stays)))[ends]
 
-    return Units(read, keep_in_place if in_place else keep, U64, "string")
+    return Units(read, keep_in_place if in_place else keep, U64, T.StringType())
 
 
 SPACES = np.ones(256, bool)
@@ -509,15 +510,16 @@ def _cut(units: Units, width: int):
             ),
         )
         n_removed = removed[unit_ends] - removed[begins]
+        is_text = isinstance(units.kept_type, T.StringType)
         kept_column = pa.Array.from_buffers(
-            pa.large_string() if units.kept_type == "string" else pa.large_binary(),
+            pa.large_string() if is_text else pa.large_binary(),
             len(ends),
             [
                 None,
                 pa.py_buffer(np.concatenate(([0], kept_ends)).astype(np.int64).tobytes()),
                 pa.py_buffer(np.ascontiguousarray(kept).tobytes()),
             ],
-        ).cast(pa.string() if units.kept_type == "string" else pa.binary())
+        ).cast(pa.string() if is_text else pa.binary())
         result = pa.table(
             {
                 "n_units": pa.array(sizes, pa.int64()),
@@ -586,9 +588,10 @@ def cut_shared(
     ).unionByName(
         copies.select("*", *[F.lit(None).cast("binary").alias(c) for c in ("row", "start", "n")])
     )
-    other = keyed.schema["other"].dataType.simpleString()
-    return blocks.cogroup(cut_side.groupBy("block")).applyInArrow(
-        _cut(units, width),
-        f"other {other}, n_units long, n_removed long, n_spans long,"
-        f" spans array<struct<start: bigint, length: bigint>>, kept {units.kept_type}",
+    span = T.StructType([T.StructField("start", T.LongType()), T.StructField("length", T.LongType())])
+    schema = T.StructType(
+        [keyed.schema["other"]]
+        + [T.StructField(c, T.LongType()) for c in ("n_units", "n_removed", "n_spans")]
+        + [T.StructField("spans", T.ArrayType(span)), T.StructField("kept", units.kept_type)]
     )
+    return blocks.cogroup(cut_side.groupBy("block")).applyInArrow(_cut(units, width), schema)

@@ -2,7 +2,10 @@
 
 import random
 
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, block string, kept int"
+SCHEMA = (
+    "doc_id long, text string, lang string, source string, n_chars long, block string, kept int,"
+    " _doc long, `_later` long, hash string, other string, `a.b` int"
+)
 
 
 def prose(rng, n, vocabulary=3000):
@@ -40,11 +43,11 @@ def odd_documents(seed=0, n=60):
     ids = list(range(0, 3 * len(texts), 3))
     rng.shuffle(ids)
     rows = [
-        (i, t, rng.choice(["en", None]), f"src{k % 3}", None if t is None else len(t), "b", None)
+        (i, t, rng.choice(["en", None]), f"src{k % 3}", None if t is None else len(t), "b", None, i, i, "h", None, 1)
         for k, (i, t) in enumerate(zip(ids, texts, strict=True))
     ]
     rows.append(rows[5])  # a repeated row
-    rows.append((ids[5], passage, None, None, 1, None, None))  # an id twice, other text
-    rows.append((None, passage + " tail", None, None, None, None, None))
-    rows.append((None, base, None, None, None, None, None))
+    rows.append((ids[5], passage, None, None, 1, *[None] * 7))  # an id twice, other text
+    rows.append((None, passage + " tail", *[None] * 10))
+    rows.append((None, base, *[None] * 10))
     return rows

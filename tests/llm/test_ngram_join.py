@@ -19,7 +19,7 @@ def near_copies(n=70):
         text = list(base)
         for _ in range(k % 5):
             text[rng.randrange(len(text))] = f"Y{rng.randrange(50)}"
-        rows.append((10_000 + k, " ".join(text), None, None, None, None, None))
+        rows.append((10_000 + k, " ".join(text), *[None] * 10))
     return rows
 
 

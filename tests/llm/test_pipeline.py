@@ -19,7 +19,7 @@ def folder(spark, tmp_path_factory):
     rows = odd_documents(11, 80)
     for k in range(60):
         junk = " ".join(f"{w}%%%" for w in prose(rng, 60).split())
-        rows.append((20_000 + k, junk, None, None, None, None, None))
+        rows.append((20_000 + k, junk, *[None] * 10))
     labels = [(r[0], int("%%%" not in (r[1] or "")), 0) for r in rows if r[0] is not None and r[0] % 2]
     base = str(tmp_path_factory.mktemp("tables"))
     spark.createDataFrame(rows, SCHEMA).write.parquet(f"{base}/documents.parquet")

@@ -84,7 +84,7 @@ def test_against_brute_force(spark, monkeypatch, size):
         monkeypatch.setattr(text_prints, "RANGE_BYTES", size)
     rows = odd_documents(9, 40)[-45:]
     rows = [(r[0], (r[1] or "")[:700] if r[1] else r[1], *r[2:]) for r in rows]
-    rows += [(90_000, "🙂" * 40, None, None, None, None, None), (90_001, "🙂" * 15, None, None, None, None, None)]
+    rows += [(90_000, "🙂" * 40, *[None] * 10), (90_001, "🙂" * 15, *[None] * 10)]
     docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
     got = text_prints.fingerprint_documents(docs).collect()
     assert sorted(map(tuple, got), key=str) == sorted(brute(rows), key=str)

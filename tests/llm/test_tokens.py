@@ -25,7 +25,7 @@ def encode():
 
 def rows(n=1):
     many = odd_documents(7)
-    return many + [(100_000 + k, t, None, None, None, None, None) for k, t in enumerate(ODD)]
+    return many + [(100_000 + k, t, *[None] * 10) for k, t in enumerate(ODD)]
 
 
 def crc(ids):
