@@ -37,7 +37,7 @@ def _cut(tokenizer: str, size: int, end_id: int):
     def run(batches):
         encoder = Encoder.of(vocabulary_path(tokenizer))
         met = np.zeros(size + 1, np.int64)  # pieces of each length so far
-        for batch in in_pieces(batches, 1, 4 << 20):
+        for batch in in_pieces(batches, 1, 2 << 20):
             ids, ends = encoder.encode(batch.column(1))
             to = ends + np.arange(1, len(ends) + 1)
             whole = np.full(int(to[-1]), end_id, "<u4")

@@ -143,10 +143,12 @@ def fit(
     return weights
 
 
-def _score(weights: np.ndarray, bits: int):
+def _score(weights: np.ndarray, bits: int, text):
+    """`text` gives the texts of a batch, whose first column is passed on."""
+
     def run(batches):
-        for batch in in_pieces(batches, 1):
-            data, ends = text_buffer(batch.column(1))
+        for batch in in_pieces(batches, text):
+            data, ends = text_buffer(text(batch))
             bins, to = features(data, ends, bits)
             begin = np.concatenate(([0], to[:-1])).astype(np.int64)
             sums = np.concatenate(([0.0], np.cumsum(weights[bins], dtype=np.float64)))
@@ -163,7 +165,7 @@ def score_quality(docs: DataFrame, weights: np.ndarray, bits: int = BITS) -> Dat
     """(other, score) of each row: `other` is a struct of all columns but the text."""
     others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
     rows = docs.select(F.struct(*others).alias("other"), F.col("text"))
-    return rows.mapInArrow(_score(weights, bits), _scored(rows))
+    return rows.mapInArrow(_score(weights, bits, lambda batch: batch.column(1)), _scored(rows))
 
 
 def _scored(rows: DataFrame) -> T.StructType:
@@ -184,9 +186,7 @@ def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of `docs` that aren't rejected (score of 1/2 and more), all columns kept."""
     weights = fit(docs, labels.select("doc_id", F.col("quality").alias("label")))
-    columns = docs.columns
-    others = [F.col(f"`{c}`") for c in columns]
     # The text goes along inside the struct, so rows needn't be joined again.
-    rows = docs.select(F.struct(*others).alias("other"), F.col("text"))
-    scored = rows.mapInArrow(_score(weights, BITS), _scored(rows))
-    return scored.where("score >= 0.5").select("other.*")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("other"))
+    text = _score(weights, BITS, lambda batch: batch.column(0).field("text"))
+    return rows.mapInArrow(text, _scored(rows)).where("score >= 0.5").select("other.*")

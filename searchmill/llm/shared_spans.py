@@ -41,6 +41,7 @@ from searchmill.llm.windows import (
     segments,
     text_buffer,
     mix,
+    release,
     word_hashes,
     word_spans,
 )
@@ -198,6 +199,7 @@ FOUND = (
 
 def _anchors_of(units: Units, width: int, gram: int, n_shards: int):
     def run(docs: pa.Table, side: pa.Table) -> pa.Table:
+        release()
         block = Block(docs, units)
         _, _, values, unit_ends, _ = block.read(block.first_copies(side))
         found = [anchor for *_, anchor in segments(values, unit_ends, width, gram)]
@@ -288,6 +290,7 @@ def _places(start: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 def _segments_of(units: Units, width: int, gram: int, n_anchor_shards: int, n_shards: int):
     def run(docs: pa.Table, side: pa.Table) -> pa.Table:
+        release()
         block = Block(docs, units)
         number = docs["block"][0].as_py() if docs.num_rows else 0
         firsts = block.first_copies(side)
@@ -471,6 +474,7 @@ def _cut(units: Units, width: int):
     """Documents without their covered units, a row for each of the block's rows."""
 
     def run(docs: pa.Table, side: pa.Table) -> pa.Table:
+        release()
         block = Block(docs, units)
         everything = np.arange(len(block.doc))
         data, ends, _, unit_ends, state = block.read(everything)

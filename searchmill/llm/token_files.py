@@ -50,7 +50,7 @@ def _writer(folder: str, tokenizer: str, end_id: int):
         name, out, total, n_null, part = uuid.uuid4().hex, None, 0, 0, -1
         offsets, doc_ids = [np.zeros(1, np.int64)], []
         system, path = _open(folder)
-        for batch in in_pieces(batches, 2, 4 << 20):
+        for batch in in_pieces(batches, 2, 2 << 20):
             if out is None:
                 system.create_dir(path, recursive=True)
                 out = system.open_output_stream(f"{path}/{name}.bin")

@@ -71,12 +71,13 @@ class Encoder:
             return
         raw = data.tobytes()
         chunks = [raw[a:b].decode() for a, b in zip(start[new].tolist(), stop[new].tolist(), strict=True)]
-        found = []
-        for low in range(0, len(chunks), 1 << 14):
-            some = self.tokenizer.encode_batch_fast(chunks[low : low + (1 << 14)], add_special_tokens=False)
-            found += [e.ids for e in some]
-        size = np.array([len(x) for x in found], np.int64)
-        ids = np.fromiter((i for x in found for i in x), np.uint32, int(size.sum()))
+        sizes, found = [], []
+        for low in range(0, len(chunks), 1 << 12):
+            some = self.tokenizer.encode_batch_fast(chunks[low : low + (1 << 12)], add_special_tokens=False)
+            some = [e.ids for e in some]
+            sizes.append(np.array([len(x) for x in some], np.int64))
+            found.append(np.fromiter((i for x in some for i in x), np.uint32, int(sizes[-1].sum())))
+        size, ids = np.concatenate(sizes), np.concatenate(found)
         all_hashes = np.concatenate((self.hashes, hashes[new]))
         begin = np.concatenate((self.begin, len(self.ids) + np.cumsum(size) - size))
         order = np.argsort(all_hashes, kind="stable")

@@ -175,13 +175,29 @@ def text_buffer(column) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[at[0] : at[-1]], at[1:] - at[0]
 
 
-def in_pieces(batches, column: int, most: int = 8 << 20):
-    """The batches cut into runs of rows with up to about `most` bytes of text each."""
+def release() -> None:
+    """Give freed memory back to the system: Python workers live on between tasks, and those of
+    an executor share its memory with the JVM."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not glibc
+        pass
+
+
+def in_pieces(batches, column, most: int = 1 << 20):
+    """The batches cut into runs of rows with up to about `most` bytes of text each, so that
+    the arrays made from them stay small. `column`: a number, or a function of a batch."""
     for batch in batches:
-        _, ends = text_buffer(batch.column(column))
+        _, ends = text_buffer(column(batch) if callable(column) else batch.column(column))
         at = 0
         while at < batch.num_rows:
             done = int(ends[at - 1]) if at else 0
             to = max(int(np.searchsorted(ends, done + most, "right")), at + 1)
             yield batch.slice(at, to - at)
             at = to
+    release()
