@@ -23,7 +23,7 @@ WIDTH = 50
 GRAM = 24
 SEPARATOR = 0xFF
 FEW_NAMES = 1024
-"""Names that a string may have on average per ... see `suffix_array`."""
+"""A string with more different symbols than this is sorted by doubling."""
 
 
 def smaller_than_next(s: np.ndarray) -> np.ndarray:
@@ -118,7 +118,6 @@ def by_doubling(names: np.ndarray) -> np.ndarray:
     """Suffix array of a string of many different names."""
     n, rank, step = len(names), names.astype(np.int64) + 1, 1
     order = np.argsort(rank, kind="stable")
-    live = np.arange(n)
     while True:
         ordered = rank[order]
         tied = np.zeros(n, bool)
