@@ -32,6 +32,7 @@ from searchmill.llm.windows import in_pieces
 
 PRIME = np.uint64((1 << 31) - 1)
 BASES = (911382323, 1587329573)
+INVERSES = {base: pow(base, -1, (1 << 31) - 1) for base in BASES}
 SPAN = 16
 KEPT = 64
 RANGE_BYTES = 4 << 20
@@ -55,17 +56,36 @@ class Powers:
         return powers
 
 
+def reduced(x: np.ndarray) -> np.ndarray:
+    """x modulo PRIME for x below 2^63: the bits above 31 count as much as those below."""
+    x = (x & PRIME) + (x >> np.uint64(31))
+    x = (x & PRIME) + (x >> np.uint64(31))
+    return np.minimum(x, x - PRIME)  # below PRIME, the difference wraps around
+
+
 class Prefixes:
     """Prefix arrays of a text's code points."""
 
     def __init__(self, points: np.ndarray):
         self.n = len(points)
         self.sums = []
+        values = points.astype(np.uint64) + np.uint64(1)
         for base in BASES:
-            terms = (points.astype(np.uint64) + np.uint64(1)) * Powers.of(base, self.n)[: self.n] % PRIME
+            terms = reduced(values * Powers.of(base, self.n)[: self.n])
             sums = np.zeros(self.n + 1, np.uint64)
             np.cumsum(terms, out=sums[1:])  # below 2^31 times the length: no overflow
-            self.sums.append(sums % PRIME)
+            self.sums.append(reduced(sums))
+
+    def spliced(self, keep: int, following: Prefixes, taken: int) -> Prefixes:
+        """Of the first `keep` code points and then `taken` ones of another text."""
+        out = Prefixes.__new__(Prefixes)
+        out.n = keep + taken
+        out.sums = []
+        for base, sums, others in zip(BASES, self.sums, following.sums, strict=True):
+            shift = Powers.of(base, keep + 1)[keep]
+            tail = reduced(sums[keep : keep + 1] + reduced(others[1 : taken + 1] * shift))
+            out.sums.append(np.concatenate((sums[: keep + 1], tail)))
+        return out
 
     def spans(self, start, size) -> np.ndarray:
         """Hashes of the spans of `size` code points from each start on."""
@@ -74,18 +94,45 @@ class Prefixes:
         most = int(start.max()) + 1 if start.size else 1
         out = np.zeros(np.broadcast(start, size).shape, np.uint64)
         for base, sums in zip(BASES, self.sums, strict=True):
-            down = Powers.of(pow(base, -1, int(PRIME)), most)
-            one = (sums[start + size] + PRIME - sums[start]) % PRIME * down[start] % PRIME
+            down = Powers.of(INVERSES[base], most)
+            one = reduced(reduced(sums[start + size] + PRIME - sums[start]) * down[start])
+            out = (out << np.uint64(31)) | one
+        return out
+
+    def whole(self) -> int:
+        """Hash of the whole text."""
+        out = 0
+        for sums in self.sums:
+            out = out << 31 | int(sums[-1])
+        return out
+
+    def all_spans(self, size: int) -> np.ndarray:
+        """Hashes of all spans of `size` code points."""
+        n = max(self.n - size + 1, 0)
+        out = np.zeros(n, np.uint64)
+        for base, sums in zip(BASES, self.sums, strict=True):
+            down = Powers.of(INVERSES[base], n)[:n]
+            one = reduced(reduced(sums[size:] + PRIME - sums[:n]) * down) if n else out
             out = (out << np.uint64(31)) | one
         return out
 
 
 def common_extension(a: Prefixes, at: int, b: Prefixes, to: int) -> int:
-    """Longest common extension of place `at` in a and place `to` in b, by binary search."""
+    """Longest common extension of place `at` in a and place `to` in b, by binary search.
+
+    Spans are equal if their sums are, each shifted by the other's place."""
+    prime = int(PRIME)
+    sides = [
+        (x, int(x[at]), int(Powers.of(base, to + 1)[to]), y, int(y[to]), int(Powers.of(base, at + 1)[at]))
+        for base, x, y in zip(BASES, a.sums, b.sums, strict=True)
+    ]
     low, high = 0, min(a.n - at, b.n - to)
     while low < high:
         middle = (low + high + 1) // 2
-        if a.spans(at, middle) == b.spans(to, middle):
+        if all(
+            ((int(x[at + middle]) - x0) * up - (int(y[to + middle]) - y0) * other) % prime == 0
+            for x, x0, up, y, y0, other in sides
+        ):
             low = middle
         else:
             high = middle - 1
@@ -96,15 +143,14 @@ def code_points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
 
 
-def sketch(prefixes: Prefixes, span: int = SPAN, kept: int = KEPT) -> tuple[int, int, np.ndarray]:
-    """(code points, hash of the whole text, smallest span hashes)."""
+def sketch(prefixes: Prefixes, hashes: np.ndarray, kept: int = KEPT) -> tuple[int, int, np.ndarray]:
+    """(code points, hash of the whole text, smallest of its spans' hashes)."""
     n = prefixes.n
-    whole = int(prefixes.spans(0, n))
+    whole = prefixes.whole()
     if not n:
         return 0, whole, np.empty(0, np.uint64)
-    if n <= span:
-        return n, whole, np.array([spread(np.uint64(whole))], np.uint64)
-    hashes = spread(prefixes.spans(np.arange(n - span + 1), span))
+    if not len(hashes):  # a text shorter than a span
+        hashes = spread(np.array([whole], np.uint64))
     few = min(4 * kept, len(hashes))
     # Repeated spans may fill the smallest places: take more until enough differ.
     while True:
@@ -114,6 +160,11 @@ def sketch(prefixes: Prefixes, span: int = SPAN, kept: int = KEPT) -> tuple[int,
         few = min(4 * few, len(hashes))
 
 
+def text_sketch(text: str) -> tuple[int, int, np.ndarray]:
+    prefixes = Prefixes(code_points(text))
+    return sketch(prefixes, spread(prefixes.all_spans(SPAN)))
+
+
 def spread(h):
     """A bijection of 64 bits, so that small polynomial hashes aren't those of like spans."""
     with np.errstate(over="ignore"):
@@ -135,12 +186,10 @@ def from_text(text: str) -> tuple[int, int, np.ndarray]:
 def likeness(a, b, kept: int = KEPT) -> float:
     if a[:2] == b[:2]:
         return 1.0
+    x, y = set(a[2].tolist()), set(b[2].tolist())
     # The smallest hashes of both together, of which neither side lacks one unseen.
-    both = np.union1d(a[2], b[2])[:kept]
-    if not len(both):
-        return 0.0
-    common = np.intersect1d(np.intersect1d(a[2], b[2]), both)
-    return len(common) / len(both)
+    both = sorted(x | y)[:kept]
+    return sum(h in x and h in y for h in both) / len(both) if both else 0.0
 
 
 def edited(text: str, following: str) -> str:
@@ -164,13 +213,26 @@ class Text:
 
     def __post_init__(self):
         self.prefixes = Prefixes(code_points(self.text))
-        self.sketch = sketch(self.prefixes)
+        self.hashes = spread(self.prefixes.all_spans(SPAN))
+        self.sketch = sketch(self.prefixes, self.hashes)
 
     def before(self, following: Text) -> tuple:
-        """The result row of this text, if `following` is the next one."""
+        """The result row of this text, if `following` is the next one.
+
+        Prefix arrays and span hashes of the edited text come from those of the two texts;
+        only the spans that cross the seam are hashed anew.
+        """
         changed = edited(self.text, following.text)
-        prefixes = Prefixes(code_points(changed))
-        changed_sketch = sketch(prefixes)
+        keep = self.prefixes.n - self.prefixes.n // 3
+        taken = len(changed) - keep
+        prefixes = self.prefixes.spliced(keep, following.prefixes, taken)
+        seam = Prefixes(code_points(changed[max(keep - SPAN + 1, 0) : keep + SPAN - 1]))
+        hashes = (
+            self.hashes[: max(keep - SPAN + 1, 0)],
+            spread(seam.all_spans(SPAN)),
+            following.hashes[: max(taken - SPAN + 1, 0)],
+        )
+        changed_sketch = sketch(prefixes, np.concatenate(hashes))
         return (
             self.doc_id,
             self.prefixes.n,

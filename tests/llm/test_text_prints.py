@@ -100,8 +100,8 @@ def test_one_document_and_none(spark):
 def test_likeness_separates():
     rng = random.Random(5)
     texts = ["".join(rng.choices("abcdefgh ", k=2000)) for _ in range(20)]
-    sketches = [text_prints.sketch(Prefixes(code_points(t))) for t in texts]
+    sketches = [text_prints.text_sketch(t) for t in texts]
     for t, s, other in zip(texts, sketches, sketches[1:] + sketches[:1], strict=True):
-        changed = text_prints.sketch(Prefixes(code_points(t[:1900] + "x" * 100)))
+        changed = text_prints.text_sketch(t[:1900] + "x" * 100)
         assert text_prints.likeness(s, changed) > 0.7 > 0.1 > text_prints.likeness(s, other)
         assert text_prints.from_text(text_prints.as_text(s))[:2] == s[:2]
