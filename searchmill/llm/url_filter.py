@@ -8,7 +8,9 @@ posterior (mean less `z` standard deviations) reaches `least`.
 
 A host without labelled pages has its domain's posterior mean as prior mean, and so on up to
 the rate of all pages; without any labels that rate is 1/2. Registered domain: the last two
-labels of a host. Suffix: the last label. A public suffix list may be given as other columns.
+labels of a host. Suffix: the last label. A table of public suffixes may be given (`suffixes`):
+hosts under one of them have it as suffix, and it and the label before as registered domain; the
+others keep the last two labels.
 
 Null or malformed URLs (no `://`) have an empty host and path, fit no rule, and are judged as
 the host ''. Repeated pages are judged one by one; labels with null count for nothing.
@@ -22,6 +24,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from searchmill.llm.tables import small
+
 RULES = [
     ("allow", "org", "/"),
     ("block", "example.org", "/es/"),
@@ -34,6 +38,8 @@ RULES = [
 LEAST = 0.5
 Z = 1.645
 LEVELS = ["suffix", "domain", "host"]
+SUFFIX_ROWS = 1 << 17
+"""Suffixes that may be sent to all tasks (the public list has some ten thousand); more are shuffled."""
 
 
 def url_parts(url: Column) -> tuple[Column, Column]:
@@ -59,9 +65,50 @@ def rule_columns(host: Column, path: Column, rules=RULES) -> tuple[Column, Colum
     return rule, verdict
 
 
-def host_levels(host: Column) -> tuple[Column, Column]:
-    """(registered domain, suffix)."""
-    return F.substring_index(host, ".", -2), F.substring_index(host, ".", -1)
+def _last_labels(host: Column, n: Column) -> Column:
+    return F.call_function("substring_index", host, F.lit("."), -n)
+
+
+def _suffix_rules(suffixes: DataFrame) -> DataFrame:
+    """(name, more): hosts that end with `name` have its labels and `more` others as suffix."""
+    rule = F.lower(F.trim("suffix"))
+    name = F.regexp_replace(rule, r"^(!|\*?\.)", "")
+    more = F.when(rule.startswith("!"), -1).when(rule.startswith("*."), 1).otherwise(0)
+    rules = suffixes.select(name.alias("name"), more.alias("more")).where("name <> ''").distinct()
+    return small(rules, SUFFIX_ROWS)
+
+
+def host_levels(hosts: DataFrame, suffixes: DataFrame | None = None) -> DataFrame:
+    """`hosts` (host and other columns, each host once) with its registered domain and suffix.
+
+    `suffixes` has a column `suffix` as the public suffix list writes it (`co.uk`, `*.ck`,
+    `!www.ck`), its labels spelt as in hosts: an exception wins, else the longest. A port counts
+    for the last label but for no comparison. A host that is a suffix is its own domain.
+    """
+    host, columns = F.col("host"), hosts.columns
+    labels = F.lit(1)
+    if suffixes is not None:
+        rules = _suffix_rules(suffixes)
+        longest = rules.agg(F.coalesce(F.max(F.size(F.split("name", r"\."))), F.lit(1))).scalar()
+        size = F.size(F.split(host, r"\."))
+        bare = F.regexp_replace(host, r":[0-9]*$", "")
+        ends = hosts.select("*", F.explode(F.sequence(F.lit(1), F.least(size, longest))).alias("at"))
+        ends = ends.withColumn("name", _last_labels(bare, F.col("at")))
+        fits = F.col("at") + F.col("more") <= size
+        hosts = (
+            ends.join(rules, "name", "left")
+            .groupBy(*columns)
+            .agg(
+                F.max(F.when(F.col("more") < 0, F.col("at") - 1)).alias("except"),
+                F.max(F.when((F.col("more") >= 0) & fits, F.col("at") + F.col("more"))).alias("most"),
+            )
+        )
+        labels = F.greatest(F.coalesce("except", "most", F.lit(1)), F.lit(1))
+    return hosts.select(
+        *columns,
+        _last_labels(host, labels + 1).alias("domain"),
+        _last_labels(host, labels).alias("suffix"),
+    )
 
 
 def _strength(groups: DataFrame, rate: Column, prefix: str) -> DataFrame:
@@ -82,10 +129,13 @@ def _strength(groups: DataFrame, rate: Column, prefix: str) -> DataFrame:
     return sums.select((1 / rho - 1).alias(f"{prefix}_strength"))
 
 
-def host_reputation(pages: DataFrame, outcomes: DataFrame, z: float = Z) -> DataFrame:
+def host_reputation(
+    pages: DataFrame, outcomes: DataFrame, z: float = Z, suffixes: DataFrame | None = None
+) -> DataFrame:
     """(host, n_labelled, mean, bound) of each host in `pages` (page_id, url).
 
-    `outcomes` has (page_id, good); a page labelled twice counts twice.
+    `outcomes` has (page_id, good); a page labelled twice counts twice. `suffixes` as in
+    `host_levels`.
     """
     host, _ = url_parts(F.col("url"))
     hosts = pages.select("page_id", host.alias("host"))
@@ -97,8 +147,7 @@ def host_reputation(pages: DataFrame, outcomes: DataFrame, z: float = Z) -> Data
         .groupBy("host")
         .agg(F.sum(F.coalesce("good", F.lit(0.0))).alias("good"), F.count("good").alias("n"))
     )
-    domain, suffix = host_levels(F.col("host"))
-    counts = counts.select("host", domain.alias("domain"), suffix.alias("suffix"), "good", "n")
+    counts = host_levels(counts, suffixes).select("host", "domain", "suffix", "good", "n")
 
     totals = counts.agg(F.sum("good").alias("g"), F.sum("n").alias("m"))
     prior = totals.select(F.coalesce(F.col("g") / F.nullif(F.col("m"), F.lit(0)), F.lit(0.5)).alias("prior"))
@@ -122,7 +171,12 @@ def host_reputation(pages: DataFrame, outcomes: DataFrame, z: float = Z) -> Data
 
 
 def filter_urls(
-    pages: DataFrame, outcomes: DataFrame, rules=RULES, least: float = LEAST, z: float = Z
+    pages: DataFrame,
+    outcomes: DataFrame,
+    rules=RULES,
+    least: float = LEAST,
+    z: float = Z,
+    suffixes: DataFrame | None = None,
 ) -> DataFrame:
     """Each page of (page_id, url) with host, path, rule, verdict, bound and n_labelled."""
     pages = pages.select("page_id", "url")
@@ -131,7 +185,7 @@ def filter_urls(
     judged = pages.select("page_id", host.alias("host"), path.alias("path")).select(
         "page_id", "host", "path", rule.alias("rule"), said.alias("said")
     )
-    known = host_reputation(pages, outcomes, z)
+    known = host_reputation(pages, outcomes, z, suffixes)
     by_method = F.when(F.col("bound") >= least, F.lit("allow")).otherwise(F.lit("block"))
     return judged.join(known, "host").select(
         "page_id",

@@ -1,6 +1,6 @@
 """URL rules and host reputation on odd URLs."""
 
-from searchmill.llm.url_filter import filter_urls, host_reputation
+from searchmill.llm.url_filter import filter_urls, host_levels, host_reputation
 
 SCHEMA = "page_id long, url string, host int, verdict string"
 ROWS = [
@@ -69,3 +69,44 @@ def test_shrinkage(spark):
     assert all(0 <= r.bound <= r.mean for r in by.values())
     verdicts = {r.host: r.verdict for r in filter_urls(pages, outcomes, rules=[]).collect()}
     assert (verdicts["a.x.org"], verdicts["b.x.org"]) == ("allow", "block")
+
+
+def test_suffix_table(spark):
+    """Longest suffix, wildcard, exception; without a fitting one the last two labels."""
+    suffixes = [("co.uk",), ("uk",), ("com",), (".COM.au",), ("*.ck",), ("!www.ck",), ("co.uk",), (None,), ("",)]
+    want = {
+        "news.bbc.co.uk": ("bbc.co.uk", "co.uk"),
+        "bbc.co.uk:8080": ("bbc.co.uk:8080", "co.uk:8080"),
+        "co.uk": ("co.uk", "co.uk"),
+        "a.b.uk": ("b.uk", "uk"),
+        "notco.uk": ("notco.uk", "uk"),
+        "x.com.au": ("x.com.au", "com.au"),
+        "a.b.c.ck": ("b.c.ck", "c.ck"),
+        "ck": ("ck", "ck"),
+        "a.www.ck": ("www.ck", "ck"),
+        "a.x.org": ("x.org", "org"),
+        "": ("", ""),
+    }
+    hosts = spark.createDataFrame([(h, 1) for h in want], "host string, n int")
+    for table, rows in (("none", []), ("some", suffixes)):
+        given = spark.createDataFrame(rows, "suffix string")
+        got = {r.host: (r.domain, r.suffix) for r in host_levels(hosts, given).collect()}
+        plain = {r.host: (r.domain, r.suffix) for r in host_levels(hosts).collect()}
+        assert got == (want if table == "some" else plain)
+
+
+def test_unrelated_sites_of_a_long_suffix_do_not_share(spark):
+    """A host without labels follows its own site, not another one under `co.uk`."""
+    rows, labels = [], []
+    for host, good in [("a.good.co.uk", 1), ("b.good.co.uk", 1), ("a.bad.co.uk", 0), ("b.bad.co.uk", 0)]:
+        for k in range(100):
+            rows.append((len(rows), f"http://{host}/{k}", None, None))
+            labels.append((len(labels), good))
+    rows += [(1000, "http://new.good.co.uk/", None, None), (1001, "http://new.bad.co.uk/", None, None)]
+    pages = spark.createDataFrame(rows, SCHEMA)
+    outcomes = spark.createDataFrame(labels, "page_id long, good int")
+    suffixes = spark.createDataFrame([("co.uk",)], "suffix string")
+    judged = filter_urls(pages, outcomes, rules=[], suffixes=suffixes).collect()
+    verdicts = {r.host: r.verdict for r in judged}
+    assert len(judged) == len(rows)
+    assert (verdicts["new.good.co.uk"], verdicts["new.bad.co.uk"]) == ("allow", "block")
