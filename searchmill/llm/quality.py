@@ -6,10 +6,12 @@ bins; a token that comes again after one or two places is the n-gram "same" as w
 the token. A text's value for a bin is its count over the square root of the number of features.
 Nothing but the text is an input.
 
-Training: labelled rows outside the held-out fold, at most about `MOST_ROWS` of them (chosen by
-a hash of doc_id; the only bound here). They are dealt into `SHARDS` groups; each group passes
-its rows `EPOCHS` times through follow-the-regularised-leader updates in a fixed order, and the
-groups' weights are averaged. The weights are at most 2^BITS numbers, so they go to all tasks.
+Training: examples (doc_id, text, label) outside the held-out fold, at most about `MOST_ROWS`
+different ones (chosen by a hash of all three; the only bound here). Copies of an example, by
+repeated documents or labels, are one row with their number. They are dealt into `SHARDS` groups;
+each group passes its rows `EPOCHS` times through follow-the-regularised-leader updates in a fixed
+order, and the groups' weights are averaged. Copies are updates one after the other, beyond
+`ONE_BY_ONE` in steps that weigh as many copies as 1/64 of those before. The weights are at most 2^BITS numbers, so they go to all tasks.
 Scoring reads every whole text once: a sum of weights per text, without a shuffle.
 
 Null and empty texts have no features: their score is that of the intercept. Without any labelled
@@ -26,12 +28,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from searchmill.llm.decontamination import LETTERS
+from searchmill.llm.tables import written
 from searchmill.llm.windows import U64, in_pieces, mix, text_buffer, word_hashes
 
 BITS = 18
 MOST_ROWS = 16_000
 SHARDS = 8
 EPOCHS = 2
+ONE_BY_ONE = 64
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 0.1, 0.1
 FOLDS, HELD_OUT = 3, 1
 
@@ -69,8 +73,18 @@ def features(data: np.ndarray, ends: np.ndarray, bits: int) -> tuple[np.ndarray,
     return bins, np.searchsorted(both[order], np.arange(len(ends)), "right")
 
 
-def ftrl(rows: list, labels: np.ndarray, bits: int, epochs: int) -> np.ndarray:
+def steps(copies: int) -> list[int]:
+    """How many copies each update stands for: 1, then a growing share of those before."""
+    out, done = [], 0
+    while done < copies:
+        out.append(min(max(done // ONE_BY_ONE, 1), copies - done))
+        done += out[-1]
+    return out
+
+
+def ftrl(rows: list, labels: np.ndarray, bits: int, epochs: int, copies: np.ndarray | None = None) -> np.ndarray:
     """Weights (the last is the intercept) after `epochs` passes over (bins, values) rows."""
+    copies = np.ones(len(labels), np.int64) if copies is None else copies
     n_bins = (1 << bits) + 1
     z, n = np.zeros(n_bins), np.zeros(n_bins)
 
@@ -80,13 +94,14 @@ def ftrl(rows: list, labels: np.ndarray, bits: int, epochs: int) -> np.ndarray:
         return -shrunk / ((BETA + np.sqrt(n[at])) / ALPHA + L2)
 
     for _ in range(epochs):
-        for (at, value), label in zip(rows, labels, strict=True):
-            w = weights(at)
-            p = 1 / (1 + np.exp(-np.clip(w @ value, -35, 35)))
-            g = (p - label) * value
-            sigma = (np.sqrt(n[at] + g * g) - np.sqrt(n[at])) / ALPHA
-            z[at] += g - sigma * w
-            n[at] += g * g
+        for (at, value), label, same in zip(rows, labels, copies.tolist(), strict=True):
+            for times in steps(same):
+                w = weights(at)
+                p = 1 / (1 + np.exp(-np.clip(w @ value, -35, 35)))
+                g = times * (p - label) * value
+                sigma = (np.sqrt(n[at] + g * g) - np.sqrt(n[at])) / ALPHA
+                z[at] += g - sigma * w
+                n[at] += g * g
     return weights(np.arange(n_bins))
 
 
@@ -103,43 +118,71 @@ def _rows(column, bits: int) -> list:
 
 def _train(bits: int, epochs: int):
     def run(table: pa.Table) -> pa.Table:
-        order = np.lexsort((table["label"].to_numpy(), table["place"].to_numpy()))
+        order = np.lexsort([table[c].to_numpy() for c in ("hash", "label", "place")])
         table = table.take(pa.array(order)).combine_chunks()
         rows = [r for b in in_pieces(table.to_batches(), 2) for r in _rows(b.column(2), bits)]
-        w = ftrl(rows, table["label"].to_numpy(), bits, epochs)
+        w = ftrl(rows, table["label"].to_numpy(), bits, epochs, table["copies"].to_numpy())
         at = np.flatnonzero(w)
         return pa.table({"bin": pa.array(at, pa.int32()), "weight": pa.array(w[at])})
 
     return run
 
 
+def training_rows(docs: DataFrame, labels: DataFrame, most_rows: int, shards: int) -> tuple[DataFrame, int]:
+    """(shard, place, text, label, hash, copies) of each different example, and the shards in use."""
+    labelled = (
+        labels.where(
+            F.col("label").isNotNull() & F.col("doc_id").isNotNull() & (fold(F.col("doc_id")) != HELD_OUT)
+        )
+        .groupBy(F.col("doc_id").alias("labelled_id"), F.col("label").cast("double").alias("label"))
+        .agg(F.count("*").alias("n_labels"))
+    )
+    texts = docs.where("doc_id IS NOT NULL").select("doc_id", "text", F.xxhash64("text").alias("hash"))
+    # Counted before the texts meet the labels: copies are no more rows from here on.
+    examples = (
+        texts.groupBy("doc_id", "hash")
+        .agg(F.count("*").alias("n_texts"))
+        .join(labelled, F.col("doc_id") == F.col("labelled_id"))
+        .select(
+            "doc_id",
+            "hash",
+            "label",
+            F.xxhash64("labelled_id").alias("place"),
+            F.xxhash64("labelled_id", "hash", "label").alias("draw"),
+            (F.col("n_texts") * F.col("n_labels")).alias("copies"),
+        )
+    )
+    # At most `most_rows` examples, up to chance in the hash: small enough for every task.
+    share = int(min(1.0, most_rows / max(examples.count(), 1)) * (1 << 32))
+    sample = written(
+        examples.where(F.pmod("draw", F.lit(1 << 32)) < share).select(
+            F.pmod(F.hash("place"), F.lit(shards)).alias("shard"), "place", "doc_id", "hash", "label", "copies"
+        ),
+        "quality-sample",
+    )
+    drawn = sample.select("doc_id", "hash").distinct()
+    once = (
+        texts.join(F.broadcast(drawn), ["doc_id", "hash"], "left_semi")
+        .groupBy("doc_id", "hash")
+        .agg(F.first("text").alias("text"))
+    )
+    rows = once.join(F.broadcast(sample), ["doc_id", "hash"])
+    n_shards = sample.select("shard").distinct().count()
+    return rows.select("shard", "place", "text", "label", "hash", "copies"), n_shards
+
+
 def fit(
     docs: DataFrame, labels: DataFrame, bits: int = BITS, most_rows: int = MOST_ROWS,
     shards: int = SHARDS, epochs: int = EPOCHS,
 ) -> np.ndarray:
     """Weights from labelled rows (doc_id, label) outside the held-out fold."""
-    place = F.xxhash64("doc_id")
-    usable = labels.where(
-        F.col("label").isNotNull() & F.col("doc_id").isNotNull() & (fold(F.col("doc_id")) != HELD_OUT)
-    ).select("doc_id", F.col("label").cast("double").alias("label"), place.alias("place"))
-    total = usable.count()
     weights = np.zeros((1 << bits) + 1)
-    if not total:
+    rows, n_shards = training_rows(docs, labels, most_rows, shards)
+    if not n_shards:
         return weights
-    # At most `most_rows` labels, up to chance in the hash: small enough for every task.
-    share = int(min(1.0, most_rows / total) * (1 << 32))
-    sample = usable.where(F.pmod("place", F.lit(1 << 32)) < share).select(
-        F.col("doc_id").alias("labelled_id"), "label", "place"
-    )
-    rows = (
-        docs.select("doc_id", "text")
-        .join(F.broadcast(sample), F.col("doc_id") == F.col("labelled_id"))
-        .select(F.pmod(F.hash("place"), F.lit(shards)).alias("shard"), "place", "text", "label")
-    )
     trained = rows.groupBy("shard").applyInArrow(_train(bits, epochs), "bin int, weight double")
-    n_shards = rows.select("shard").distinct().count()
     for row in trained.groupBy("bin").agg(F.sum("weight").alias("weight")).collect():
-        weights[row["bin"]] = row["weight"] / max(n_shards, 1)
+        weights[row["bin"]] = row["weight"] / n_shards
     return weights
 
 

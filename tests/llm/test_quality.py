@@ -90,3 +90,32 @@ def test_held_out_accuracy(spark):
     got = quality.digest(docs, labels).where("held_out").join(labels, "doc_id").collect()
     right = sum(r.predicted == r.quality for r in got)
     assert len(got) > 50 and right / len(got) > 0.95
+
+
+def test_copies_and_repeated_ids_stay_within_the_bound(spark):
+    """One doc_id with a third of the labels, and with most of the documents."""
+    ids = [i for i in range(400) if zlib.crc32(str(i).encode()) % 3 != 1]
+    hot = ids[0]
+    docs = [(i, f"text {i}") for i in ids] + [(hot, "copy")] * 300 + [(hot, f"other {k}") for k in range(500)]
+    labels = [(i, i % 2) for i in ids] + [(hot, 1)] * 200
+    docs = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    labels = spark.createDataFrame(labels, "doc_id long, label int")
+    joined = docs.join(labels, "doc_id")
+    few, _ = quality.training_rows(docs, labels, 100, 8)
+    assert 50 <= few.count() <= 150
+    every, _ = quality.training_rows(docs, labels, 10_000, 8)
+    got = every.collect()
+    assert len(got) == joined.distinct().count() < 10_000
+    assert sum(r.copies for r in got) == joined.count() > 100_000
+
+
+def test_copies_train_like_repeated_rows():
+    rng = np.random.default_rng(4)
+    rows = [(np.append(np.sort(rng.choice(8, 3, replace=False)), 8), np.append(rng.random(3), 1.0)) for _ in range(20)]
+    labels = rng.integers(0, 2, 20).astype(float)
+    for top, tolerance in ((quality.ONE_BY_ONE, 0), (20_000, 0.02)):
+        copies = rng.integers(1, top + 1, 20)
+        each = np.repeat(np.arange(20), copies)
+        want = quality.ftrl([rows[k] for k in each], labels[each], 3, 2)
+        assert np.allclose(quality.ftrl(rows, labels, 3, 2, copies), want, rtol=0, atol=tolerance * abs(want).max())
+    assert sum(quality.steps(10**9)) == 10**9 and len(quality.steps(10**9)) < 2_000
