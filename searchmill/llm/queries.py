@@ -12,6 +12,7 @@ from searchmill.llm import (
     ngram_join,
     packing,
     quality,
+    simhash,
     substring_dedup,
     suffix_dedup,
     text_prints,
@@ -305,3 +306,9 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as token files, read back."""
     return token_files.digest(read_table(spark, sf_dir, "documents"), TOKENIZER)
+
+
+@query
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    return simhash.digest(read_table(spark, sf_dir, "documents"))

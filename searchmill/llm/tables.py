@@ -49,3 +49,21 @@ def parts(n_bytes: int, per_part: int) -> int:
 def small(df: DataFrame, most: int) -> DataFrame:
     """`df` as a side to broadcast if it has at most `most` rows, else as it is, for a shuffle."""
     return F.broadcast(df) if df.count() <= most else df
+
+
+HOT_SHARE = 1 << 16
+
+
+def join_counted(left: DataFrame, right: DataFrame, on: str, n: str) -> DataFrame:
+    """`left` with the columns of `right`, which has one row for each value of `on` in `left` and in
+    column `n` how many rows of `left` have it.
+
+    Values with more than a `HOT_SHARE`th of all rows are fewer than `HOT_SHARE`, whatever the
+    size of the tables: they are broadcast, so their rows aren't shuffled. The others' rows are.
+    """
+    total = right.agg(F.sum(n).alias("total")).first()["total"] or 0
+    limit = max(1024, -(-total // HOT_SHARE))
+    hot, cold = right.where(F.col(n) > limit), right.where(F.col(n) <= limit)
+    there = left.join(F.broadcast(hot), on)
+    rest = left.join(F.broadcast(hot.select(on)), on, "left_anti").join(cold, on)
+    return there.unionByName(rest)
