@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from searchmill.llm import (
+    centroids,
     decontamination,
     ngram_join,
     packing,
+    periodic_runs,
     quality,
     simhash,
     substring_dedup,
@@ -312,3 +314,105 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     return simhash.digest(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of every document, a tenth of which are made periodic, and what is left without them."""
+    return periodic_runs.digest(read_table(spark, sf_dir, "documents"))
+
+
+# All valid runs have 16 words or more in a row that equal those a period on.
+SQL["op12_periodic_runs"] = r"""
+WITH crc_table AS (
+    SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, [0, 0, 0, 0, 0, 0, 0, 0]),
+        lambda a, b: xor(a >> 1, 3988292384 * (a & 1)))) AS t
+), listed AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws,
+        xor(list_reduce(list_prepend(4294967295,
+            list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+            lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295) AS h
+    FROM documents, crc_table
+), scaled AS (
+    SELECT *, len(ws) AS n, (h // 10) % greatest(len(ws), 1) AS a FROM listed
+), docs AS (
+    SELECT doc_id, n, CASE WHEN h % 10 = 0 AND n > 0 THEN list_transform(range(n), lambda i:
+        ws[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + (h // 10) % 8)) END])
+        ELSE ws END AS ws
+    FROM scaled
+), grams AS (
+    SELECT doc_id, n, unnest(range(n - 15)) AS i,
+        unnest(list_transform(range(n - 15), lambda i: array_to_string(ws[i+1:i+16], ' '))) AS g
+    FROM docs WHERE n >= 24
+), pairs AS (
+    SELECT x.doc_id, y.i - x.i AS q, x.i FROM grams x JOIN grams y ON x.doc_id = y.doc_id AND x.g = y.g
+    WHERE y.i > x.i AND 3 * (y.i - x.i) <= x.n
+), islands AS (
+    SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM pairs
+), stretches AS (
+    SELECT doc_id, q, min(i) AS s, count(*) + 15 + q AS l FROM islands GROUP BY doc_id, q, island
+), runs AS (
+    SELECT doc_id, s, l, min(q) AS q FROM stretches WHERE l >= greatest(24, 3 * q) GROUP BY doc_id, s, l
+), best AS (
+    SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY l / q DESC, s, q) AS place FROM runs
+), counted AS (
+    SELECT doc_id, count(*) AS n_runs, string_agg(s || ',' || l || ',' || q || chr(10), '' ORDER BY s, q) AS listed,
+        max(s) FILTER (place = 1) AS start, max(l) FILTER (place = 1) AS length, max(q) FILTER (place = 1) AS period
+    FROM best GROUP BY doc_id
+), gone AS (
+    SELECT DISTINCT doc_id, unnest(range(s + q, s + l)) AS i FROM runs
+), words AS (
+    SELECT doc_id, unnest(ws) AS w, unnest(range(n)) AS i FROM docs
+), kept AS (
+    SELECT doc_id, string_agg(w, ' ' ORDER BY i) AS kept FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, 1000 * length // period AS exponent_milli,
+    sha256(coalesce(listed, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
+FROM docs LEFT JOIN counted USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+
+@query
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster of every vector after five rounds of k-means."""
+    return centroids.digest(read_table(spark, sf_dir, "embeddings"))
+
+
+def _means_sql(rounds: int) -> str:
+    """The rounds a0, c1, a1, ...: vectors by nearest centroid, then the centroids that follow."""
+    out = []
+    for r in range(rounds + 1):
+        out.append(f"""
+a{r} AS MATERIALIZED (
+    SELECT r, any_value(vec_id) AS vec_id, any_value(v.p) AS p, arg_min(c, d * 64 + c) AS c, min(d) AS d
+    FROM (SELECT r, vec_id, v.p, c, list_sum(list_transform(list_zip(v.p, m.p),
+        lambda z: (z[1] - z[2]) * (z[1] - z[2])))::HUGEINT AS d FROM v, c{r} m) v
+    GROUP BY r
+)""")
+        if r < rounds:
+            out.append(f"""
+m{r + 1} AS (
+    SELECT c, i, sum(x)::HUGEINT AS s, count(*)::HUGEINT AS n
+    FROM (SELECT c, unnest(p) AS x, unnest(range(64)) AS i FROM a{r}) GROUP BY c, i
+), c{r + 1} AS MATERIALIZED (
+    SELECT c, list(((s - (((s % n) + n) % n)) // n)::BIGINT ORDER BY i) AS p FROM m{r + 1} GROUP BY c
+    UNION ALL SELECT c, p FROM c{r} ANTI JOIN m{r + 1} USING (c)
+)""")
+    return ",".join(out)
+
+
+SQL["op13_centroids"] = f"""
+WITH v AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, vec_id,
+        list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS p
+    FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+), c0 AS MATERIALIZED (
+    SELECT c, p FROM (SELECT p, row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS c FROM v) WHERE c < 40
+), {_means_sql(5)}, sums AS (
+    SELECT c, sum(d)::BIGINT AS cluster_inertia FROM a5 GROUP BY c
+)
+SELECT vec_id, c::INTEGER AS cluster, d::BIGINT AS distance, cluster_inertia,
+    (SELECT sum(d)::BIGINT FROM a5) AS inertia, sha256(array_to_string(c5.p, ',')) AS centroid_sha256
+FROM a5 JOIN sums USING (c) JOIN c5 USING (c)
+"""
