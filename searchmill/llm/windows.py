@@ -2,7 +2,8 @@
 
 A polynomial hash modulo 2^64 over random unit values, then mixed: spans up to some hundred
 units long, far below the length at which that modulus has weaknesses. `Hasher(1)` is a
-second, independent one; both together are 128 bits and stand for equality.
+second, independent one; both together are 128 bits and stand for equality. Words, which have
+any length, get their values by `word_hashes`.
 
 The anchor of a window of `w` units is the smallest of the hashes of its `k`-grams (the first
 of equal ones). Equal windows have equal anchors at equal places, so windows that start one
@@ -12,6 +13,7 @@ after the other and share an anchor can travel as one segment under the anchor's
 from __future__ import annotations
 
 import numpy as np
+from xxhash import xxh64_intdigest
 
 U64 = np.uint64
 SLICE = 1 << 20
@@ -137,19 +139,37 @@ def word_spans(data: np.ndarray, ends: np.ndarray, inside: np.ndarray):
     return start, end, np.searchsorted(start, ends, "left")
 
 
+LONG_WORD = 64
+"""Bytes up to which words are hashed block by block for all at once; longer ones go one by one."""
+BLOCK_MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], U64)
+
+
+def blocks_at(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on as a number, zeros after the end; one more place than `data`."""
+    padded = np.concatenate((data, np.zeros(8, np.uint8)))
+    return np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
+
+
 def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int = 0) -> np.ndarray:
-    """64-bit hash of each word, which depends on its bytes alone."""
-    table = byte_values(seed)
-    out = np.empty(len(start), U64)
-    at = 0
-    while at < len(start):  # pieces of about a slice; a long word is hashed in one
-        to = int(np.searchsorted(end, start[at] + SLICE, "right"))
-        to = max(to, at + 1)
-        a, b = int(start[at]), int(end[to - 1])
-        hasher = Hasher(table[data[a:b]], seed)
-        out[at:to] = hasher.spans(start[at:to] - a, end[at:to] - a)
-        out[at:to] += mix((end[at:to] - start[at:to]).astype(U64))
-        at = to
+    """64-bit hash of each word, which depends on its bytes alone.
+
+    Its blocks of eight bytes are mixed in one after the other, which is a bijection for each: words
+    of one block never have equal hashes, longer ones only by chance. Long words are hashed by
+    XXH64. (Words have any length, so a polynomial modulo 2^64 wouldn't do: it has one value for
+    words of 1,024 letters that anyone can write down.)
+    """
+    blocks = blocks_at(data)
+    size = end - start
+    out = mix(size.astype(U64) * U64(BASES[seed] | 1) + U64(seed + 1))
+    live = np.flatnonzero((size > 0) & (size <= LONG_WORD))
+    done = 0
+    while len(live):
+        left = np.minimum(size[live] - done, 8)
+        out[live] = mix(out[live] ^ (blocks[start[live] + done] & BLOCK_MASKS[left]))
+        done += 8
+        live = live[size[live] > done]
+    for k in np.flatnonzero(size > LONG_WORD).tolist():
+        out[k] ^= U64(xxh64_intdigest(data[start[k] : end[k]].tobytes(), seed))
     return mix(out)
 
 
@@ -189,6 +209,24 @@ def release() -> None:
         pass
 
 
+def released(run):
+    """`run`, a task function of one or two tables, with its memory given back when it is over."""
+
+    def of_one(table):
+        try:
+            return run(table)
+        finally:  # the function's own arrays are gone by now
+            release()
+
+    def of_two(left, right):
+        try:
+            return run(left, right)
+        finally:
+            release()
+
+    return of_one if run.__code__.co_argcount == 1 else of_two
+
+
 def in_pieces(batches, column, most: int = 1 << 20):
     """The batches cut into runs of rows with up to about `most` bytes of text each, so that
     the arrays made from them stay small. `column`: a number, or a function of a batch."""

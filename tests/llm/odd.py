@@ -12,6 +12,14 @@ def prose(rng, n, vocabulary=3000):
     return " ".join(f"w{rng.randrange(vocabulary)}" for _ in range(n))
 
 
+def thue_morse(n):
+    """Two words of 2^n letters that every polynomial hash modulo 2^64 takes for one, if n > 9."""
+    word = "a"
+    for _ in range(n):
+        word += word.translate({97: "b", 98: "a"})
+    return word, word.translate({97: "b", 98: "a"})
+
+
 def odd_documents(seed=0, n=60):
     """Rows of SCHEMA; `block` and `kept` are extra columns whose names clash with inner ones."""
     rng = random.Random(seed)

@@ -10,7 +10,8 @@ import pytest
 from tokenizers import Tokenizer
 
 from searchmill.llm import packing, token_files, tokens
-from tests.llm.odd import SCHEMA, odd_documents
+from searchmill.llm.windows import in_pieces
+from tests.llm.odd import SCHEMA, odd_documents, thue_morse
 
 NAME = "byte_bpe_50k.json"
 ODD = ["<|endoftext|> x", "", None, "don't we'll  I'm   ", "  x  y", "a\x1c b", "ü " * 300]
@@ -32,9 +33,10 @@ def crc(ids):
     return zlib.crc32(np.array(ids, "<u4").tobytes())
 
 
-@pytest.mark.parametrize("kept", [10, 1 << 20])
-def test_chunks_encode_like_whole_texts(monkeypatch, encode, kept):
-    monkeypatch.setattr(tokens, "KEPT_CHUNKS", kept)
+@pytest.mark.parametrize("slots, at_once", [(7, 50), (1 << 20, 1 << 16)])
+def test_chunks_encode_like_whole_texts(monkeypatch, encode, slots, at_once):
+    monkeypatch.setattr(tokens, "SLOTS", slots)
+    monkeypatch.setattr(tokens, "AT_ONCE", at_once)
     rng = random.Random(3)
     some = "ab Zé \u0085\t\n\r'sß1 2.,! 　中🙂\x1c\x0b\x0c߿"
     texts = ["".join(rng.choices(some, k=rng.randrange(60))) for _ in range(500)] + ODD
@@ -122,3 +124,47 @@ def test_digests_agree(spark, encode):
     got = sorted(map(tuple, token_files.digest(docs, NAME).collect()))
     two = encode("one two") + [2]
     assert got == [(2, 0, 1, crc([2])), (5, 1, len(two), crc(two))]
+
+
+def test_words_of_equal_polynomial_hash(spark, encode):
+    """Thue-Morse words and their complements: equal modulo 2^64 for every base."""
+    texts = [t for n in (10, 11, 12) for t in thue_morse(n)]
+    texts += [f"x {a} y {b}" for a, b in zip(texts, texts[1:])]
+    encoder = tokens.Encoder(public_tokenizers.path(NAME))
+    for part in ([t] for t in texts), [texts]:
+        for some in part:
+            ids, to = encoder.encode(pa.array(some, pa.string()))
+            begin = np.concatenate(([0], to[:-1]))
+            assert [ids[a:b].tolist() for a, b in zip(begin, to, strict=True)] == [encode(t) for t in some]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    want = [crc(encode(t) + [2]) for t in texts]
+    assert [r.ids_crc32 for r in sorted(token_files.digest(docs, NAME).collect())] == want
+    packed = {}
+    for r in packing.pack_documents(docs, NAME).collect():
+        packed.setdefault(r.doc_id, []).append((r.piece, r.ids))
+    assert [crc(np.frombuffer(b"".join(i for _, i in sorted(packed[k])), "<u4")) for k in range(len(texts))] == want
+
+
+def test_special_strings_are_plain_text(encode):
+    """`encode_special_tokens`: the string of a special token is text; without it, it is an id."""
+    plain = Tokenizer.from_file(public_tokenizers.path(NAME))
+    encoder = tokens.Encoder(public_tokenizers.path(NAME))
+    text = "a <|endoftext|> x"
+    ids, _ = encoder.encode(pa.array([text]))
+    assert ids.tolist() == encode(text) and 50256 not in ids
+    assert 50256 in plain.encode(text, add_special_tokens=False).ids
+
+
+def test_a_text_longer_than_a_piece(encode):
+    """Documents beyond the bytes of a piece, one without any white space."""
+    rng = random.Random(1)
+    long = " ".join(rng.choice(["alpha", "béta", "gamma,", "\n\n  delta"]) + str(rng.randrange(999)) for _ in range(200_000))
+    texts = ["first", long, None, "z" * 70_000, "last"]
+    encoder = tokens.Encoder(public_tokenizers.path(NAME))
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+    got = []
+    for piece in in_pieces([batch], 0):
+        ids, to = encoder.encode(piece.column(0))
+        got += [x.tolist() for x in np.split(ids, to[:-1])]
+    assert got == [encode(t) for t in texts]
+    assert sum(x.nbytes for x in (encoder.low, encoder.high, encoder.size, encoder.met, encoder.ids)) <= 36 << 20
