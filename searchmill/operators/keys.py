@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 # Sort order of new raw rows. The metrics only matter where keys repeat.
@@ -28,11 +28,13 @@ BROADCAST_ROWS = 1_000_000
 class StagedRows:
     """Rows written in global order, each with its place `pos`, and their counts.
 
-    `counts` has one row per (part, dt, source_file): its rows `n` and its `first_pos`.
+    `counts` has one row per (part, dt, source_file): its rows `n` and its `first_pos`; `size` is the
+    number of all rows.
     """
 
     rows: DataFrame
     counts: DataFrame
+    size: int
 
 
 def stage_ordered(facts: DataFrame, folder: str, unique_keys: bool = False) -> StagedRows:
@@ -55,8 +57,11 @@ def stage_ordered(facts: DataFrame, folder: str, unique_keys: bool = False) -> S
             .withColumn("_tie", F.monotonically_increasing_id())
             .drop("_hash")
         )
+    seen = Observation()
     (
         facts.repartitionByRange(*spread)
+        # After the exchange: what is before it also runs to sample the ranges.
+        .observe(seen, F.count(F.lit(1)).alias("rows"))
         .sortWithinPartitions(*order)
         .drop("_tie")
         .withColumn("pos", F.monotonically_increasing_id())
@@ -69,7 +74,7 @@ def stage_ordered(facts: DataFrame, folder: str, unique_keys: bool = False) -> S
         .agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias("first_pos"))
         .write.parquet(f"{folder}/counts")
     )
-    return StagedRows(rows, spark.read.parquet(f"{folder}/counts"))
+    return StagedRows(rows, spark.read.parquet(f"{folder}/counts"), seen.get["rows"])
 
 
 def number_staged(rows: DataFrame, counts: DataFrame, base: int, size: int) -> DataFrame:
@@ -126,14 +131,14 @@ def number_table(table: DataFrame, base: int = 0) -> DataFrame:
     )
 
 
-def highest_id(table: DataFrame) -> int:
-    """max(id), 0 for an empty table.
+def highest_id(table: DataFrame, count: int | None = None) -> int:
+    """max(id), 0 for an empty table. `count` is the table's number of rows, if known.
 
     Unique positive ids reach at least the row count, which the file footers give. So only
     ids from there on are looked at, and Parquet skips all row groups below. If there are
     none (ids were repeated or negative), the whole column is read.
     """
-    count = table.count()
+    count = table.count() if count is None else count
     if count == 0:
         return 0
     top = table.where(F.col("id") >= count).agg(F.max("id")).first()[0]

@@ -35,6 +35,8 @@ SQL_TYPES = {
     "clicks": "INT",
 }
 
+NEVER_NULL = ("id", "dt")
+
 HISTORY_SCHEMA = T.StructType(
     [
         T.StructField("id", T.LongType()),
@@ -85,7 +87,7 @@ def create_layers(spark: SparkSession, mart: Mart = Mart(), location: str | None
         place = f" LOCATION '{location.rstrip('/')}/{database}'" if location else ""
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{place}")
         fields = ", ".join(
-            f"{c} {SQL_TYPES[c]}" + (" NOT NULL" if c in ("id", "dt") else "") for c in columns
+            f"{c} {SQL_TYPES[c]}" + (" NOT NULL" if c in NEVER_NULL else "") for c in columns
         )
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {table} ({fields}) USING parquet PARTITIONED BY (dt)"

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from searchmill.operators.keys import highest_id, number_staged, number_table, stage_ordered
 from searchmill.operators.merge import keep_winners, latest_export_per_date
-from searchmill.operators.quality import clean_facts, require_dates
+from searchmill.operators.quality import clean_facts
 from searchmill.schemas import CLEAN_COLUMNS, FACT_COLUMNS, RAW_COLUMNS, Mart, require_columns
+from searchmill.sinks.switch import begin_load, dates_of, switch, write_dates
 from searchmill.sources.storage import delete_folder, new_folder
 from searchmill.sources.tables import current_table
 
@@ -51,6 +52,7 @@ def _load(facts, mart, exports, unique_keys, replace) -> WriteReport:
     by_export = exports is not None
     facts = facts.select(*FACT_COLUMNS, *(["source_file"] if by_export else []))
     spark = facts.sparkSession
+    state = begin_load(spark, mart.raw)
     folder = new_folder(spark, "staged-facts")
     try:
         staged = stage_ordered(facts, folder, unique_keys)
@@ -68,16 +70,21 @@ def _load(facts, mart, exports, unique_keys, replace) -> WriteReport:
         if any(r.dt is None for r in found):
             raise ValueError("dt must not be null")
         dates = sorted(r.dt for r in found)
-        table, deleted = current_table(spark, mart.raw), 0
+        table, deleted = spark.table(mart.raw), 0
+        goes = F.col("dt").isin(dates) if replace else F.lit(False)
+        # Both counts come from the file footers.
+        there = table.agg(F.count_if(goes).alias("gone"), F.count_if(~goes).alias("stays")).first()
         if replace:
-            deleted = table.where(F.col("dt").isin(dates)).count()
-            table = table.where(~F.col("dt").isin(dates))
+            deleted, table = there.gone, table.where(~goes)
         numbered = number_staged(
-            staged.rows, counts, base=highest_id(table), size=sum(r.size for r in found)
+            staged.rows, counts, base=highest_id(table, there.stays), size=sum(r.size for r in found)
         )
-        _insert(numbered, mart.raw, RAW_COLUMNS, "dynamic" if replace else None)
-        rows_staged = staged.counts.agg(F.sum("n")).first()[0]
-        return WriteReport(rows_staged, deleted, sum(r.n for r in found), dates)
+        if replace:
+            name, _, _ = write_dates(numbered, state, RAW_COLUMNS)
+            switch(spark, mart.raw, state, name, dates)
+        else:
+            _insert(numbered, mart.raw, RAW_COLUMNS)
+        return WriteReport(staged.size, deleted, sum(r.n for r in found), dates)
     finally:
         delete_folder(spark, folder)
 
@@ -89,58 +96,36 @@ def refresh_clean(spark: SparkSession, mart: Mart = Mart()) -> WriteReport:
     table as it was.
     """
     raw = current_table(spark, mart.raw)
-    _replace_all(clean_facts(number_table(raw)), mart.clean, CLEAN_COLUMNS, _dates(raw))
-    return WriteReport(rows_inserted=current_table(spark, mart.clean).count())
+    return _replace_all(clean_facts(number_table(raw)), mart.clean, CLEAN_COLUMNS)
 
 
 def seed_raw(history: DataFrame, mart: Mart = Mart()) -> WriteReport:
     """Replace the whole raw table by `history`, keeping its ids. A failure leaves it as it was."""
     require_columns(history, RAW_COLUMNS)
-    history = require_dates(history)
     # Rebalancing by date gives whole files per date and lets AQE split a hot date.
-    _replace_all(history.hint("rebalance", "dt"), mart.raw, RAW_COLUMNS, _dates(history))
-    return WriteReport(rows_inserted=current_table(history.sparkSession, mart.raw).count())
+    return _replace_all(history.hint("rebalance", "dt"), mart.raw, RAW_COLUMNS)
 
 
 def delete_by_dates(spark: SparkSession, dates: list[dt.date], mart: Mart = Mart()) -> int:
-    """Remove whole dates from the raw table; the number of removed rows."""
+    """Remove whole dates from the raw table, all or none of them; the number of removed rows."""
     if not dates:
         return 0
-    present = current_table(spark, mart.raw).where(F.col("dt").isin(dates))
-    deleted = present.count()
-    _drop_dates(spark, mart.raw, dates)
+    state = begin_load(spark, mart.raw)
+    deleted = spark.table(mart.raw).where(F.col("dt").isin(dates)).count()
+    switch(spark, mart.raw, state, "", [], gone=dates)
     return deleted
 
 
-def _dates(rows: DataFrame) -> set[dt.date]:
-    """The dates of `rows`: one value per calendar date."""
-    return {r.dt for r in rows.select("dt").distinct().collect()}
-
-
-def _replace_all(rows: DataFrame, table: str, columns: list[str], dates: set[dt.date]) -> None:
-    """Make `rows`, which have `dates`, the whole table.
-
-    A static overwrite empties the table before its tasks run. So the dates at hand are
-    replaced dynamically, which moves files only when all tasks are done, and the dates that
-    are no longer there are dropped after that. A failure between the two leaves old dates,
-    which the next run drops.
-    """
-    _insert(rows, table, columns, "dynamic")
-    gone = _dates(current_table(rows.sparkSession, table)) - dates
-    if gone:
-        _drop_dates(rows.sparkSession, table, gone)
-
-
-def _drop_dates(spark: SparkSession, table: str, dates) -> None:
-    parts = ", ".join(f"PARTITION (dt = DATE '{d.isoformat()}')" for d in sorted(set(dates)))
-    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {parts}")
+def _replace_all(rows: DataFrame, table: str, columns: list[str]) -> WriteReport:
+    """Make `rows` the whole table, in one step; dates that are no longer there go."""
+    spark = rows.sparkSession
+    state = begin_load(spark, table)
+    name, dates, counts = write_dates(rows, state, columns)
+    switch(spark, table, state, name, dates, gone=[d for d in dates_of(spark, table) if d not in set(dates)])
+    return WriteReport(rows_inserted=counts["rows"], dates=dates)
 
 
-def _insert(rows: DataFrame, table: str, columns: list[str], overwrite: str | None) -> None:
-    """Insert by position, with the partition column last. `overwrite` is 'dynamic' (the
-    dates at hand) or None (append). The mode is an option of this one write;
-    `DataFrameWriter.insertInto` would only take it from the session."""
+def _insert(rows: DataFrame, table: str, columns: list[str]) -> None:
+    """Append by position, with the partition column last."""
     ordered = rows.select(*[c for c in columns if c != "dt"], "dt")
-    verb = "OVERWRITE" if overwrite else "INTO"
-    mode = f"WITH ('partitionOverwriteMode' = '{overwrite}')" if overwrite else ""
-    rows.sparkSession.sql(f"INSERT {verb} {table} {mode} SELECT * FROM {{rows}}", rows=ordered)
+    rows.sparkSession.sql(f"INSERT INTO {table} SELECT * FROM {{rows}}", rows=ordered)

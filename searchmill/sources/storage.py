@@ -6,6 +6,7 @@ import re
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,6 +54,40 @@ def move_file(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"cannot move {source} to {target}")
 
 
+def create_file(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file that must not be there yet; False if it is."""
+    fs, new = hadoop_path(spark, path)
+    fs.mkdirs(new.getParent())
+    try:
+        stream = fs.create(new, False)
+    except Py4JJavaError as error:
+        if fs.exists(new):
+            return False
+        raise error
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    return True
+
+
+def set_time(spark: SparkSession, path: str, millis: int) -> None:
+    """Set a file's modification time, where the file system can."""
+    fs, file = hadoop_path(spark, path)
+    fs.setTimes(file, millis, -1)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, file = hadoop_path(spark, path)
+    return fs.exists(file)
+
+
+def file_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of what lies directly in a folder; none if it isn't there."""
+    fs, path = hadoop_path(spark, folder)
+    return [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
+
+
 def delete_folder(spark: SparkSession, folder: str) -> None:
     fs, path = hadoop_path(spark, folder)
     fs.delete(path, True)

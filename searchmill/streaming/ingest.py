@@ -1,37 +1,27 @@
-"""Incremental raw load: a file stream over the export folder."""
+"""Incremental raw load: a stream over the exports that are new in a folder."""
 
 from __future__ import annotations
 
+import datetime as dt
 import logging
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from searchmill.plans.load import export_facts
 from searchmill.schemas import Mart
+from searchmill.sinks.archive import archive_name
 from searchmill.sinks.tables import replace_by_date
-from searchmill.sources.discover import PATTERNS
-from searchmill.sources.storage import export_name, literal, require_folder
+from searchmill.sources.storage import create_file, exists, literal, move_file, require_folder
+from searchmill.streaming.announce import ANNOUNCED, announce, announced_folder
 
 logger = logging.getLogger(__name__)
 
-# Spark skips files this much older than the newest one seen. Its default of a week would
-# lose an old export that is copied in late, so practically none is skipped.
+# Spark skips files this much older than the newest one seen; announcements are never too old.
 MAX_FILE_AGE = "36500d"
 
-# Spark's schema of the file source. `content` is never selected: the stream says which files
-# are new, and their format's own reader reads them.
-FILE_SCHEMA = T.StructType(
-    [
-        T.StructField("path", T.StringType()),
-        T.StructField("modificationTime", T.TimestampType()),
-        T.StructField("length", T.LongType()),
-        T.StructField("content", T.BinaryType()),
-    ]
-)
-
 
 def ingest(
     spark: SparkSession,
@@ -41,43 +31,45 @@ def ingest(
     fmt: str = "xlsx",
     archive: str | None = None,
     files_per_batch: int = 1,
+    corrected: bool = False,
 ) -> StreamingQuery:
     """Load the exports that are new in `folder`, oldest first, then stop.
 
-    One file per batch is the order of loading them by hand; larger batches give the same
-    rows because the latest export wins each date. The checkpoint records what was loaded:
-    a corrected export needs a new file name. A batch that runs again after a failure
-    rewrites the same dates with the same rows and ids. No state is kept, so a late file
-    for an old date simply replaces that date.
+    One export per batch is the order of loading them by hand; larger batches give the same
+    rows because the latest export wins each date. The checkpoint records what was loaded. An
+    export counts as new by its name; with `corrected` also if its time or length has changed, so
+    a corrected export may keep its name. A batch that runs again after a failure rewrites the
+    same dates with the same rows and ids. No state is kept, so a late file for an old date simply
+    replaces that date.
 
-    An export is one file here, also for CSV and Parquet. With `archive`, Spark moves a
-    finished file there during the next batches.
+    With `archive`, an export is moved there when its batch is loaded. An export that is no longer
+    there when its turn comes (a batch that runs again may have moved it) is skipped.
     """
     require_folder(spark, folder)
-    reader = (
-        spark.readStream.format("binaryFile")
-        .schema(FILE_SCHEMA)
-        .option("pathGlobFilter", PATTERNS[fmt])
-        .option("maxFilesPerTrigger", files_per_batch)
+    place = announced_folder(checkpoint)
+    create_file(spark, f"{place}/_announced", "")
+    announce(spark, folder, checkpoint, fmt, files_per_batch, corrected)
+    files = (
+        spark.readStream.schema(ANNOUNCED)
+        .option("maxFilesPerTrigger", 1)
         .option("maxFileAge", MAX_FILE_AGE)
-    )
-    if archive:
-        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
-    files = reader.load(literal(folder)).select(
-        export_name(spark, folder).alias("source_file"),
-        F.col("modificationTime").alias("mtime"),
+        .json(literal(place))
     )
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        # files_per_batch names at most.
-        found = [r for r in batch.collect() if not r.source_file.startswith("~$")]
+        here = batch.sparkSession
+        # files_per_batch rows at most.
+        found = [r for r in batch.collect() if exists(here, f"{folder.rstrip('/')}/{unquote(r.source_file)}")]
         if not found:
             return
         names = [r.source_file for r in found]
-        facts = export_facts(batch.sparkSession, folder, fmt, names)
-        exports = batch.sparkSession.createDataFrame(found, batch.schema)
+        facts = export_facts(here, folder, fmt, names)
+        exports = here.createDataFrame(found, ANNOUNCED).withColumn("mtime", F.timestamp_micros("mtime"))
         report = replace_by_date(facts, mart, exports=exports, unique_keys=True)
         logger.info("batch %d: %s", batch_id, report)
+        if archive:
+            for row in found:
+                _archive(here, folder, archive, unquote(row.source_file), row.mtime)
 
     return (
         files.writeStream.foreachBatch(load)
@@ -85,3 +77,12 @@ def ingest(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def _archive(spark: SparkSession, folder: str, archive: str, name: str, mtime: int) -> None:
+    """Under its own name, or with its time where an export of that name is there already."""
+    target = f"{archive.rstrip('/')}/{name}"
+    if exists(spark, target):
+        when = dt.datetime.fromtimestamp(mtime / 1e6, dt.UTC)
+        target = f"{archive.rstrip('/')}/{archive_name(name, when)}"
+    move_file(spark, f"{folder.rstrip('/')}/{name}", target)

@@ -242,3 +242,11 @@ QUARTER_FACTS = """
 
 def quarter_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sql(spark, sf_dir, "lineitem", QUARTER_FACTS)
+
+
+def write_year_sheets(facts: DataFrame, folder: str) -> None:
+    """One wide Parquet export per year, in place of the one of that name."""
+    years = facts.select(F.year("dt").alias("year")).distinct().orderBy("year").collect()
+    for row in years:
+        wide = to_wide(facts.where(F.year("dt") == row.year))
+        wide.write.mode("overwrite").parquet(f"{folder}/{row.year}.parquet")

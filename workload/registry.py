@@ -7,6 +7,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +21,7 @@ from searchmill import (
     replace_by_date,
     run,
     seed_history,
+    seed_raw,
 )
 from searchmill.__main__ import PREVIEW_ROWS
 from searchmill.functions.columns import click_cap, demand_floor, strip_url_params
@@ -35,6 +38,7 @@ from searchmill.operators.reshape import (
     wide_to_facts,
 )
 from searchmill.schemas import FACT_COLUMNS, RAW_COLUMNS
+from searchmill.sinks.switch import ConcurrentLoadError, begin_load, commit, switch, write_dates
 from searchmill.sinks.tables import delete_by_dates
 from searchmill.sources.spreadsheet import read_spreadsheets
 from searchmill.sources.storage import new_folder
@@ -59,6 +63,7 @@ from workload.inputs import (
     write_history_text,
     write_spreadsheets,
     write_wide_folders,
+    write_year_sheets,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -219,6 +224,46 @@ def _lines_then_orders(spark, sf_dir, name, times=1):
     return mart
 
 
+TRIPLED = f"{WITH} SELECT row_number() OVER (ORDER BY {ROW_ORDER}) * 3 AS id, {FACTS} FROM line_f"
+
+
+@query(TRIPLED)
+def interrupted_switch(spark, sf_dir):
+    """A load that ends between its log entry and its switch: who reads next finishes it."""
+    mart = new_mart(spark, "interrupted")
+    replace_by_date(line_facts(spark, sf_dir), mart)
+    state = begin_load(spark, mart.raw)
+    tripled = read_raw(spark, mart).withColumn("id", F.col("id") * 3)
+    name, dates, _ = write_dates(tripled, state, RAW_COLUMNS)
+    commit(spark, mart.raw, state, name, dates)
+    return read_raw(spark, mart)
+
+
+@query(f"{WITH} SELECT row_number() OVER (ORDER BY {ROW_ORDER}) AS id, {FACTS} FROM line_f")
+def failed_loads(spark, sf_dir):
+    """The raw table after loads that fail while they write, and one that another has overtaken."""
+    mart = new_mart(spark, "failed")
+    replace_by_date(line_facts(spark, sf_dir), mart)
+    late = begin_load(spark, mart.raw)
+    table = read_raw(spark, mart)
+    broken = F.when(F.col("clicks") == 7, F.raise_error(F.lit("broken on purpose")).cast("int"))
+    for load in (
+        lambda: seed_raw(table.withColumn("demand", F.coalesce(broken, "demand")), mart),
+        lambda: seed_raw(table.withColumn("id", F.when(F.col("demand") > 3, F.col("id"))), mart),
+    ):
+        try:
+            load()
+        except (PySparkException, Py4JJavaError):
+            continue
+        raise AssertionError("a broken load went through")
+    replace_by_date(line_facts(spark, sf_dir), mart)
+    try:
+        switch(spark, mart.raw, late, *write_dates(table.limit(0), late, RAW_COLUMNS)[:2])
+    except ConcurrentLoadError:
+        return read_raw(spark, mart)
+    raise AssertionError("an overtaken load went through")
+
+
 @query(f"{WITH} {REPLACED}")
 def replace_dates(spark, sf_dir):
     """Reload: the months of the new facts are replaced, the others stay."""
@@ -474,6 +519,29 @@ def incremental_ingest(spark, sf_dir):
     return table_ids.drop("id")
 
 
+IN_PLACE = f"""WITH q AS ({QUARTER_FACTS}),
+  firsts AS (SELECT *, row_number() OVER (ORDER BY {ROW_ORDER}) AS id FROM q WHERE {POSITIVE}),
+  kept AS (SELECT * FROM firsts WHERE year(dt) > 1995),
+  later AS (SELECT dt, query, page_path, demand + 1 AS demand, impressions, position, clicks
+    FROM q WHERE year(dt) <= 1995)
+  SELECT id, {FACTS} FROM kept UNION ALL
+  SELECT (SELECT max(id) FROM kept) + row_number() OVER (ORDER BY {ROW_ORDER}) AS id, {FACTS} FROM later"""
+
+
+@query(IN_PLACE)
+def stream_corrected_in_place(spark, sf_dir):
+    """A stream over yearly exports, some of which are then corrected under their old names."""
+    folder, mart = new_folder(spark, "in-place"), new_mart(spark, "in_place")
+    checkpoint = new_folder(spark, "in-place-checkpoint")
+    facts = quarter_facts(spark, sf_dir)
+    corrected = facts.where("year(dt) <= 1995").withColumn("demand", F.col("demand") + 1)
+    for sheets in (facts, corrected):
+        write_year_sheets(sheets, folder)
+        stream = ingest(spark, folder, checkpoint, mart, "parquet", files_per_batch=100, corrected=True)
+        stream.awaitTermination()
+    return read_raw(spark, mart)
+
+
 CHUNK = "strftime(dt, '%Y-%m-') || CAST(floor((day(dt) - 1) / 10) AS int)"
 
 
