@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from searchmill.llm.decontamination import contents, read_words
 from searchmill.llm.tables import small, written
-from searchmill.llm.windows import U64, Hasher, ends_at, in_pieces, mix
+from searchmill.llm.windows import U64, Hasher, ends_at, in_pieces, mix, released
 
 NGRAM = 5
 THRESHOLD = 0.8
@@ -315,7 +315,7 @@ def similar_documents(
         )
     )
     links = written(
-        tiles.groupBy("pivot", "low", "high").applyInArrow(_tile(threshold), "sid long, n long, other long"),
+        tiles.groupBy("pivot", "low", "high").applyInArrow(released(_tile(threshold)), "sid long, n long, other long"),
         "links",
     )
 

@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 from searchmill.llm.decontamination import LETTERS
 from searchmill.llm.tables import written
-from searchmill.llm.windows import U64, in_pieces, mix, text_buffer, word_hashes
+from searchmill.llm.windows import U64, in_pieces, mix, released, text_buffer, word_hashes
 
 BITS = 18
 MOST_ROWS = 16_000
@@ -180,7 +180,7 @@ def fit(
     rows, n_shards = training_rows(docs, labels, most_rows, shards)
     if not n_shards:
         return weights
-    trained = rows.groupBy("shard").applyInArrow(_train(bits, epochs), "bin int, weight double")
+    trained = rows.groupBy("shard").applyInArrow(released(_train(bits, epochs)), "bin int, weight double")
     for row in trained.groupBy("bin").agg(F.sum("weight").alias("weight")).collect():
         weights[row["bin"]] = row["weight"] / n_shards
     return weights

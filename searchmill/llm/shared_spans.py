@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from searchmill.llm.tables import parts, total_bytes
+from searchmill.llm.tables import join_counted, parts, rows_and_bytes, written
 from searchmill.llm.windows import (
     U64,
     Hasher,
@@ -41,7 +41,7 @@ from searchmill.llm.windows import (
     segments,
     text_buffer,
     mix,
-    release,
+    released,
     word_hashes,
     word_spans,
 )
@@ -191,22 +191,23 @@ def _within(values: np.ndarray, known: np.ndarray) -> np.ndarray:
 
 
 SIDE = "block long, kind int, doc long, hash long, shard long, keys binary, hot binary"
-COVER = "block long, row binary, start binary, n binary"
+COVER = "block long, row binary, start binary, n binary, echoes binary"
 FOUND = (
-    "shard long, block long, doc binary, row binary, start binary, size binary, units binary"
+    "shard long, block long, doc binary, row binary, start binary, size binary, units binary, echoes binary"
 )
+MOST_COUNTED = 2 * HOT
+"""Segments of a block under one anchor are counted up to here: more than `HOT` are many anyhow."""
 
 
 def _anchors_of(units: Units, width: int, gram: int, n_shards: int):
     def run(docs: pa.Table, side: pa.Table) -> pa.Table:
-        release()
         block = Block(docs, units)
         _, _, values, unit_ends, _ = block.read(block.first_copies(side))
         found = [anchor for *_, anchor in segments(values, unit_ends, width, gram)]
         anchors = np.concatenate(found) if found else np.empty(0, U64)
         shard, key = (anchors >> U64(32)) % U64(n_shards), (anchors & LOW).astype(np.uint32)
         order, first = _unique(shard, key)
-        count = np.minimum(np.diff(np.append(first, len(order))), 255).astype(np.uint8)
+        count = np.minimum(np.diff(np.append(first, len(order))), MOST_COUNTED).astype(np.uint16)
         shard, key = shard[order][first], key[order][first]
         cut = runs(shard)
         number = docs["block"][0].as_py() if docs.num_rows else 0
@@ -226,7 +227,7 @@ def _shared_anchors(table: pa.Table) -> pa.Table:
     """What each block of a shard hears: its anchors that other blocks have too, and hot ones."""
     data, ends = text_buffer(table["keys"])
     keys = np.frombuffer(data.tobytes(), np.uint32)
-    counts, _ = text_buffer(table["counts"])
+    counts = np.frombuffer(text_buffer(table["counts"])[0].tobytes(), np.uint16)
     ends = ends // 4
     order = np.argsort(keys, kind="stable")
     new = np.ones(len(keys), bool)
@@ -282,6 +283,56 @@ def _packed(number: int, dest, doc, row, place, size, source, start) -> list[dic
     ]
 
 
+def _repeats(start, count, row, h1, h2):
+    """(a segment of each content and document, echoes): the others' places as progressions
+    (which of the first, its place, its windows, first place, step, number)."""
+    order = np.lexsort((start, count, h2, h1, row))
+    new = np.zeros(len(order), bool)
+    new[:1] = True
+    for key in (row, h1, h2, count):
+        new[1:] |= key[order][1:] != key[order][:-1]
+    once = order[new]
+    which = np.cumsum(new) - 1
+    again = np.flatnonzero(~new)
+    place = start[order]
+    step = place[again] - place[again - 1]
+    begins = np.ones(len(again), bool)
+    begins[1:] = (which[again][1:] != which[again][:-1]) | (step[1:] != step[:-1])
+    at = np.flatnonzero(begins)
+    which = which[again][at]
+    echoes = (which, start[once][which], count[once][which], place[again][at], step[at])
+    return once, np.stack((*echoes, np.diff(np.append(at, len(again)))), 1).astype(np.int64)
+
+
+def _echoed(row, start, n, echoes, width: int):
+    """Yields covered spans (row, start, size in units): those of the windows given, and of the
+    same windows at the other places of their segments."""
+    yield row, start, n + width - 1
+    if not len(echoes) or not len(row):
+        return
+    key = (echoes[:, 0] << 32) | echoes[:, 1]
+    order = np.argsort(key, kind="stable")
+    echoes, key = echoes[order], key[order]
+    asked = (row << 32) | start
+    low = np.searchsorted(key, key[np.maximum(np.searchsorted(key, asked, "right") - 1, 0)], "left")
+    high = np.searchsorted(key, asked, "right")
+    inside = (high > low) & (echoes[low, 0] == row) & (start < echoes[low, 1] + echoes[low, 2])
+    low, high = low[inside], high[inside]
+    each = np.repeat(np.flatnonzero(inside), high - low)
+    echo = echoes[_places(low, high - low)]
+    at = echo[:, 3] + start[each] - echo[:, 1]
+    step, times, size = echo[:, 4], echo[:, 5], n[each] + width - 1
+    # Where copies overlap or touch, the progression is one span.
+    close = (step <= size) | (times == 1)
+    yield row[each[close]], at[close], (size + (times - 1) * step)[close]
+    each, at, step, times, size = (x[~close] for x in (each, at, step, times, size))
+    to = np.cumsum(times)
+    for a in range(0, int(to[-1]) if len(to) else 0, 1 << 20):
+        nth = np.arange(a, min(a + (1 << 20), int(to[-1])))
+        k = np.searchsorted(to, nth, "right")
+        yield row[each[k]], at[k] + (nth - to[k] + times[k]) * step[k], size[k]
+
+
 def _places(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     """All places of the spans, one span after the other."""
     to = np.cumsum(size)
@@ -290,24 +341,29 @@ def _places(start: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 def _segments_of(units: Units, width: int, gram: int, n_anchor_shards: int, n_shards: int):
     def run(docs: pa.Table, side: pa.Table) -> pa.Table:
-        release()
         block = Block(docs, units)
         number = docs["block"][0].as_py() if docs.num_rows else 0
         firsts = block.first_copies(side)
         _, _, values, unit_ends, state = block.read(firsts)
         begins = np.concatenate(([0], unit_ends[:-1])) if len(unit_ends) else np.empty(0, np.int64)
         told, hot = _told(side, "keys"), _told(side, "hot")
-        got = []
+        got, echoes, n_got = [], [np.empty((0, 6), np.int64)], 0
         for a, hasher, start, count, anchor in segments(values, unit_ends, width, gram):
             other = Hasher(values(slice(a, a + len(hasher.sums) - 1)), 1)
             end = start + count + width - 1
-            got.append((start + a, count, anchor, hasher.spans(start, end), other.spans(start, end)))
+            row = np.searchsorted(unit_ends, start + a, "right")
+            h1, h2 = hasher.spans(start, end), other.spans(start, end)
+            once, again = _repeats(start + a, count, row, h1, h2)
+            again[:, 0] += n_got
+            echoes.append(again)
+            got.append(tuple(x[once] for x in (start + a, count, row, anchor, h1, h2)))
+            n_got += len(once)
         if got:
-            start, count, anchor, h1, h2 = (np.concatenate(x) for x in zip(*got, strict=True))
+            start, count, row, anchor, h1, h2 = (np.concatenate(x) for x in zip(*got, strict=True))
         else:
-            start = count = np.empty(0, np.int64)
+            start = count = row = np.empty(0, np.int64)
             anchor = h1 = h2 = np.empty(0, U64)
-        row = np.searchsorted(unit_ends, start, "right")
+        echoes = np.concatenate(echoes)
 
         # Shared: another block has the anchor, or another document of this one.
         full = ((anchor >> U64(32)) % U64(n_anchor_shards) << U64(32)) | (anchor & LOW)
@@ -319,6 +375,10 @@ def _segments_of(units: Units, width: int, gram: int, n_anchor_shards: int, n_sh
             at = np.flatnonzero(new)
             mixed = np.minimum.reduceat(row[order], at) != np.maximum.reduceat(row[order], at)
             shared[order] |= mixed[np.cumsum(new) - 1]
+        echoes = echoes[shared[echoes[:, 0]]]
+        if len(echoes):
+            echoes[:, [1, 3]] -= begins[row[echoes[:, 0]], None]
+            echoes[:, 0] = firsts[row[echoes[:, 0]]]
         start, count, row, h1, h2 = (x[shared] for x in (start, count, row, h1, h2))
         full, anchor = full[shared], anchor[shared]
         dest = (full ^ (anchor >> U64(17))) % U64(n_shards)
@@ -366,6 +426,7 @@ def _segments_of(units: Units, width: int, gram: int, n_anchor_shards: int, n_sh
                 "start": place[covered].astype(np.int32).tobytes(),
                 "size": count[covered].astype(np.int32).tobytes(),
                 "units": None,
+                "echoes": echoes.astype(np.int32).tobytes(),
             }
         )
         return pa.Table.from_pylist(rows, FOUND_ARROW)
@@ -375,10 +436,10 @@ def _segments_of(units: Units, width: int, gram: int, n_anchor_shards: int, n_sh
 
 FOUND_ARROW = pa.schema(
     [("shard", pa.int64()), ("block", pa.int64())]
-    + [(c, pa.binary()) for c in ("doc", "row", "start", "size", "units")]
+    + [(c, pa.binary()) for c in ("doc", "row", "start", "size", "units", "echoes")]
 )
 COVER_ARROW = pa.schema(
-    [("block", pa.int64())] + [(c, pa.binary()) for c in ("row", "start", "n")]
+    [("block", pa.int64())] + [(c, pa.binary()) for c in ("row", "start", "n", "echoes")]
 )
 
 
@@ -398,7 +459,7 @@ def _search(method: Callable, units: Units, width: int):
 
     def run(table: pa.Table) -> pa.Table:
         is_cover = pc.is_null(table["units"])
-        known = table.filter(is_cover).select(["block", "row", "start", "size"])
+        known = table.filter(is_cover).select(["block", "row", "start", "size", "echoes"])
         table = table.filter(pc.invert(is_cover))
 
         def column(name, dtype):
@@ -474,7 +535,6 @@ def _cut(units: Units, width: int):
     """Documents without their covered units, a row for each of the block's rows."""
 
     def run(docs: pa.Table, side: pa.Table) -> pa.Table:
-        release()
         block = Block(docs, units)
         everything = np.arange(len(block.doc))
         data, ends, _, unit_ends, state = block.read(everything)
@@ -482,14 +542,15 @@ def _cut(units: Units, width: int):
         sizes = unit_ends - begins
         total = int(unit_ends[-1]) if len(unit_ends) else 0
         delta = np.zeros(total + 1, np.int32)
-        kinds = side["kind"].to_pylist()
-        for i, kind in enumerate(kinds):
-            if kind == 2:
-                row = np.frombuffer(side["row"][i].as_py(), np.int32)
-                start = begins[row] + np.frombuffer(side["start"][i].as_py(), np.int32)
-                n = np.frombuffer(side["n"][i].as_py(), np.int32)
-                np.add.at(delta, start, 1)
-                np.add.at(delta, start + n + width - 1, -1)
+        covers = side.filter(pc.equal(side["kind"], 2))
+
+        def column(name):
+            return np.frombuffer(text_buffer(covers[name])[0].tobytes(), np.int32).astype(np.int64)
+
+        echoes = column("echoes").reshape(-1, 6)
+        for row, start, size in _echoed(column("row"), column("start"), column("n"), echoes, width):
+            np.add.at(delta, begins[row] + start, 1)
+            np.add.at(delta, begins[row] + start + size, -1)
         copies = block.copies(side)
         copies = copies[sizes[copies] >= width]
         np.add.at(delta, begins[copies], 1)
@@ -549,7 +610,7 @@ def cut_shared(
     `other` is a struct of all columns but the text, `spans` the removed units as (start,
     length), `kept` the text without them. `method` searches the segments of a shard.
     """
-    n_bytes = total_bytes(docs, text)
+    n_rows, n_bytes = rows_and_bytes(docs, text)
     n_blocks = parts(n_bytes, BLOCK_BYTES)
     n_anchor_shards = parts(n_bytes, ANCHOR_SHARD_BYTES)
     n_shards = parts(n_bytes, SHARD_BYTES)
@@ -561,10 +622,12 @@ def cut_shared(
         F.struct(*others).alias("other"),
     ).withColumn("block", F.pmod(F.xxhash64("doc", "hash"), F.lit(n_blocks)))
 
-    slim = keyed.select("block", "doc", "hash", F.xxhash64(F.lit(1), "text").alias("hash2"))
+    slim = written(
+        keyed.select("block", "doc", "hash", F.xxhash64(F.lit(1), "text").alias("hash2")), "text-hashes"
+    )
     firsts = slim.groupBy("hash", "hash2").agg(F.min("doc").alias("first"), F.count("*").alias("n"))
     copies = (
-        slim.join(firsts.where("n > 1"), ["hash", "hash2"])
+        join_counted(slim, firsts.where("n > 1"), ["hash", "hash2"], "n", n_rows)
         .where("doc > first")
         # New columns, as Spark can't tell those of both sides of a cogroup apart.
         .select(
@@ -578,19 +641,19 @@ def cut_shared(
     )
     blocks = keyed.groupBy("block")
     anchors = blocks.cogroup(copy_side.groupBy("block")).applyInArrow(
-        _anchors_of(units, width, gram, n_anchor_shards),
+        released(_anchors_of(units, width, gram, n_anchor_shards)),
         "shard long, block long, keys binary, counts binary",
     )
-    told = anchors.groupBy("shard").applyInArrow(_shared_anchors, SIDE)
+    told = anchors.groupBy("shard").applyInArrow(released(_shared_anchors), SIDE)
     found = blocks.cogroup(copy_side.unionByName(told).groupBy("block")).applyInArrow(
-        _segments_of(units, width, gram, n_anchor_shards, n_shards), FOUND
+        released(_segments_of(units, width, gram, n_anchor_shards, n_shards)), FOUND
     )
-    covers = found.groupBy("shard").applyInArrow(_search(method, units, width), COVER)
+    covers = found.groupBy("shard").applyInArrow(released(_search(method, units, width)), COVER)
     cut_side = covers.select(
         "block", F.lit(2).alias("kind"), F.lit(None).cast("long").alias("doc"),
-        F.lit(None).cast("long").alias("hash"), "row", "start", "n",
+        F.lit(None).cast("long").alias("hash"), "row", "start", "n", "echoes",
     ).unionByName(
-        copies.select("*", *[F.lit(None).cast("binary").alias(c) for c in ("row", "start", "n")])
+        copies.select("*", *[F.lit(None).cast("binary").alias(c) for c in ("row", "start", "n", "echoes")])
     )
     span = T.StructType([T.StructField("start", T.LongType()), T.StructField("length", T.LongType())])
     schema = T.StructType(
@@ -598,4 +661,4 @@ def cut_shared(
         + [T.StructField(c, T.LongType()) for c in ("n_units", "n_removed", "n_spans")]
         + [T.StructField("spans", T.ArrayType(span)), T.StructField("kept", units.kept_type)]
     )
-    return blocks.cogroup(cut_side.groupBy("block")).applyInArrow(_cut(units, width), schema)
+    return blocks.cogroup(cut_side.groupBy("block")).applyInArrow(released(_cut(units, width)), schema)

@@ -36,6 +36,13 @@ def written(df: DataFrame, purpose: str, compression: str = "snappy") -> DataFra
     return spark.read.schema(df.schema).parquet(folder)
 
 
+def rows_and_bytes(docs: DataFrame, text: str = "text") -> tuple[int, int]:
+    """Number of rows, and UTF-8 bytes of all texts, in one pass."""
+    n_bytes = F.sum(F.octet_length(F.col(text)).cast("bigint"))
+    row = docs.agg(F.count("*").alias("rows"), n_bytes.alias("bytes")).first()
+    return row["rows"], int(row["bytes"] or 0)
+
+
 def total_bytes(docs: DataFrame, text: str = "text") -> int:
     """UTF-8 bytes of all texts: one number, to size the partitions by."""
     row = docs.agg(F.sum(F.octet_length(F.col(text)).cast("bigint")).alias("n")).first()
@@ -54,16 +61,20 @@ def small(df: DataFrame, most: int) -> DataFrame:
 HOT_SHARE = 1 << 16
 
 
-def join_counted(left: DataFrame, right: DataFrame, on: str, n: str) -> DataFrame:
+def join_counted(
+    left: DataFrame, right: DataFrame, on: str | list[str], n: str, total: int | None = None
+) -> DataFrame:
     """`left` with the columns of `right`, which has one row for each value of `on` in `left` and in
-    column `n` how many rows of `left` have it.
+    column `n` how many rows of `left` have it; `left` has `total` rows (else they are summed).
 
     Values with more than a `HOT_SHARE`th of all rows are fewer than `HOT_SHARE`, whatever the
     size of the tables: they are broadcast, so their rows aren't shuffled. The others' rows are.
     """
-    total = right.agg(F.sum(n).alias("total")).first()["total"] or 0
+    if total is None:
+        total = right.agg(F.sum(n).alias("total")).first()["total"] or 0
+    on = [on] if isinstance(on, str) else on
     limit = max(1024, -(-total // HOT_SHARE))
     hot, cold = right.where(F.col(n) > limit), right.where(F.col(n) <= limit)
     there = left.join(F.broadcast(hot), on)
-    rest = left.join(F.broadcast(hot.select(on)), on, "left_anti").join(cold, on)
+    rest = left.join(F.broadcast(hot.select(*on)), on, "left_anti").join(cold, on)
     return there.unionByName(rest)

@@ -209,20 +209,26 @@ def release() -> None:
         pass
 
 
+RELEASE_BYTES = 1 << 19
+
+
 def released(run):
-    """`run`, a task function of one or two tables, with its memory given back when it is over."""
+    """`run`, a task function of one or two tables, with its memory given back when it is over, if
+    the tables were of some size."""
 
     def of_one(table):
         try:
             return run(table)
         finally:  # the function's own arrays are gone by now
-            release()
+            if table.nbytes > RELEASE_BYTES:
+                release()
 
     def of_two(left, right):
         try:
             return run(left, right)
         finally:
-            release()
+            if left.nbytes + right.nbytes > RELEASE_BYTES:
+                release()
 
     return of_one if run.__code__.co_argcount == 1 else of_two
 

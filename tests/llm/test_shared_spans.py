@@ -1,14 +1,17 @@
 """Both substring dedups against brute force, in one block and in many."""
 
+import random
 import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from searchmill.llm import shared_spans, substring_dedup, suffix_dedup
 from searchmill.llm.shared_spans import Found
-from tests.llm.odd import SCHEMA, odd_documents
+from searchmill.llm.windows import in_pieces, word_hashes
+from tests.llm.odd import SCHEMA, odd_documents, prose, thue_morse
 
 LAST = 2**63 - 1
 
@@ -122,3 +125,116 @@ def test_methods_agree_with_brute_force(method, dtype):
         want = {at for at, key in keys.items() if first[key] < found.doc[at[0]]}
         got = {(k, a + i) for k, a, n in zip(*method(found, width), strict=True) for i in range(n)}
         assert got == want
+
+
+def check(spark, operator, split, joined, rows):
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    got = {}
+    for r in operator(docs).collect():
+        kept = r.kept if isinstance(r.kept, str) else bytes(r.kept)
+        got[r.other.doc_id] = (r.n_units, tuple((s.start, s.length) for s in r.spans), kept)
+    assert got == {i: (n, spans, joined(kept)) for i, n, spans, kept in brute(rows, split, 50)}
+
+
+@pytest.mark.parametrize("operator, split, joined", CASES)
+@pytest.mark.parametrize("block", [1 << 22, 900])
+def test_repeats_inside_documents(spark, monkeypatch, operator, split, joined, block):
+    """Runs of one and of several units, and passages that a document repeats at odd distances."""
+    for name in ("BLOCK_BYTES", "ANCHOR_SHARD_BYTES", "SHARD_BYTES"):
+        monkeypatch.setattr(shared_spans, name, block)
+    rng = random.Random(7)
+    passage, line = prose(rng, 60), prose(rng, 12)
+    units = ["w", "w x", "ab cd ef gh ij", prose(rng, 30), prose(rng, 70)]
+    texts = [f"{' '.join([u] * rng.randrange(2, 130))} {prose(rng, rng.randrange(9))}" for u in units * 3]
+    texts += [" ".join(rng.choice([passage, line, prose(rng, 9), "w " * 70]) for _ in range(8)) for _ in range(14)]
+    texts += [" " * 700, "x" + " " * 300 + "y", "-" * 400, "-=" * 200, "-" * 49]
+    rng.shuffle(texts)
+    check(spark, operator, split, joined, list(enumerate(texts)))
+
+
+@pytest.mark.parametrize("operator, split, joined", CASES)
+def test_hot_repeats(spark, monkeypatch, operator, split, joined):
+    monkeypatch.setattr(shared_spans, "HOT", 3)
+    rng = random.Random(3)
+    passage = prose(rng, 75)
+    texts = [f"{passage} {prose(rng, 5)} " * rng.randrange(1, 4) + "q " * rng.randrange(120) for _ in range(30)]
+    check(spark, operator, split, joined, list(enumerate(texts)))
+
+
+def one_block(texts):
+    n = len(texts)
+    docs = pa.table(
+        {"block": pa.array([0] * n), "doc": pa.array(range(n)), "hash": pa.array(range(n)), "text": pa.array(texts)}
+    )
+    names = ["block", "doc", "hash", "shard"]
+    side = pa.table(
+        {"kind": pa.array([], pa.int32())}
+        | {c: pa.array([], pa.int64()) for c in names}
+        | {c: pa.array([], pa.binary()) for c in ("keys", "hot")}
+    )
+    return docs, side
+
+
+@pytest.mark.parametrize(
+    "units, gram, texts",
+    [
+        (shared_spans.BYTES, 20, [" " * 1_000_000, "a" + " " * 900_000]),
+        (shared_spans.WORDS, 10, ["w " * 200_000, "v " + "w " * 150_000]),
+        (shared_spans.WORDS, 10, ["w x y " * 60_000, "z " + "w x y " * 60_000]),
+    ],
+)
+def test_runs_send_little(units, gram, texts):
+    docs, side = one_block(texts)
+    sent = shared_spans._segments_of(units, 50, gram, 1, 1)(docs, side)
+    assert 0 < sent.nbytes < sum(map(len, texts)) / 10
+
+
+@pytest.mark.parametrize("operator, split, joined", CASES)
+def test_long_runs(spark, operator, split, joined):
+    """Ten million bytes of one unit, beyond slices and blocks; what is left follows from the rule."""
+    n = 10_000_000 if split is octets else 5_000_000
+    unit = " " if split is octets else "w "
+    rows = [(1, f"a {unit * 60}"), (2, f"b {unit * n}c"), (3, f"{unit * (n // 2)}")]
+    got = {r.other.doc_id: r for r in operator(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    kept = {k: r.kept if isinstance(r.kept, str) else bytes(r.kept).decode() for k, r in got.items()}
+    if split is octets:
+        assert kept == {1: rows[0][1], 2: "bc", 3: ""}
+        assert [(s.start, s.length) for s in got[2].spans] == [(1, n + 1)]
+    else:
+        assert kept == {1: rows[0][1].strip(), 2: "b c", 3: ""}
+        assert [(s.start, s.length) for s in got[2].spans] == [(1, n)]
+
+
+def test_words_of_equal_polynomial_hash(spark):
+    rng = random.Random(2)
+    before, after = prose(rng, 40), prose(rng, 40)
+    rows = []
+    for n in (10, 11, 12):
+        a, b = thue_morse(n)
+        rows += [(10 * n, f"{before} {a} {after}"), (10 * n + 1, f"{before} {b} {after}"), (10 * n + 2, f"{a} {a}")]
+    check(spark, *CASES[0], rows)
+    data = np.frombuffer("".join(w for n in (10, 11, 12) for w in thue_morse(n)).encode(), np.uint8)
+    ends = np.cumsum([1 << 10, 1 << 10, 1 << 11, 1 << 11, 1 << 12, 1 << 12])
+    assert len(set(word_hashes(data, ends - np.diff(ends, prepend=0), ends).tolist())) == 6
+
+
+def test_word_hashes():
+    rng = random.Random(4)
+    words = {"".join(rng.choices("ab\x00é", k=rng.randrange(1, 90))) for _ in range(3000)} | {"a", "a\x00", "\x00"}
+    raw = [w.encode() for w in words]
+    data = np.frombuffer(b"".join(raw), np.uint8)
+    ends = np.cumsum([len(w) for w in raw])
+    start = ends - np.diff(ends, prepend=0)
+    found = word_hashes(data, start, ends)
+    assert len(set(found.tolist())) == len(words)
+    for k in range(0, len(raw), 50):  # of the bytes alone
+        one = np.frombuffer(raw[k], np.uint8)
+        assert word_hashes(one, np.array([0]), np.array([len(one)]))[0] == found[k]
+
+
+def test_pieces_are_cut_at_rows():
+    texts = ["a" * n for n in (5, 0, 3_000_000, 1, 700_000, 600_000, 2)] + [None]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+    pieces = [p.column(0).to_pylist() for p in in_pieces([batch], 0)]
+    assert [t for p in pieces for t in p] == texts
+    assert all(len(p) == 1 or sum(len(t or "") for t in p) <= 1 << 20 for p in pieces)
