@@ -40,28 +40,25 @@ class StagedRows:
 def stage_ordered(facts: DataFrame, folder: str, unique_keys: bool = False) -> StagedRows:
     """Write `facts` under `folder` in the order of date, export, query and page.
 
-    The range exchange splits a hot date over as many tasks as it needs. Copies of a row
-    could still fill one range, so unless the keys are known to be unique they are spread
-    by a tie breaker. It counts the rows of a task after a local sort by row hash (one long,
-    a radix sort): copies then get the same ties again when a lost task is repeated.
+    `facts` is evaluated once, into a table of its own, and counted on the way. The range exchange
+    is over that table, as it reads its input twice (first to sample the ranges). It splits a hot
+    date over as many tasks as it needs. Copies of a row could still fill one range, so unless the
+    keys are known to be unique they are spread by their place in the written files, which
+    is the same when a lost task is repeated.
     """
     spark = facts.sparkSession
+    seen = Observation()
+    counted = facts.observe(seen, F.count(F.lit(1)).alias("rows"))
+    counted.write.option("compression", "lz4").parquet(f"{folder}/facts")
+    facts = spark.read.schema(facts.schema).parquet(f"{folder}/facts")
     order = [c for c in ROW_ORDER if c in facts.columns]
     spread = order
     if not unique_keys:
         order = order + TIE_ORDER
         spread = [*order, "_tie"]
-        facts = (
-            facts.withColumn("_hash", F.xxhash64(*order))
-            .sortWithinPartitions("_hash")
-            .withColumn("_tie", F.monotonically_increasing_id())
-            .drop("_hash")
-        )
-    seen = Observation()
+        facts = facts.withColumn("_tie", F.xxhash64("_metadata.file_path", "_metadata.row_index"))
     (
         facts.repartitionByRange(*spread)
-        # After the exchange: what is before it also runs to sample the ranges.
-        .observe(seen, F.count(F.lit(1)).alias("rows"))
         .sortWithinPartitions(*order)
         .drop("_tie")
         .withColumn("pos", F.monotonically_increasing_id())

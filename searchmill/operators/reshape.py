@@ -15,6 +15,8 @@ from searchmill.schemas import (
     SHEET_METRICS,
 )
 
+NUMBERS = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
+
 # Technical columns a scan may add to the sheet's own columns.
 SCAN_COLUMNS = ("source_file", "mtime", "row_no")
 
@@ -96,8 +98,8 @@ def keep_positive(facts: DataFrame) -> DataFrame:
     return facts.where(any_positive(*[F.col(m) for m in COUNT_METRICS]))
 
 
-def first_rows(rows: DataFrame) -> DataFrame:
-    """Where one export repeats a query and page, keep the export's first row.
+def first_rows(rows: DataFrame, extra: list[str] | None = None) -> DataFrame:
+    """Where one export repeats a query and page (and `extra` columns), keep its first row.
 
     Every sheet row has a cell in every dated column of its sheet, so the first value per
     date and metric is always the one of the first row: choosing whole rows *before* they
@@ -105,7 +107,7 @@ def first_rows(rows: DataFrame) -> DataFrame:
     each group to one row in the map tasks before the shuffle, so a frequent key is small.
     """
     # The query leads, as it tells rows apart early in the sort; exports repeat their name.
-    keys = ["query", "page_path"] + [c for c in ("source_file",) if c in rows.columns]
+    keys = ["query", "page_path"] + [c for c in ("source_file",) if c in rows.columns] + (extra or [])
     order = Window.partitionBy(*keys).orderBy("row_no")
     return rows.withColumn("_nth", F.row_number().over(order)).where("_nth = 1").drop("_nth")
 
@@ -124,24 +126,36 @@ def has_repeated_rows(rows: DataFrame) -> bool:
 def wide_to_facts(wide: DataFrame, unique_rows: bool = False) -> DataFrame:
     """Facts of a wide frame with `Query`, `Url` and `<date>_<metric>` columns.
 
-    One generator spreads the dates (`stack`, one struct per date), instead of an unpivot
-    to four rows per date followed by a pivot. `unique_rows` skips `first_rows` and with
-    it the only shuffle.
+    One generator spreads the dates, instead of an unpivot to four rows per date followed by a
+    pivot. Where all columns are numbers, only the days that can have traffic become structs and
+    are spread; most days of a query are empty. Text cells are all cast, so that a bad
+    number fails the job wherever it is. `unique_rows` skips `first_rows` and with it the only
+    shuffle.
     """
     header = sheet_header(wide)
     rows = rename_ids(with_row_no(wide))
     if not unique_rows:
         rows = first_rows(rows)
+    kinds = dict(rows.dtypes)
+    numbers = all(kinds[c.name].partition("(")[0] in NUMBERS for c in header.columns)
     # As text: a wide sheet has thousands of cells, and one parse beats as many calls.
-    cells = []
+    days = []
     for date, columns in header.days():
-        cells.append(f"DATE '{date}'")
-        for metric in METRICS:
-            column = _quoted(columns[metric].name) if metric in columns else "NULL"
-            cells.append(f"CAST({column} AS double)")
+        cells = {
+            m: f"CAST({_quoted(columns[m].name) if m in columns else 'NULL'} AS double)" for m in METRICS
+        }
+        if numbers:
+            carries = " OR ".join(f"abs({cells[m]}) >= 1" for m in COUNT_METRICS)
+            fields = ", ".join(f"'{m}', {cell}" for m, cell in cells.items())
+            days.append(f"CASE WHEN {carries} THEN named_struct('dt', DATE '{date}', {fields}) END")
+        else:
+            days.append(f"DATE '{date}', {', '.join(cells.values())}")
     ids = [c for c in ("source_file", "query", "page_path") if c in rows.columns]
-    days = f"stack({len(header.days())}, {', '.join(cells)}) AS (dt, {', '.join(METRICS)})"
-    return keep_positive(type_facts(rows.selectExpr(*ids, days)))
+    if numbers:
+        spread = f"inline(array_compact(array({', '.join(days)})))"
+    else:
+        spread = f"stack({len(days)}, {', '.join(days)}) AS (dt, {', '.join(METRICS)})"
+    return keep_positive(type_facts(rows.selectExpr(*ids, spread)))
 
 
 def sheet_rows_to_facts(rows: DataFrame) -> DataFrame:

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from searchmill.operators.quarantine import bad_facts, good_facts, sheet_rows_to_checked
 from searchmill.operators.report import quality_report
 from searchmill.operators.reshape import (
     has_repeated_rows,
@@ -17,13 +18,14 @@ from searchmill.operators.reshape import (
     sheet_rows_to_facts,
     wide_to_facts,
 )
-from searchmill.schemas import Mart, create_layers
+from searchmill.schemas import RAW_COLUMNS, Mart, create_layers, create_quarantine
 from searchmill.sinks.archive import archive_exports
-from searchmill.sinks.tables import WriteReport, refresh_clean, replace_by_date, seed_raw
+from searchmill.sinks.tables import WriteReport, refresh_clean, replace_by_date, seed_raw, set_aside
 from searchmill.sources.discover import export_files, exports, warn_legacy_files
 from searchmill.sources.heads import export_heads, file_heads
-from searchmill.sources.history import read_history
+from searchmill.sources.history import read_checked_history, read_history
 from searchmill.sources.spreadsheet import read_spreadsheets
+from searchmill.sources.storage import delete_folder, new_folder
 from searchmill.sources.tables import read_raw
 from searchmill.sources.wide import parquet_scans, read_wide_csv
 
@@ -67,12 +69,16 @@ def load_exports(
     fmt: str = "xlsx",
     archive: str | None = None,
     multi_line: bool = False,
+    quarantine: str | None = None,
 ) -> LoadReport:
     """Load every export of `folder` into the raw table, then move the files to `archive`.
 
     An empty folder, or exports without traffic, leave the table as it is. A history CSV in
-    the folder is no export: it stays there.
+    the folder is no export: it stays there. With the name of a `quarantine` table, rows and
+    cells of CSV exports that can't be read go there, with a reason; else they fail the load.
     """
+    if quarantine and fmt != "csv":
+        raise ValueError("only CSV exports have cells to set aside, other formats are typed")
     if fmt == "xlsx":
         warn_legacy_files(spark, folder)
     found = exports(export_files(spark, folder, fmt))
@@ -84,9 +90,12 @@ def load_exports(
     if not names:
         logger.warning("no %s exports in %s", fmt, folder)
         return LoadReport()
-    written = replace_by_date(
-        export_facts(spark, folder, fmt, names, multi_line), mart, exports=found, unique_keys=True
-    )
+    if quarantine:
+        written = _load_checked(spark, read_wide_csv(spark, folder, names, multi_line, strict=False), mart, found, names, quarantine)
+    else:
+        written = replace_by_date(
+            export_facts(spark, folder, fmt, names, multi_line), mart, exports=found, unique_keys=True
+        )
     if not written.dates:
         # As nothing was stored, the files stay where they are.
         logger.error("no rows with traffic in %s", folder)
@@ -95,6 +104,19 @@ def load_exports(
     return LoadReport(len(names), written, moved)
 
 
+def _load_checked(spark, rows, mart, found, names, quarantine) -> WriteReport:
+    """Good rows to the raw table, bad ones to the quarantine; the exports are read once."""
+    create_quarantine(spark, quarantine)
+    folder = new_folder(spark, "checked-facts")
+    try:
+        sheet_rows_to_checked(rows).write.parquet(folder)
+        checked = spark.read.parquet(folder)
+        written = replace_by_date(good_facts(checked), mart, exports=found, unique_keys=True)
+        return replace(written, rows_set_aside=set_aside(bad_facts(checked), quarantine, names))
+    finally:
+        delete_folder(spark, folder)
+
+
 def run(
     spark: SparkSession,
     folder: str,
@@ -115,11 +137,29 @@ def run(
 
 
 def seed_history(
-    spark: SparkSession, path: str, mart: Mart = Mart(), multi_line: bool = False
+    spark: SparkSession,
+    path: str,
+    mart: Mart = Mart(),
+    multi_line: bool = False,
+    quarantine: str | None = None,
 ) -> WriteReport:
-    """Fill the raw table from the history CSV, replacing all it holds."""
+    """Fill the raw table from the history CSV, replacing all it holds. With the name of a
+    `quarantine` table, rows that can't be read go there; else they fail the job."""
     create_layers(spark, mart)
-    return seed_raw(read_history(spark, path, multi_line), mart)
+    if not quarantine:
+        return seed_raw(read_history(spark, path, multi_line), mart)
+    create_quarantine(spark, quarantine, history=True)
+    folder = new_folder(spark, "checked-history")
+    try:
+        read_checked_history(spark, path, multi_line).write.parquet(folder)
+        checked = spark.read.parquet(folder)
+        written = seed_raw(checked.where("reason IS NULL"), mart)
+        bad = checked.where("reason IS NOT NULL").select(
+            *[F.col(f"{c}_text").alias(c) for c in RAW_COLUMNS], "reason", "source_file"
+        )
+        return replace(written, rows_set_aside=set_aside(bad, quarantine))
+    finally:
+        delete_folder(spark, folder)
 
 
 def describe(loaded: LoadReport, refreshed: WriteReport) -> str:

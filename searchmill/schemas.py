@@ -94,6 +94,15 @@ def create_layers(spark: SparkSession, mart: Mart = Mart(), location: str | None
         )
 
 
+def create_quarantine(spark: SparkSession, table: str, history: bool = False) -> None:
+    """Create a table for rows that can't be read, where it does not exist yet: all as text, with the
+    reason, partitioned by the file they are from."""
+    columns = RAW_COLUMNS if history else FACT_COLUMNS
+    fields = ", ".join(f"{c} STRING" for c in [*columns, "reason", "source_file"])
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {table.split('.')[0]}")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({fields}) USING parquet PARTITIONED BY (source_file)")
+
+
 def require_columns(df: DataFrame, columns: list[str] | None = None) -> None:
     """Raise a ValueError that names the fact columns missing from `df`."""
     missing = [c for c in (columns or FACT_COLUMNS) if c not in df.columns]

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass, field
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from searchmill.operators.keys import highest_id, number_staged, number_table, stage_ordered
@@ -24,6 +25,7 @@ class WriteReport:
     rows_staged: int = 0
     rows_deleted: int = 0
     rows_inserted: int = 0
+    rows_set_aside: int = 0
     dates: list[dt.date] = field(default_factory=list)
 
 
@@ -84,7 +86,7 @@ def _load(facts, mart, exports, unique_keys, replace) -> WriteReport:
             switch(spark, mart.raw, state, name, dates)
         else:
             _insert(numbered, mart.raw, RAW_COLUMNS)
-        return WriteReport(staged.size, deleted, sum(r.n for r in found), dates)
+        return WriteReport(staged.size, deleted, sum(r.n for r in found), dates=dates)
     finally:
         delete_folder(spark, folder)
 
@@ -129,3 +131,18 @@ def _insert(rows: DataFrame, table: str, columns: list[str]) -> None:
     """Append by position, with the partition column last."""
     ordered = rows.select(*[c for c in columns if c != "dt"], "dt")
     rows.sparkSession.sql(f"INSERT INTO {table} SELECT * FROM {{rows}}", rows=ordered)
+
+
+def set_aside(bad: DataFrame, table: str, names: list[str] | None = None) -> int:
+    """Make `bad` the rows that the quarantine table has of these files (of all, without `names`);
+    their number."""
+    spark = bad.sparkSession
+    known = {unquote(r["partition"].split("=", 1)[1]) for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+    old = sorted(known if names is None else known & set(names))
+    if old:
+        parts = ", ".join("PARTITION (source_file = '" + n.replace("'", "\\'") + "')" for n in old)
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {parts}")
+    seen = Observation()
+    rows = bad.observe(seen, F.count(F.lit(1)).alias("rows")).select(spark.table(table).columns)
+    spark.sql(f"INSERT INTO {table} SELECT * FROM {{rows}}", rows=rows)
+    return seen.get["rows"]

@@ -139,10 +139,14 @@ def read_wide_csv(
     folder: str,
     names: list[str] | None = None,
     multi_line: bool = False,
+    strict: bool = True,
 ) -> DataFrame:
     """CSV exports under `folder` as packed sheet rows: (source_file, row_no, query,
     page_path, days). `names` limits the scan to those exports.
 
+    If not `strict`, the metrics of the days stay text, and a row that doesn't fit its header has
+    a `reason` instead of failing the job.
+
     Quotes are doubled inside quoted fields. A row with more or fewer fields than its file's
     header fails the job, and so does a quoted line break, unless `multi_line` (which reads
     each file in one task) allows them.
@@ -161,11 +165,11 @@ def read_wide_csv(
         if batches[-1] and sum(sizes[n] for n in batches[-1]) + sizes[name] > SCAN_FILES:
             batches.append([])
         batches[-1].append(name)
-    scans = [_csv_scan(spark, folder, batch, heads, found, multi_line) for batch in batches]
+    scans = [_csv_scan(spark, folder, batch, heads, found, multi_line, strict) for batch in batches]
     return reduce(DataFrame.unionByName, scans)
 
 
-def _csv_scan(spark, folder, names, heads, found, multi_line) -> DataFrame:
+def _csv_scan(spark, folder, names, heads, found, multi_line, strict) -> DataFrame:
     lines = {line: name for name in names for line in found[name]}
     columns_by_line = {line: csv_columns(line) for line in lines}
     # One column more than the widest header: every row is then short of one, which makes
@@ -219,13 +223,18 @@ def _csv_scan(spark, folder, names, heads, found, multi_line) -> DataFrame:
         .join(F.broadcast(files), "file_key")
         .join(F.broadcast(_layouts(spark, lines, columns_by_line)), "head")
     )
+    ids = [F.get("cells", "query_at").alias("query"), F.get("cells", "page_at").alias("page_path")]
+    fits = F.coalesce(F.col("width") == _fields(F.col(RAW)), F.lit(False))
+    if not strict:
+        return rows.select(
+            "source_file", "row_no", *ids, F.transform("layout", _text_day).alias("days"),
+            F.when(~fits, _what_is_wrong()).alias("reason"),
+        )
+    wrong = F.raise_error(F.concat(_what_is_wrong(), F.lit(" of "), "file_path"))
     return rows.select(
-        "source_file",
-        "row_no",
-        F.get("cells", "query_at").alias("query"),
-        F.get("cells", "page_at").alias("page_path"),
-        F.when(F.col("width") == _fields(F.col(RAW)), F.transform("layout", _day))
-        .otherwise(_wrong_row().cast(T.ArrayType(DAY_TYPE)))
+        "source_file", "row_no", *ids,
+        F.when(fits, F.transform("layout", _day))
+        .otherwise(wrong.cast(T.ArrayType(DAY_TYPE)))
         .alias("days"),
     )
 
@@ -241,14 +250,13 @@ def _fields(raw: Column) -> Column:
     return F.when(~bare.rlike('(^|,)"'), commas + 1)
 
 
-def _wrong_row() -> Column:
+def _what_is_wrong() -> Column:
     bare = F.regexp_replace(F.col(RAW), QUOTED, "$1")
-    what = (
-        F.when(bare.rlike('(^|,)"'), "quoted line break (see multi_line) in ")
-        .when(_fields(F.col(RAW)) < F.col("width"), "row shorter than the header of ")
-        .otherwise("row longer than the header of ")
+    return (
+        F.when(bare.rlike('(^|,)"'), "quoted line break (see multi_line)")
+        .when(_fields(F.col(RAW)) < F.col("width"), "row shorter than the header")
+        .otherwise("row longer than the header")
     )
-    return F.raise_error(F.concat(what, "file_path"))
 
 
 def _day(place: Column) -> Column:
@@ -256,6 +264,10 @@ def _day(place: Column) -> Column:
     return F.struct(place["dt"].alias("dt"), *values)
 
 
+def _text_day(place: Column) -> Column:
+    return F.struct(place["dt"].alias("dt"), *[F.get("cells", place[m]).alias(m) for m in METRICS])
+
+
 def _layouts(
     spark: SparkSession, lines: dict[str, str], columns_by_line: dict[str, list[str]]
 ) -> DataFrame:

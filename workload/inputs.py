@@ -250,3 +250,32 @@ def write_year_sheets(facts: DataFrame, folder: str) -> None:
     for row in years:
         wide = to_wide(facts.where(F.year("dt") == row.year))
         wide.write.mode("overwrite").parquet(f"{folder}/{row.year}.parquet")
+
+
+# Some metrics of the quarters can't be read: no number, beyond INT, or both in one row.
+BAD_TEXTS = """
+  SELECT dt, query, page_path,
+         CASE WHEN demand % 17 = 3 THEN 'n/a' ELSE CAST(demand AS {string}) END AS demand,
+         CAST(impressions AS {string}) AS impressions, CAST(position AS {string}) AS position,
+         CASE WHEN (impressions + clicks) % 19 = 5 THEN '3000000000' ELSE CAST(clicks AS {string}) END AS clicks
+  FROM quarters
+"""
+
+
+def bad_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    statement = BAD_TEXTS.format(string="STRING").replace("FROM quarters", "FROM {source}")
+    return spark.sql(statement, source=quarter_facts(spark, sf_dir))
+
+
+def write_bad_year_sheets(facts: DataFrame, folder: str) -> None:
+    """One wide CSV export per year of facts with text metrics."""
+    years = facts.select(F.year("dt").alias("year")).distinct().orderBy("year").collect()
+    for row in years:
+        to_wide(facts.where(F.year("dt") == row.year)).write.option("header", True).csv(f"{folder}/{row.year}.csv")
+
+
+def write_bad_history(rows: DataFrame, folder: str) -> None:
+    """History files in which some dates and ids can't be read."""
+    dt = F.when(F.col("id") % 13 == 4, F.date_format("dt", "yyyy-MM-'31st'")).otherwise(F.col("dt").cast("string"))
+    number = F.when(F.col("id") % 11 == 6, F.concat(F.lit("#"), "id")).otherwise(F.col("id").cast("string"))
+    rows.withColumn("dt", dt).withColumn("id", number).write.option("header", True).csv(folder)

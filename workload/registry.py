@@ -45,12 +45,14 @@ from searchmill.sources.storage import new_folder
 from searchmill.sources.tables import read_clean, read_raw
 from workload.inputs import (
     AWKWARD,
+    BAD_TEXTS,
     EVENT_FACTS,
     EVENT_SHEET_FIRST,
     LINE_FACTS,
     ORDER_FACTS,
     QUARTER_FACTS,
     awkward,
+    bad_texts,
     event_facts,
     event_sheet,
     line_facts,
@@ -59,6 +61,8 @@ from workload.inputs import (
     quarter_facts,
     table,
     to_wide,
+    write_bad_history,
+    write_bad_year_sheets,
     write_csv_text,
     write_history_text,
     write_spreadsheets,
@@ -519,6 +523,72 @@ def incremental_ingest(spark, sf_dir):
     return table_ids.drop("id")
 
 
+QUARTERS = f"""WITH quarters AS ({QUARTER_FACTS}), texts AS ({BAD_TEXTS.format(string="VARCHAR")}),
+  judged AS (SELECT *, nullif(concat_ws('; ',
+      CASE WHEN demand = 'n/a' THEN 'demand: ''n/a'' is no number' END,
+      CASE WHEN clicks = '3000000000' THEN 'clicks: ''3000000000'' is beyond INT' END), '') AS reason FROM texts)"""
+
+
+def _load_bad_sheets(spark, sf_dir):
+    folder, mart = new_folder(spark, "bad"), new_mart(spark, "bad")
+    write_bad_year_sheets(bad_texts(spark, sf_dir), folder)
+    load_exports(spark, folder, mart, fmt="csv", quarantine=f"{mart.raw}_bad")
+    return mart
+
+
+@query(f"""{QUARTERS}, good AS (SELECT dt, query, page_path, CAST(demand AS int) AS demand,
+    CAST(impressions AS int) AS impressions, CAST(position AS double) AS position, CAST(clicks AS int) AS clicks
+    FROM judged WHERE reason IS NULL)
+  SELECT row_number() OVER (ORDER BY {ROW_ORDER}) AS id, {FACTS} FROM good WHERE {POSITIVE}""")
+def quarantine_good(spark, sf_dir):
+    """Facts of CSV exports some of whose cells can't be read: the good ones, with ids."""
+    return read_raw(spark, _load_bad_sheets(spark, sf_dir))
+
+
+@query(f"""{QUARTERS} SELECT strftime(dt, '%Y-%m-%d') AS dt, query, page_path, demand, impressions,
+    CAST(position AS double) AS position, clicks, reason, year(dt) || '.csv' AS source_file
+  FROM judged WHERE reason IS NOT NULL""")
+def quarantine_bad(spark, sf_dir):
+    """The same load: the others as they were found, with file and reason."""
+    mart = _load_bad_sheets(spark, sf_dir)
+    return spark.table(f"{mart.raw}_bad").withColumn("position", F.col("position").cast("double"))
+
+
+IDS = f"{WITH}, ids AS (SELECT row_number() OVER (ORDER BY {ROW_ORDER}) AS id, {FACTS} FROM line_f)"
+
+
+def _seed_bad_history(spark, sf_dir):
+    first, mart = new_mart(spark, "first"), new_mart(spark, "bad_history")
+    replace_by_date(line_facts(spark, sf_dir), first)
+    folder = new_folder(spark, "history")
+    write_bad_history(read_raw(spark, first), folder)
+    seed_history(spark, folder, mart, quarantine=f"{mart.raw}_bad")
+    return mart
+
+
+@query(f"{IDS} SELECT id, {FACTS} FROM ids WHERE id % 13 <> 4 AND id % 11 <> 6")
+def quarantine_history_good(spark, sf_dir):
+    """History with bad dates and ids: the good rows."""
+    return read_raw(spark, _seed_bad_history(spark, sf_dir))
+
+
+@query(f"""{IDS}, texts AS (SELECT query, page_path, demand, clicks,
+    CASE WHEN id % 13 = 4 THEN strftime(dt, '%Y-%m-31st') ELSE strftime(dt, '%Y-%m-%d') END AS dt,
+    CASE WHEN id % 11 = 6 THEN '#' || id ELSE CAST(id AS varchar) END AS id, id % 13 = 4 AS x, id % 11 = 6 AS y FROM ids)
+  SELECT id, dt, query, page_path, demand, clicks, concat_ws('; ',
+    CASE WHEN y THEN 'id: ''' || id || ''' is no BIGINT' END,
+    CASE WHEN x THEN 'dt: ''' || dt || ''' is no date' END) AS reason
+  FROM texts WHERE x OR y""")
+def quarantine_history_bad(spark, sf_dir):
+    """The same history: the bad rows."""
+    mart = _seed_bad_history(spark, sf_dir)
+    bad = spark.table(f"{mart.raw}_bad")
+    return bad.select(
+        "id", "dt", "query", "page_path", F.col("demand").cast("int").alias("demand"),
+        F.col("clicks").cast("int").alias("clicks"), "reason",
+    )
+
+
 IN_PLACE = f"""WITH q AS ({QUARTER_FACTS}),
   firsts AS (SELECT *, row_number() OVER (ORDER BY {ROW_ORDER}) AS id FROM q WHERE {POSITIVE}),
   kept AS (SELECT * FROM firsts WHERE year(dt) > 1995),
