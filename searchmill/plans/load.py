@@ -19,7 +19,7 @@ from searchmill.operators.reshape import (
     wide_to_facts,
 )
 from searchmill.schemas import RAW_COLUMNS, Mart, create_layers, create_quarantine
-from searchmill.sinks.archive import archive_exports
+from searchmill.sinks.archive import archive_exports, finish_moves
 from searchmill.sinks.tables import WriteReport, refresh_clean, replace_by_date, seed_raw, set_aside
 from searchmill.sources.discover import export_files, exports, warn_legacy_files
 from searchmill.sources.heads import export_heads, file_heads
@@ -79,6 +79,8 @@ def load_exports(
     """
     if quarantine and fmt != "csv":
         raise ValueError("only CSV exports have cells to set aside, other formats are typed")
+    if archive:
+        finish_moves(spark, archive)  # of a run that loaded its exports but didn't move them all
     if fmt == "xlsx":
         warn_legacy_files(spark, folder)
     found = exports(export_files(spark, folder, fmt))

@@ -136,3 +136,28 @@ def test_require_dates(spark):
 def test_repeated_ids(spark):
     rows = spark.createDataFrame([(1,), (2,), (2,)], "id bigint")
     assert [tuple(r) for r in repeated_ids(rows).collect()] == [(2, 2)]
+
+
+@pytest.mark.parametrize(
+    "parts",
+    [
+        [[1, 2, 3], [4, 5], [6]],  # disjoint
+        [[1, 9], [3, 4]],  # nested, nothing twice
+        [[1, 2, 3], [3, 4], [5]],  # touching
+        [[1, 2, 3, 4], [2, 3], [9, 9], [12, 10, 11]],
+        [[5], [5], [5], [7, None]],
+        [[-3, 1], [1, 2], [2, 8], [0, 10]],
+        [[]],
+    ],
+)
+def test_repeated_ids_by_ranges(spark, tmp_path, parts):
+    from searchmill.operators.quality import repeated_table_ids
+
+    for n, ids in enumerate(parts):
+        spark.createDataFrame([(i,) for i in ids], "id long").coalesce(1).write.parquet(str(tmp_path / f"{n}"))
+    table = spark.read.parquet(*[str(tmp_path / f"{n}") for n in range(len(parts))])
+    found = repeated_table_ids(table)
+    want = {tuple(r) for r in repeated_ids(table.where("id IS NOT NULL")).collect()}
+    assert {tuple(r) for r in found.collect()} == want
+    if len(parts) == 3 and not want:
+        assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString().replace("SinglePartition", "")
