@@ -26,7 +26,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from searchmill.llm.tables import small, written
@@ -231,7 +231,11 @@ def find_contamination(
     )
     by_row = by_row.select(
         "row", "window_set", F.xxhash64("window_set").alias("set1"),
-        F.xxhash64(F.lit(1), "window_set").alias("set2"), _union(F.col("at")).alias("spans"),
+        F.xxhash64(F.lit(1), "window_set").alias("set2"), "at",
+    ).mapInArrow(
+        _united,
+        "row long, window_set array<struct<h1: long, h2: long>>, set1 long, set2 long,"
+        " spans array<struct<start: long, length: long>>",
     )
     sets = by_row.groupBy("set1", "set2").agg(F.first("window_set").alias("window_set"))
     listed = (
@@ -259,22 +263,30 @@ def find_contamination(
     )
 
 
-def _union(at: Column) -> Column:
-    """Sorted (start, end) spans, united where they touch or overlap, as (start, length)."""
-    kind = "array<struct<start: long, end: long>>"
-
-    def add(done, span):
-        last = F.element_at(done, -1)
-        longer = F.struct(last["start"].alias("start"), F.greatest(last["end"], span["end"]).alias("end"))
-        return F.when(
-            (F.size(done) > 0) & (F.try_element_at(done, F.lit(-1))["end"] >= span["start"]),
-            F.concat(F.slice(done, 1, F.size(done) - 1), F.array(longer)),
-        ).otherwise(F.concat(done, F.array(span)))
-
-    united = F.aggregate(at.cast(kind), F.array().cast(kind), add)
-    return F.transform(
-        united, lambda s: F.struct(s["start"].alias("start"), (s["end"] - s["start"]).alias("length"))
-    )
+def _united(batches):
+    """Sorted (start, end) spans of each row, united where they touch or overlap, as (start, length)."""
+    for batch in batches:
+        at = batch.column(4)
+        flat = at.flatten()
+        start = flat.field("start").to_numpy(zero_copy_only=False)
+        end = flat.field("end").to_numpy(zero_copy_only=False)
+        row = np.repeat(np.arange(len(at)), at.value_lengths().to_numpy(zero_copy_only=False))
+        # The farthest end so far in the row: rows are set apart by more than any end.
+        apart = row * (int(end.max(initial=0)) + 1)
+        reach = np.maximum.accumulate(end + apart) - apart if len(end) else end
+        new = np.ones(len(start), bool)
+        new[1:] = (row[1:] != row[:-1]) | (start[1:] > reach[:-1])
+        first = np.flatnonzero(new)
+        last = np.append(first[1:], len(start)) - 1
+        spans = pa.StructArray.from_arrays(
+            [pa.array(start[first], pa.int64()), pa.array(reach[last] - start[first], pa.int64())],
+            ["start", "length"],
+        )
+        cuts = np.searchsorted(row[first], np.arange(len(at) + 1)).astype(np.int32)
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns[:4], pa.ListArray.from_arrays(pa.array(cuts), spans)],
+            ["row", "window_set", "set1", "set2", "spans"],
+        )
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

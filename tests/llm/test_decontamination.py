@@ -7,7 +7,7 @@ from collections import Counter
 import pytest
 
 from searchmill.llm import decontamination
-from tests.llm.odd import SCHEMA, odd_documents, prose
+from tests.llm.odd import SCHEMA, odd_documents, prose, thue_morse
 
 ITEMS = "item_id long, text string, doc_id string"
 
@@ -71,3 +71,27 @@ def test_removal_and_empty_tables(spark):
     assert decontamination.digest(docs.limit(0), items).collect() == []
     none = decontamination.digest(docs, items.limit(0)).collect()
     assert len(none) == len(rows) and not any(r.contaminated for r in none)
+
+
+def test_words_of_equal_polynomial_hash(spark):
+    pairs = [thue_morse(n) for n in (10, 11, 12)]
+    rows = [(k, f"see {w} there", *[None] * 10) for k, w in enumerate(w for pair in pairs for w in pair)]
+    items = [(k, f"{a} there", None) for k, (a, _) in enumerate(pairs)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    found = decontamination.digest(docs, spark.createDataFrame(items, ITEMS))
+    got = Counter(tuple(r) for r in found.collect())
+    assert got == brute(rows, items) and sum(k[2] > 0 for k in got) == 3
+
+
+def test_many_separate_hits_in_a_long_text(spark):
+    """A text of several slices; its spans are united in linear time."""
+    n = 150_000
+    text = " ".join(f"other{k} alpha beta" if k % 3 else f"alpha beta gamma{k} delta" for k in range(n))
+    docs = spark.createDataFrame([(1, text), (2, "none")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "alpha beta"), (2, "delta")], "item_id long, text string")
+    got = {r.doc_id: r for r in decontamination.find_contamination(docs, items).collect()}
+    ws = words(text)
+    hit = [w in ("alpha", "beta", "delta") for w in ws]
+    assert (got[1].n_words, got[1].n_hit, got[1].n_items) == (len(ws), sum(hit), 2)
+    starts = [k for k, h in enumerate(hit) if h and not (k and hit[k - 1])]
+    assert [s.start for s in got[1].spans] == starts and got[2].n_hit == 0

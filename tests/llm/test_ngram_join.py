@@ -6,7 +6,7 @@ from collections import defaultdict
 import pytest
 
 from searchmill.llm import ngram_join
-from tests.llm.odd import SCHEMA, odd_documents, prose
+from tests.llm.odd import SCHEMA, odd_documents, prose, thue_morse
 from tests.llm.test_decontamination import words
 
 
@@ -89,3 +89,20 @@ def test_components_of_a_long_path(spark):
 def test_recall_plan():
     bands = ngram_join.plan_bands(0.8, 0.99999, 4)
     assert 1 - (1 - 0.8**4) ** bands >= 0.99999 > 1 - (1 - 0.8**4) ** (bands - 1)
+
+
+def test_words_of_equal_polynomial_hash(spark):
+    rows = [(k, f"one two {w} three four", *[None] * 10) for k, w in enumerate(thue_morse(11))]
+    rows += [(9, rows[1][1], *[None] * 10)]
+    got = ngram_join.similar_documents(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {r.doc_id: (r.class_id, r.n_links) for r in got} == brute(rows) == {0: (0, 0), 1: (1, 1), 9: (1, 1)}
+
+
+def test_texts_longer_than_a_slice(spark):
+    """Sets of texts of more than a million words, alike and not."""
+    words_ = [f"{k * 7919 % 100_003}x{k % 977}" for k in range(1_100_000)]
+    other = list(words_)
+    other[5] = other[900_000] = "edited"
+    rows = [(4, " ".join(words_)), (2, " ".join(other)), (3, " ".join(words_[:700_000])), (8, "short text")]
+    got = ngram_join.similar_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert {r.doc_id: (r.class_id, r.n_links) for r in got} == {4: (2, 1), 2: (2, 1), 3: (3, 0), 8: (8, 0)}
