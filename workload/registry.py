@@ -83,7 +83,10 @@ ROW_ORDER = ", ".join(
     f"{c} NULLS FIRST"
     for c in ("dt", "query", "page_path", "demand", "impressions", "position", "clicks")
 )
-WITH = f"WITH events_f AS ({EVENT_FACTS}), line_f AS ({LINE_FACTS}), order_f AS ({ORDER_FACTS})"
+WITH = (
+    f"WITH events_f AS ({EVENT_FACTS}), line_f AS ({LINE_FACTS}), order_f AS ({ORDER_FACTS}),"
+    f" quarter_f AS ({QUARTER_FACTS})"
+)
 
 
 def query(sql: str | None) -> Callable[[Query], Query]:
@@ -454,14 +457,14 @@ def spreadsheet_cells(spark, sf_dir):
     return cells.select("query", "page_path", "date_metric", "value")
 
 
-AWKWARD_FACTS = f"SELECT dt, {AWKWARD} AS query, page_path, demand, impressions, position, clicks FROM events_f"
+AWKWARD_FACTS = f"SELECT dt, {AWKWARD} AS query, page_path, demand, impressions, position, clicks FROM quarter_f"
 
 
 @query(f"{WITH} SELECT * FROM ({AWKWARD_FACTS}) WHERE {POSITIVE}")
 def csv_quoted(spark, sf_dir):
     """CSV exports with quotes, commas and backslashes, not written by Spark."""
     folder, mart = new_folder(spark, "csv"), new_mart(spark, "quoted")
-    write_csv_text(awkward(event_facts(spark, sf_dir)), folder)
+    write_csv_text(awkward(quarter_facts(spark, sf_dir)), folder)
     load_exports(spark, folder, mart, fmt="csv")
     return read_raw(spark, mart).drop("id")
 
@@ -470,7 +473,7 @@ def csv_quoted(spark, sf_dir):
 def history_quoted(spark, sf_dir):
     """History with awkward queries and columns in another order, not written by Spark."""
     first, mart = new_mart(spark, "first"), new_mart(spark, "history")
-    replace_by_date(awkward(event_facts(spark, sf_dir)), first)
+    replace_by_date(awkward(quarter_facts(spark, sf_dir)), first)
     folder = new_folder(spark, "history")
     order = ["dt", "clicks", "query", "id", "position", "page_path", "impressions", "demand"]
     write_history_text(read_raw(spark, first), folder, order)
@@ -478,8 +481,12 @@ def history_quoted(spark, sf_dir):
     return read_raw(spark, mart)
 
 
-# A second export of the days up to the 15th, with one more demand.
+# A second export of the first two quarters of each year, with one more demand.
 OVERLAP = f"""later AS (SELECT dt, query, page_path, demand + 1 AS demand, impressions, position, clicks
+    FROM quarter_f WHERE month(dt) <= 6),
+  won AS (SELECT * FROM later UNION ALL
+    SELECT {FACTS} FROM quarter_f WHERE month(dt) > 6 AND {POSITIVE})"""
+EVENT_OVERLAP = f"""later AS (SELECT dt, query, page_path, demand + 1 AS demand, impressions, position, clicks
     FROM events_f WHERE day(dt) <= 15),
   won AS (SELECT * FROM later UNION ALL
     SELECT {FACTS} FROM events_f WHERE day(dt) > 15 AND {POSITIVE})"""
@@ -488,8 +495,8 @@ OVERLAP = f"""later AS (SELECT dt, query, page_path, demand + 1 AS demand, impre
 def _two_exports(spark, sf_dir, mart, first, second):
     """Load two Parquet exports with common dates in one go; the second one is later."""
     folder = new_folder(spark, "two")
-    facts = event_facts(spark, sf_dir)
-    later = facts.where("day(dt) <= 15").withColumn("demand", F.col("demand") + 1)
+    facts = quarter_facts(spark, sf_dir)
+    later = facts.where("month(dt) <= 6").withColumn("demand", F.col("demand") + 1)
     first(to_wide(facts)).write.parquet(f"{folder}/1.parquet")
     second(to_wide(later)).write.parquet(f"{folder}/2.parquet")
     load_exports(spark, folder, mart, fmt="parquet")
@@ -520,7 +527,7 @@ def parquet_third_part(spark, sf_dir):
     return rows.drop("id")
 
 
-@query(f"{WITH}, {OVERLAP} SELECT {FACTS} FROM won")
+@query(f"{WITH}, {EVENT_OVERLAP} SELECT {FACTS} FROM won")
 def incremental_ingest(spark, sf_dir):
     """A stream over a folder, a file a batch: all exports, then corrected ones for the days up
     to the 15th. The other days come from the first wave alone."""
@@ -657,11 +664,11 @@ def refused_loads(spark, sf_dir):
     return read_raw(spark, mart)
 
 
-@query(f"{WITH} SELECT CAST(least(count(*), 5) AS bigint) AS rows FROM events_f WHERE {POSITIVE}")
+@query(f"{WITH} SELECT CAST(least(count(*), 5) AS bigint) AS rows FROM quarter_f WHERE {POSITIVE}")
 def preview_rows(spark, sf_dir):
     """Number of facts that a preview of a folder shows."""
     folder = new_folder(spark, "preview")
-    write_csv_text(event_facts(spark, sf_dir), folder)
+    write_csv_text(quarter_facts(spark, sf_dir), folder)
     return export_facts(spark, folder, "csv").limit(PREVIEW_ROWS).agg(F.count("*").alias("rows"))
 
 
