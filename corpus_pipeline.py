@@ -8,6 +8,15 @@ return the columns of `documents`:
 - repeated_passages: passages of 50 words that start in an earlier document are cut out;
 - decontamination: documents with a benchmark passage go;
 - packing: the rest as pieces of sequences of 1024 token ids.
+
+Null and empty texts are documents without words: they are scored by the classifier's intercept,
+are alike with nothing, hold no passage, and are packed as an end id. Rows with a null doc_id are
+judged by their own text, are never removed as near duplicates, and come after all others where
+the first document keeps a passage. Rows that are repeated are in one class, whose rows all have the
+first doc_id and stay; of their passages, only those that an earlier document has are cut.
+Ties: the smallest doc_id is the first. Extra columns are passed on up to packing, whatever
+their names. Very long texts are read in slices or alone, never cut short (see each module). An empty
+table gives an empty result.
 """
 
 from __future__ import annotations
