@@ -14,6 +14,7 @@ from pyspark.sql import SparkSession
 from searchmill.sources.storage import (
     create_file,
     delete_folder,
+    delete_if_empty,
     exists,
     file_names,
     first_line,
@@ -45,6 +46,7 @@ def archive_exports(spark: SparkSession, folder: str, archive: str, names: list[
     create_file(spark, listed, json.dumps(moves))
     _move_all(spark, moves)
     delete_folder(spark, listed)
+    delete_if_empty(spark, f"{archive.rstrip('/')}/{MOVES}")
     return [target for _, target in moves]
 
 
@@ -61,6 +63,7 @@ def finish_moves(spark: SparkSession, archive: str) -> int:
         _move_all(spark, left)
         delete_folder(spark, f"{place}/{name}")
         done += len(left)
+    delete_if_empty(spark, place)
     return done
 
 

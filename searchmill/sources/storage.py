@@ -93,6 +93,14 @@ def delete_folder(spark: SparkSession, folder: str) -> None:
     fs.delete(path, True)
 
 
+def delete_if_empty(spark: SparkSession, folder: str) -> None:
+    fs, path = hadoop_path(spark, folder)
+    try:
+        fs.delete(path, False)
+    except Py4JJavaError:  # something is in it
+        pass
+
+
 def new_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder name for intermediate tables, in the cluster's shared checkpoint folder.
 
