@@ -18,7 +18,9 @@ so they stay small as the input grows. The texts themselves are shuffled once: t
 the same exchange. Nothing but that number goes through the driver.
 
 A null text has no units. A null doc_id counts as larger than any number. Rows with the same
-doc_id are not smaller than one another; rows that are equal get equal results.
+doc_id are not smaller than one another; rows that are equal get equal results. A very long document
+makes its block larger: windows are hashed in slices of a million units, while its text and one
+number per unit are held whole. Extra columns are passed on, an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -35,6 +37,7 @@ from pyspark.sql import types as T
 
 from searchmill.llm.tables import join_counted, parts, rows_and_bytes, written
 from searchmill.llm.windows import (
+    BASES,
     U64,
     Hasher,
     byte_values,
@@ -285,8 +288,9 @@ def _packed(number: int, dest, doc, row, place, size, source, start) -> list[dic
 
 def _repeats(start, count, row, h1, h2):
     """(a segment of each content and document, echoes): the others' places as progressions
-    (which of the first, its place, its windows, first place, step, number)."""
-    order = np.lexsort((start, count, h2, h1, row))
+    (which of the first, its place, its windows, first place, step, number). Starts ascend."""
+    # One sort; of equal keys by chance, the segments would merely be sent more than once.
+    order = np.argsort(mix(h1 + row.astype(U64) * U64(BASES[0])), kind="stable")
     new = np.zeros(len(order), bool)
     new[:1] = True
     for key in (row, h1, h2, count):
