@@ -16,7 +16,9 @@ Null or malformed URLs (no `://`) have an empty host and path, fit no rule, and
 the host ''. Repeated pages are judged one by one; labels with null count for nothing.
 Everything is DataFrame operations: the counts are summed map-side first, so a host that holds
 a third of all pages costs a row per task; verdicts are joined by host, where Spark broadcasts
-the small side if its size allows and splits skewed partitions otherwise.
+the small side if its size allows and splits skewed partitions otherwise. The counts per host are
+written once, as each level's prior and posterior come from them. URLs of any length are one value;
+extra columns are ignored, an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from searchmill.llm.tables import small
+from searchmill.llm.tables import small, written
 
 RULES = [
     ("allow", "org", "/"),
@@ -40,6 +42,8 @@ Z = 1.645
 LEVELS = ["suffix", "domain", "host"]
 SUFFIX_ROWS = 1 << 17
 """Suffixes that may be sent to all tasks (the public list has some ten thousand); more are shuffled."""
+GROUP_ROWS = 1 << 16
+"""Posteriors of suffixes, domains or hosts that may be sent to all tasks; more are shuffled."""
 
 
 def url_parts(url: Column) -> tuple[Column, Column]:
@@ -147,15 +151,19 @@ def host_reputation(
         .groupBy("host")
         .agg(F.sum(F.coalesce("good", F.lit(0.0))).alias("good"), F.count("good").alias("n"))
     )
-    counts = host_levels(counts, suffixes).select("host", "domain", "suffix", "good", "n")
+    # One row a host: written, as each level's prior and its posterior come from it.
+    counts = written(host_levels(counts, suffixes).select("host", "domain", "suffix", "good", "n"), "host-counts")
 
     totals = counts.agg(F.sum("good").alias("g"), F.sum("n").alias("m"))
     prior = totals.select(F.coalesce(F.col("g") / F.nullif(F.col("m"), F.lit(0)), F.lit(0.5)).alias("prior"))
     known = counts.withColumn("prior", prior.scalar())
     for level in LEVELS:
         above = [x for x in LEVELS[: LEVELS.index(level) + 1]]
-        groups = known.groupBy(*above).agg(
-            F.sum("good").alias("good"), F.sum("n").alias("n"), F.max("prior").alias("prior")
+        groups = written(
+            known.groupBy(*above).agg(
+                F.sum("good").alias("good"), F.sum("n").alias("n"), F.max("prior").alias("prior")
+            ),
+            f"{level}-counts",
         )
         strength = _strength(groups.where("n > 0"), F.col("prior"), level)
         groups = groups.withColumn(f"{level}_strength", strength.scalar())
@@ -166,7 +174,8 @@ def host_reputation(
         posterior = groups.select(
             *above, mean.alias("mean"), F.greatest(mean - z * sd, F.lit(0.0)).alias("bound")
         )
-        known = known.drop("prior", "bound").join(posterior, above).withColumnRenamed("mean", "prior")
+        # A third of all hosts may be under one suffix: few groups are sent to all tasks.
+        known = known.drop("prior", "bound").join(small(posterior, GROUP_ROWS), above).withColumnRenamed("mean", "prior")
     return known.select("host", F.col("n").alias("n_labelled"), F.col("prior").alias("mean"), "bound")
 
 

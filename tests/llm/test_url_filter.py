@@ -110,3 +110,12 @@ def test_unrelated_sites_of_a_long_suffix_do_not_share(spark):
     verdicts = {r.host: r.verdict for r in judged}
     assert len(judged) == len(rows)
     assert (verdicts["new.good.co.uk"], verdicts["new.bad.co.uk"]) == ("allow", "block")
+
+
+def test_pages_are_joined_once(spark):
+    """What the levels need is one row per host, written once."""
+    pages = spark.createDataFrame([(k, f"https://h{k % 9}.example.com/x") for k in range(60)], "page_id long, url string")
+    outcomes = spark.createDataFrame([(k, k % 2) for k in range(60)], "page_id long, good int")
+    judged = host_reputation(pages, outcomes)
+    plan = judged._jdf.queryExecution().optimizedPlan().toString()
+    assert "LogicalRDD" not in plan and "url" not in plan and judged.count() == 9
