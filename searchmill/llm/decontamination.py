@@ -19,7 +19,9 @@ contents: no pairs of documents and items arise but those that the list of items
 
 Null or wordless texts have no words and no hits. Null doc_ids and repeated rows are kept and
 judged each by its own text. Items with the same item_id count as one; a null item_id is left
-out of lists and counts, but its words still make documents hit.
+out of lists and counts, but its words still make documents hit. Texts are read in pieces of about a
+megabyte, a longer one alone and in slices of a million words (20 MB of text add some 220 MB); extra
+columns are ignored, empty tables give empty results.
 """
 
 from __future__ import annotations

@@ -16,7 +16,8 @@ of large blocks once more before, into a written table.
 
 Null role: the participant `unknown`. Null text: empty. Null conversation: one conversation of
 its own. Null turn: before all others. Turns with the same number are ordered by role and text;
-equal ones are all kept. A conversation with system turns only has no perspective.
+equal ones are all kept. A conversation with system turns only has no perspective. A very long turn
+is one value; extra columns are ignored, an empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -15,7 +15,8 @@ part's base plus its offset.
 Documents are shuffled once, by ranges of doc_id, and each task streams its range to files of
 its own name; the list only names files of tasks that ended well, so a repeated task or a lost
 executor leaves at most a file that nobody reads. Null text: no ids but the end id. Null
-doc_ids come first. Rows with the same doc_id are ordered by their text's hash, and all kept.
+doc_ids come first. Rows with the same doc_id are ordered by their text's hash, and all kept. A very
+long text is encoded alone, in chunks. Extra columns are ignored, an empty table gives no files.
 """
 
 from __future__ import annotations
