@@ -14,12 +14,15 @@ similarity of the texts' sets of spans.
 
 Null texts are empty texts. Neighbours in descending order of doc_id: rows with the same doc_id
 are in the order of their texts' hashes, null doc_ids come last. Each text is shuffled once, to a
-range of doc_ids; the first text of a range is sent to the range before it as well.
+range of doc_ids; the first text of a range is sent to the range before it as well. A very long text
+is hashed in slices of a million code points; its prefix arrays take eight bytes for each. Extra
+columns are ignored, an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -39,21 +42,31 @@ RANGE_BYTES = 4 << 20
 MOST_RANGES = 1 << 14
 
 
+SLICE = 1 << 20
+"""Code points that are hashed at once; of longer texts, only the prefix arrays are held whole."""
+
+
 class Powers:
-    """Powers of a base and of its inverse modulo PRIME, made longer when needed."""
+    """Powers of a base or its inverse modulo PRIME: a slice of them, and a step between slices."""
 
     _made: dict = {}
 
     @classmethod
-    def of(cls, base: int, n: int) -> np.ndarray:
-        powers = cls._made.get(base)
-        if powers is None or len(powers) < n:
+    def of(cls, base: int) -> np.ndarray:
+        """The first `SLICE` powers."""
+        if base not in cls._made or len(cls._made[base]) < SLICE:
             powers = np.ones(1, np.uint64)
-            while len(powers) < n:
+            while len(powers) < SLICE:
                 step = np.uint64(pow(base, len(powers), int(PRIME)))
                 powers = np.concatenate((powers, powers * step % PRIME))
             cls._made[base] = powers
-        return powers
+        return cls._made[base]
+
+    @classmethod
+    def at(cls, base: int, places: np.ndarray) -> np.ndarray:
+        far = int(places.max(initial=0)) // SLICE
+        steps = np.array([pow(base, k * SLICE, int(PRIME)) for k in range(far + 1)], np.uint64)
+        return reduced(cls.of(base)[places % SLICE] * steps[places // SLICE])
 
 
 def reduced(x: np.ndarray) -> np.ndarray:
@@ -63,75 +76,93 @@ def reduced(x: np.ndarray) -> np.ndarray:
     return np.minimum(x, x - PRIME)  # below PRIME, the difference wraps around
 
 
+def _after(x: np.ndarray, base: int, places: int) -> np.ndarray:
+    """x times the power of `base` at a place."""
+    return reduced(x * np.uint64(pow(base, places, int(PRIME)))) if places else x
+
+
 class Prefixes:
-    """Prefix arrays of a text's code points."""
+    """Prefix arrays of a text's code points: four bytes each for each base."""
 
     def __init__(self, points: np.ndarray):
         self.n = len(points)
         self.sums = []
-        values = points.astype(np.uint64) + np.uint64(1)
         for base in BASES:
-            terms = reduced(values * Powers.of(base, self.n)[: self.n])
-            sums = np.zeros(self.n + 1, np.uint64)
-            np.cumsum(terms, out=sums[1:])  # below 2^31 times the length: no overflow
-            self.sums.append(reduced(sums))
-
-    def spliced(self, keep: int, following: Prefixes, taken: int) -> Prefixes:
-        """Of the first `keep` code points and then `taken` ones of another text."""
-        out = Prefixes.__new__(Prefixes)
-        out.n = keep + taken
-        out.sums = []
-        for base, sums, others in zip(BASES, self.sums, following.sums, strict=True):
-            shift = Powers.of(base, keep + 1)[keep]
-            tail = reduced(sums[keep : keep + 1] + reduced(others[1 : taken + 1] * shift))
-            out.sums.append(np.concatenate((sums[: keep + 1], tail)))
-        return out
+            sums = np.zeros(self.n + 1, np.uint32)
+            for a in range(0, self.n, SLICE):
+                values = points[a : a + SLICE].astype(np.uint64) + np.uint64(1)
+                terms = _after(reduced(values * Powers.of(base)[: len(values)]), base, a)
+                # Below 2^31 times a slice: no overflow.
+                sums[a + 1 : a + 1 + len(values)] = reduced(np.cumsum(terms, dtype=np.uint64) + sums[a])
+            self.sums.append(sums)
+
+    def value(self, which: int, place: int) -> int:
+        """Of the array of a base."""
+        return int(self.sums[which][place])
 
     def spans(self, start, size) -> np.ndarray:
         """Hashes of the spans of `size` code points from each start on."""
         start = np.asarray(start, np.int64)
         size = np.asarray(size, np.int64)
-        most = int(start.max()) + 1 if start.size else 1
         out = np.zeros(np.broadcast(start, size).shape, np.uint64)
         for base, sums in zip(BASES, self.sums, strict=True):
-            down = Powers.of(INVERSES[base], most)
-            one = reduced(reduced(sums[start + size] + PRIME - sums[start]) * down[start])
+            apart = reduced(sums[start + size].astype(np.uint64) + PRIME - sums[start])
+            one = reduced(apart * Powers.at(INVERSES[base], start))
             out = (out << np.uint64(31)) | one
         return out
 
-    def whole(self) -> int:
-        """Hash of the whole text."""
-        out = 0
-        for sums in self.sums:
-            out = out << 31 | int(sums[-1])
-        return out
-
-    def all_spans(self, size: int) -> np.ndarray:
-        """Hashes of all spans of `size` code points."""
+    def span_slices(self, size: int, stop: int | None = None):
+        """Hashes of the spans of `size` code points in order, of the first `stop` of them."""
         n = max(self.n - size + 1, 0)
-        out = np.zeros(n, np.uint64)
-        for base, sums in zip(BASES, self.sums, strict=True):
-            down = Powers.of(INVERSES[base], n)[:n]
-            one = reduced(reduced(sums[size:] + PRIME - sums[:n]) * down) if n else out
-            out = (out << np.uint64(31)) | one
-        return out
+        n = n if stop is None else min(n, max(stop, 0))
+        for a in range(0, n, SLICE):
+            b = min(a + SLICE, n)
+            out = np.zeros(b - a, np.uint64)
+            for base, sums in zip(BASES, self.sums, strict=True):
+                apart = reduced(sums[a + size : b + size].astype(np.uint64) + PRIME - sums[a:b])
+                one = reduced(apart * Powers.of(INVERSES[base])[: b - a])
+                out = (out << np.uint64(31)) | _after(one, INVERSES[base], a)
+            yield out
+
+
+class Spliced:
+    """Prefix arrays of the first `keep` code points of one text and `taken` ones of another, by
+    place: nothing is copied."""
+
+    def __init__(self, first: Prefixes, keep: int, second: Prefixes, taken: int):
+        self.first, self.keep, self.second = first, keep, second
+        self.n = keep + taken
+        self.shifts = [pow(base, keep, int(PRIME)) for base in BASES]
+
+    def value(self, which: int, place: int) -> int:
+        if place <= self.keep:
+            return self.first.value(which, place)
+        tail = self.second.value(which, place - self.keep) * self.shifts[which]
+        return (self.first.value(which, self.keep) + tail) % int(PRIME)
+
 
+def whole_hash(prefixes) -> int:
+    out = 0
+    for which in range(len(BASES)):
+        out = out << 31 | prefixes.value(which, prefixes.n)
+    return out
 
-def common_extension(a: Prefixes, at: int, b: Prefixes, to: int) -> int:
+
+def common_extension(a, at: int, b, to: int) -> int:
     """Longest common extension of place `at` in a and place `to` in b, by binary search.
 
     Spans are equal if their sums are, each shifted by the other's place."""
     prime = int(PRIME)
     sides = [
-        (x, int(x[at]), int(Powers.of(base, to + 1)[to]), y, int(y[to]), int(Powers.of(base, at + 1)[at]))
-        for base, x, y in zip(BASES, a.sums, b.sums, strict=True)
+        (which, a.value(which, at), pow(base, to, prime), b.value(which, to), pow(base, at, prime))
+        for which, base in enumerate(BASES)
     ]
     low, high = 0, min(a.n - at, b.n - to)
     while low < high:
         middle = (low + high + 1) // 2
         if all(
-            ((int(x[at + middle]) - x0) * up - (int(y[to + middle]) - y0) * other) % prime == 0
-            for x, x0, up, y, y0, other in sides
+            ((a.value(k, at + middle) - x0) * up - (b.value(k, to + middle) - y0) * other) % prime == 0
+            for k, x0, up, y0, other in sides
         ):
             low = middle
         else:
@@ -143,26 +174,34 @@ def code_points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
 
 
-def sketch(prefixes: Prefixes, hashes: np.ndarray, kept: int = KEPT) -> tuple[int, int, np.ndarray]:
-    """(code points, hash of the whole text, smallest of its spans' hashes)."""
-    n = prefixes.n
-    whole = prefixes.whole()
-    if not n:
-        return 0, whole, np.empty(0, np.uint64)
-    if not len(hashes):  # a text shorter than a span
-        hashes = spread(np.array([whole], np.uint64))
+def smallest(hashes: np.ndarray, kept: int) -> np.ndarray:
+    """The `kept` smallest different hashes, in order."""
     few = min(4 * kept, len(hashes))
     # Repeated spans may fill the smallest places: take more until enough differ.
     while True:
         some = np.unique(np.partition(hashes, few - 1)[:few] if few < len(hashes) else hashes)
         if len(some) >= kept or few == len(hashes):
-            return n, whole, some[:kept]
+            return some[:kept]
         few = min(4 * few, len(hashes))
 
 
+def sketch(prefixes, slices, kept: int = KEPT) -> tuple[int, int, np.ndarray]:
+    """(code points, hash of the whole text, smallest of its spans' hashes)."""
+    whole = whole_hash(prefixes)
+    least = np.empty(0, np.uint64)
+    if prefixes.n and prefixes.n < SPAN:
+        least = spread(np.array([whole], np.uint64))
+    for hashes in slices:
+        if len(least) == kept:
+            hashes = hashes[hashes < least[-1]]
+        if len(hashes):
+            least = np.unique(np.concatenate((least, smallest(hashes, kept))))[:kept]
+    return prefixes.n, whole, least
+
+
 def text_sketch(text: str) -> tuple[int, int, np.ndarray]:
     prefixes = Prefixes(code_points(text))
-    return sketch(prefixes, spread(prefixes.all_spans(SPAN)))
+    return sketch(prefixes, map(spread, prefixes.span_slices(SPAN)))
 
 
 def spread(h):
@@ -213,8 +252,17 @@ class Text:
 
     def __post_init__(self):
         self.prefixes = Prefixes(code_points(self.text))
-        self.hashes = spread(self.prefixes.all_spans(SPAN))
-        self.sketch = sketch(self.prefixes, self.hashes)
+        # Those of a text of one slice are kept, as they are needed up to three times.
+        self.kept = None
+        if self.prefixes.n <= SLICE:
+            self.kept = np.concatenate([np.empty(0, np.uint64), *self.hashes()])
+        self.sketch = sketch(self.prefixes, self.hashes())
+
+    def hashes(self, stop: int | None = None):
+        """Hashes of the first `stop` spans, in slices."""
+        if self.kept is not None:
+            return iter([self.kept[: None if stop is None else max(stop, 0)]])
+        return map(spread, self.prefixes.span_slices(SPAN, stop))
 
     def before(self, following: Text) -> tuple:
         """The result row of this text, if `following` is the next one.
@@ -225,14 +273,14 @@ class Text:
         changed = edited(self.text, following.text)
         keep = self.prefixes.n - self.prefixes.n // 3
         taken = len(changed) - keep
-        prefixes = self.prefixes.spliced(keep, following.prefixes, taken)
+        prefixes = Spliced(self.prefixes, keep, following.prefixes, taken)
         seam = Prefixes(code_points(changed[max(keep - SPAN + 1, 0) : keep + SPAN - 1]))
-        hashes = (
-            self.hashes[: max(keep - SPAN + 1, 0)],
-            spread(seam.all_spans(SPAN)),
-            following.hashes[: max(taken - SPAN + 1, 0)],
+        slices = chain(
+            self.hashes(keep - SPAN + 1),
+            map(spread, seam.span_slices(SPAN)),
+            following.hashes(taken - SPAN + 1),
         )
-        changed_sketch = sketch(prefixes, np.concatenate(hashes))
+        changed_sketch = sketch(prefixes, slices)
         return (
             self.doc_id,
             self.prefixes.n,

@@ -56,6 +56,34 @@ def test_spans_and_extensions():
             assert int(x.spans(i, n)) == plain_hash(a[i : i + n])
 
 
+@pytest.mark.parametrize("size", [1, 5, 16, 17, 100])
+def test_slices_change_nothing(monkeypatch, size):
+    rng = random.Random(size)
+    texts = ["".join(rng.choices("abc🙂", k=k)) for k in (0, 1, 15, 16, 17, 40, 100, 101, 333)] + ["aaaa" * 60]
+    whole = [text_prints.Text(0, 0, None, t) for t in texts]
+    want = [x.before(y) for x in whole for y in whole]
+    monkeypatch.setattr(text_prints, "SLICE", size)
+    monkeypatch.setattr(text_prints.Powers, "_made", {})
+    sliced = [text_prints.Text(0, 0, None, t) for t in texts]
+    assert [x.before(y) for x in sliced for y in sliced] == want
+    for t, x in zip(texts, sliced, strict=True):
+        found = x.prefixes.spans(np.arange(max(len(t) - 2, 0)), 3)
+        assert [int(h) for h in found] == [plain_hash(t[i : i + 3]) for i in range(max(len(t) - 2, 0))]
+
+
+def test_memory_of_a_long_text():
+    import tracemalloc
+
+    text_prints.text_sketch("warm " * 10)
+    text = "abcdefghij klmnop " * 300_000  # 5.4 million
+    tracemalloc.start()
+    one = text_prints.Text(0, 0, 1, text)
+    one.before(text_prints.Text(0, 0, 2, text[5:]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 35 * len(text) + (150 << 20)
+
+
 def brute(rows):
     from pyspark.sql import SparkSession
     from pyspark.sql import functions as F
