@@ -4,7 +4,7 @@ A byte-level BPE tokenizer splits a text before merging, and never between a vis
 and white space that follows it. So a text may be cut there (only before space, tab and line
 breaks after ASCII or two-byte letters, which no white space is among) and its chunks encoded on
 their own. Prose repeats its chunks: a worker keeps the ids of chunks of up to `MOST_BYTES` bytes
-in a table of `SLOTS` places, 35 MB whatever the texts are. A chunk has one place in it; another one
+in a table of `SLOTS` places, 18 MB whatever the texts are. A chunk has one place in it; another one
 takes that over only if the first hasn't been met again since the last attempt. Chunks are compared
 by their bytes, which two numbers hold as they are, and never by a hash.
 
@@ -25,7 +25,7 @@ import numpy as np
 
 from searchmill.llm.windows import BLOCK_MASKS, U64, blocks_at, mix, text_buffer
 
-SLOTS = 1 << 20
+SLOTS = 1 << 19
 MOST_BYTES = 15
 MOST_IDS = 8
 AT_ONCE = 1 << 16

@@ -197,11 +197,12 @@ def text_buffer(column) -> tuple[np.ndarray, np.ndarray]:
 
 def release() -> None:
     """Give freed memory back to the system: Python workers live on between tasks, and those of
-    an executor share its memory with the JVM."""
+    an executor share its memory with the JVM. Tables of powers are soon made again."""
     import ctypes
 
     import pyarrow as pa
 
+    Hasher._powers.clear()
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)

@@ -167,4 +167,4 @@ def test_a_text_longer_than_a_piece(encode):
         ids, to = encoder.encode(piece.column(0))
         got += [x.tolist() for x in np.split(ids, to[:-1])]
     assert got == [encode(t) for t in texts]
-    assert sum(x.nbytes for x in (encoder.low, encoder.high, encoder.size, encoder.met, encoder.ids)) <= 36 << 20
+    assert sum(x.nbytes for x in (encoder.low, encoder.high, encoder.size, encoder.met, encoder.ids)) <= 18 << 20
