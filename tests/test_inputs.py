@@ -40,3 +40,14 @@ def test_csv_exports_come_in_parts(spark, facts, tmp_path, monkeypatch):
     assert len({f.split("/")[-2] for f in files}) == 2 and len(files) > 4
     assert max(sum(1 for _ in open(f)) for f in files) < 40
     assert rows(export_facts(spark, str(tmp_path / "in"), "csv")) == rows(facts)
+
+
+def test_history_files_come_in_parts(spark, facts, tmp_path, monkeypatch):
+    monkeypatch.setattr(inputs, "PART_ROWS", 20)
+    history = facts.withColumn("id", F.monotonically_increasing_id())
+    columns = [*reversed(RAW_COLUMNS)]
+    inputs.write_history_text(history, str(tmp_path / "in"), columns)
+    files = glob.glob(f"{tmp_path}/in/*.csv")
+    assert len(files) > 4 and max(sum(1 for _ in open(f)) for f in files) < 40
+    read = read_history(spark, str(tmp_path / "in"))
+    assert sorted(map(str, read.select(*RAW_COLUMNS).collect())) == sorted(map(str, history.select(*RAW_COLUMNS).collect()))
