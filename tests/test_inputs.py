@@ -51,3 +51,27 @@ def test_history_files_come_in_parts(spark, facts, tmp_path, monkeypatch):
     assert len(files) > 4 and max(sum(1 for _ in open(f)) for f in files) < 40
     read = read_history(spark, str(tmp_path / "in"))
     assert sorted(map(str, read.select(*RAW_COLUMNS).collect())) == sorted(map(str, history.select(*RAW_COLUMNS).collect()))
+
+
+def test_sheets_are_made_by_more_tasks_if_there_are_more_facts(facts, monkeypatch):
+    monkeypatch.setattr(inputs, "PART_ROWS", 20)
+    wide = inputs.to_wide(facts)
+    assert wide.rdd.getNumPartitions() == 1 + facts.count() // 20
+    assert "pivotfirst" not in plan(wide)
+    got = {(r["Query"], r["Url"]): r for r in wide.collect()}
+    assert len(got) == 40
+    row = got['q "1", \\', "/4"]
+    assert row["2026-01-01_demand"] is None and row["2026-01-25_demand"] == 5 and row["2026-01-02_position"] == 0.5
+
+
+def test_lines_are_grouped_in_tasks_of_bounded_size(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(inputs, "PART_ROWS", 20)
+    lines = spark.range(200).selectExpr(
+        "id AS l_orderkey", "id % 90 AS l_partkey", "id % 9 AS l_suppkey", "CAST(1 AS int) AS l_linenumber",
+        "0.1D AS l_discount", "'A' AS l_returnflag", "'F' AS l_linestatus", "timestamp_ntz'1995-02-03' AS l_shipdate",
+    )
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    quarters = inputs.quarter_facts(spark, str(tmp_path))
+    assert plan(quarters).count("Exchange ") == 1
+    assert quarters.rdd.getNumPartitions() == 11 and quarters.count() == 90
+    assert quarters.agg(F.sum("demand")).first()[0] == 200
