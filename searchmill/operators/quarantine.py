@@ -15,6 +15,7 @@ from searchmill.schemas import COUNT_METRICS, FACT_COLUMNS, HISTORY_SCHEMA, METR
 
 REASON = "reason"
 TEXTS = {m: f"{m}_text" for m in METRICS}
+NUMBERS = {m: f"{m}_number" for m in METRICS}
 
 # Columns of a quarantine table; a bad row's metrics and date are kept as they were found.
 BAD_COLUMNS = ["dt", "query", "page_path", *METRICS, REASON, "source_file"]
@@ -33,28 +34,35 @@ def listed(reasons: list[Column]) -> Column:
     return F.nullif(F.concat_ws("; ", *reasons), F.lit(""))
 
 
-def metric_reasons(text: dict[str, Column]) -> list[Column]:
+def metric_reasons(text: dict[str, Column], number: dict[str, Column]) -> list[Column]:
     found = []
     for metric, cell in text.items():
-        number = cell.try_cast("double")
-        found.append(is_no(metric, cell, number, "no number"))
+        found.append(is_no(metric, cell, number[metric], "no number"))
         if metric in COUNT_METRICS:
             found.append(
                 F.when(
-                    number.isNotNull() & number.try_cast("int").isNull(),
+                    number[metric].isNotNull() & number[metric].try_cast("int").isNull(),
                     F.concat(F.lit(f"{metric}: '"), cell, F.lit("' is beyond INT")),
                 )
             )
     return found
 
 
-def read_metric(metric: str, cell: Column) -> Column:
+def read_metric(metric: str, number: Column) -> Column:
     """A metric as its final type, 0 for an empty or unreadable cell."""
-    number = cell.try_cast("double")
     kind = "int" if metric in COUNT_METRICS else "double"
     return F.coalesce(number.try_cast(kind), F.lit(0).cast(kind))
 
 
+def with_numbers(day: Column) -> Column:
+    """A day of text cells with its numbers beside them, null where there is none.
+
+    Each cell is tried once, here: a text that is no number costs as much as a hundred that are.
+    """
+    texts = [day[m].alias(m) for m in METRICS]
+    return F.struct(day["dt"].alias("dt"), *texts, *[day[m].try_cast("double").alias(NUMBERS[m]) for m in METRICS])
+
+
 def sheet_rows_to_checked(rows: DataFrame) -> DataFrame:
     """Facts of packed sheet rows with text cells, and what is wrong with them.
 
@@ -65,12 +73,16 @@ def sheet_rows_to_checked(rows: DataFrame) -> DataFrame:
     not; rows that can't be taken apart don't count.
     """
     nothing = F.lit(None).cast("string")
-    empty_day = F.struct(F.lit(None).cast("date").alias("dt"), *[nothing.alias(m) for m in METRICS])
+    empty_day = F.struct(
+        F.lit(None).cast("date").alias("dt"),
+        *[nothing.alias(m) for m in METRICS],
+        *[nothing.cast("double").alias(n) for n in NUMBERS.values()],
+    )
     packed = rows.withColumn(
         "days",
         F.when(F.col(REASON).isNotNull(), F.array(empty_day)).otherwise(
             # Days that can't be a fact nor be wrong go before the shuffle.
-            F.filter("days", lambda d: _matters(d))
+            F.filter(F.transform("days", with_numbers), _matters)
         ),
     )
     # Each row that can't be taken apart is the first of its own kind.
@@ -78,14 +90,15 @@ def sheet_rows_to_checked(rows: DataFrame) -> DataFrame:
     first = first_rows(packed.withColumn("_own", own), extra=["_own"])
     flat = first.select("source_file", "query", "page_path", F.col(REASON).alias("_row"), F.inline("days"))
     texts = {m: F.col(m) for m in METRICS}
+    numbers = {m: F.col(n) for m, n in NUMBERS.items()}
     checked = flat.select(
         "source_file",
         "dt",
         "query",
         "page_path",
-        *[read_metric(m, F.col(m)).alias(m) for m in METRICS],
+        *[read_metric(m, numbers[m]).alias(m) for m in METRICS],
         *[F.col(m).alias(TEXTS[m]) for m in METRICS],
-        F.coalesce(F.col("_row"), listed(metric_reasons(texts))).alias(REASON),
+        F.coalesce(F.col("_row"), listed(metric_reasons(texts, numbers))).alias(REASON),
     )
     return checked.where(
         F.col(REASON).isNotNull() | any_positive(*[F.col(m) for m in COUNT_METRICS])
@@ -93,11 +106,8 @@ def sheet_rows_to_checked(rows: DataFrame) -> DataFrame:
 
 
 def _matters(day: Column) -> Column:
-    def number(metric: str) -> Column:
-        return day[metric].try_cast("double")
-
-    wrong = [day[m].isNotNull() & number(m).isNull() for m in METRICS]
-    carries = [F.coalesce(F.abs(number(m)) >= 1, F.lit(False)) for m in COUNT_METRICS]
+    wrong = [day[m].isNotNull() & day[NUMBERS[m]].isNull() for m in METRICS]
+    carries = [F.coalesce(F.abs(day[NUMBERS[m]]) >= 1, F.lit(False)) for m in COUNT_METRICS]
     return any_of([*wrong, *carries])
 
 

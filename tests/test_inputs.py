@@ -75,3 +75,27 @@ def test_lines_are_grouped_in_tasks_of_bounded_size(spark, tmp_path, monkeypatch
     assert plan(quarters).count("Exchange ") == 1
     assert quarters.rdd.getNumPartitions() == 11 and quarters.count() == 90
     assert quarters.agg(F.sum("demand")).first()[0] == 200
+
+
+def test_year_sheets_evaluate_the_facts_once(spark, facts, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    facts = facts.withColumn("query", F.lit("q"))
+    three = facts.unionByName(facts.withColumn("dt", F.add_months("dt", 12))).unionByName(
+        facts.withColumn("dt", F.add_months("dt", 24))
+    )
+    inputs.write_bad_year_sheets(three.mapInPandas(count, SCHEMA), str(tmp_path / "in"))
+    assert seen.value == three.count()
+    assert rows(export_facts(spark, str(tmp_path / "in"), "csv")) == rows(three)
+
+
+def test_cells_are_tried_once(spark, facts, tmp_path):
+    inputs.write_bad_year_sheets(facts, str(tmp_path / "in"))
+    sheet = read_wide_csv(spark, str(tmp_path / "in"), strict=False)
+    text = quarantine.sheet_rows_to_checked(sheet)._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("as double") == 4  # one for each metric
