@@ -99,3 +99,20 @@ def test_cells_are_tried_once(spark, facts, tmp_path):
     sheet = read_wide_csv(spark, str(tmp_path / "in"), strict=False)
     text = quarantine.sheet_rows_to_checked(sheet)._jdf.queryExecution().optimizedPlan().toString()
     assert text.count("as double") == 4  # one for each metric
+
+
+def test_rows_are_staged_and_numbered_in_tasks_of_bounded_size(spark, facts, mart, tmp_path, monkeypatch):
+    monkeypatch.setattr(keys, "SORT_ROWS", 20)
+    staged = keys.stage_ordered(facts, str(tmp_path / "staged"))
+    parts = staged.counts.select("part").distinct().count()
+    assert parts > 3 and staged.rows.count() == facts.count()
+    splits = []
+    names = switch.file_names
+    monkeypatch.setattr(switch, "file_names", lambda s, f: splits.append(s.conf.get(switch.SPLIT)) or names(s, f))
+    before = spark.conf.get(switch.SPLIT)
+    append_facts(facts, mart)
+    state = switch.begin_load(spark, mart.raw)
+    switch.write_dates(read_raw(spark, mart), state, RAW_COLUMNS)
+    assert splits[-1] == str(switch.TASK_BYTES) and spark.conf.get(switch.SPLIT) == before
+    # Files are counted by hash; min and max of their paths would be a sort.
+    assert "SortAggregate" not in plan(keys.number_table(current_table(spark, mart.raw)))
