@@ -57,7 +57,7 @@ def read_metric(metric: str, number: Column) -> Column:
 def with_numbers(day: Column) -> Column:
     """A day of text cells with its numbers beside them, null where there is none.
 
-    Each cell is tried once, here: a text that is no number costs as much as a hundred that are.
+    Each cell is tried once, here: a text that is no number costs an exception.
     """
     texts = [day[m].alias(m) for m in METRICS]
     return F.struct(day["dt"].alias("dt"), *texts, *[day[m].try_cast("double").alias(NUMBERS[m]) for m in METRICS])
