@@ -8,9 +8,11 @@ What two documents share is found through windows of `width` units (words or byt
    them other blocks have too. An anchor is sent once per block however often it occurs.
 3. Segments under shared anchors are sent to the shards of a search method, which says which of
    their windows start in an earlier document. Equal segments of a block are sent once, for
-   their first document; the later ones are covered anyhow. Where more than `HOT` segments lie
-   under one anchor, their windows are dealt one by one, so a passage that a third of all
-   documents hold doesn't meet in one shard.
+   their first document; the later ones are covered anyhow. Where more segments lie under one
+   anchor than a shard should hold (see `Units.hot`), the windows of those that are sent are dealt
+   one by one, so a passage that a third of all documents hold doesn't meet in one shard. A shard
+   collapses equal segments again, and searches those whose anchor different segments of different
+   documents have, some `SEARCH_UNITS` at a time: others share no window.
 4. Each block cuts the covered units out of its documents.
 
 All steps are shuffles by block or shard; blocks and shards are sized by the number of bytes,
@@ -39,6 +41,7 @@ from searchmill.llm.tables import join_counted, parts, rows_and_bytes, written
 from searchmill.llm.windows import (
     BASES,
     U64,
+    PLACE_BITS,
     Hasher,
     byte_values,
     segments,
@@ -52,6 +55,7 @@ from searchmill.llm.windows import (
 BLOCK_BYTES = 4 << 20
 ANCHOR_SHARD_BYTES = 16 << 20
 SHARD_BYTES = 4 << 20
+SEARCH_UNITS = 1 << 20
 HOT = 1024
 LOW = U64(0xFFFFFFFF)
 
@@ -63,12 +67,16 @@ class Units:
     `read(data, ends)` gives (values, unit ends, state): `values(index)` the units' 64-bit values
     at a slice or an array of places, and `state[0]` the units as they are sent. `keep(data,
     ends, unit ends, state, mask)` gives the text of the units in the mask as (bytes, ends).
+    An anchor is hot with more than `hot` times `HOT` segments: about a megabyte. Windows that are
+    dealt one by one take some ten times what their segments take, so fewer shouldn't count as many:
+    the number of segments under an anchor grows with the input, and ever more anchors would be hot.
     """
 
     read: Callable
     keep: Callable
     dtype: type
     kept_type: T.DataType
+    hot: int = 1
 
 
 def _read_bytes(data, ends):
@@ -81,7 +89,7 @@ def _keep_bytes(data, ends, unit_ends, state, kept):
     return data[kept], so_far[ends]
 
 
-BYTES = Units(_read_bytes, _keep_bytes, np.uint8, T.BinaryType())
+BYTES = Units(_read_bytes, _keep_bytes, np.uint8, T.BinaryType(), hot=16)
 
 
 def _words(inside: np.ndarray, in_place: bool) -> Units:
@@ -168,17 +176,6 @@ class Block:
         return np.unique(self.ranks(copy["doc"].to_numpy(), copy["hash"].to_numpy()))
 
 
-def _unique(*keys: np.ndarray):
-    """(order, first of each group in it) of rows grouped by `keys`."""
-    order = np.lexsort(keys[::-1])
-    new = np.zeros(len(order), bool)
-    new[:1] = True
-    for key in keys:
-        sorted_key = key[order]
-        new[1:] |= sorted_key[1:] != sorted_key[:-1]
-    return order, np.flatnonzero(new)
-
-
 def runs(values: np.ndarray) -> list[tuple[int, int]]:
     """(from, to) of the runs of equal values."""
     cut = np.flatnonzero(values[1:] != values[:-1]) + 1
@@ -186,11 +183,23 @@ def runs(values: np.ndarray) -> list[tuple[int, int]]:
 
 
 def _within(values: np.ndarray, known: np.ndarray) -> np.ndarray:
-    """Whether each value is in the sorted array `known`."""
-    if not len(known):
-        return np.zeros(len(values), bool)
-    at = np.minimum(np.searchsorted(known, values), len(known) - 1)
-    return known[at] == values
+    """Whether each value is in the sorted array `known`. The lower bits of the values are random."""
+    found = np.zeros(len(values), bool)
+    if len(known):
+        low = U64((1 << min(22, 4 + len(known).bit_length())) - 1)
+        seen = np.zeros(int(low) + 1, bool)
+        seen[known & low] = True
+        some = np.flatnonzero(seen[values & low])
+        at = np.minimum(np.searchsorted(known, values[some]), len(known) - 1)
+        found[some] = known[at] == values[some]
+    return found
+
+
+def _repeated(values: np.ndarray) -> np.ndarray:
+    """Places of the values that are there more than once."""
+    ordered = np.sort(values)
+    again = ordered[1:][ordered[1:] == ordered[:-1]]
+    return np.flatnonzero(_within(values, again))
 
 
 SIDE = "block long, kind int, doc long, hash long, shard long, keys binary, hot binary"
@@ -198,8 +207,29 @@ COVER = "block long, row binary, start binary, n binary, echoes binary"
 FOUND = (
     "shard long, block long, doc binary, row binary, start binary, size binary, units binary, echoes binary"
 )
-MOST_COUNTED = 2 * HOT
-"""Segments of a block under one anchor are counted up to here: more than `HOT` are many anyhow."""
+MOST_COUNTED = 1 << 15
+"""Segments of a block under one anchor are counted up to here: as many are hot anyhow."""
+MOST_LISTED = 1 << 30
+
+
+def _lists(values: np.ndarray, cuts: np.ndarray) -> pa.ChunkedArray:
+    """Binary values of the bytes between each two cuts, which are places in `values`."""
+    raw = np.ascontiguousarray(values).view(np.uint8)
+    ends = np.asarray(cuts, np.int64) * values.itemsize
+    chunks, at = [], 0
+    while at < len(ends) - 1 or not chunks:
+        to = max(int(np.searchsorted(ends, ends[at] + MOST_LISTED, "right")) - 1, min(at + 1, len(ends) - 1))
+        buffers = [None, pa.py_buffer((ends[at : to + 1] - ends[at]).astype(np.int32)), pa.py_buffer(raw[ends[at] : ends[to]])]
+        chunks.append(pa.Array.from_buffers(pa.binary(), to - at, buffers))
+        at = to
+    return pa.chunked_array(chunks, pa.binary())
+
+
+def _cuts(values: np.ndarray) -> np.ndarray:
+    """Where runs of equal values begin, and the end."""
+    if not len(values):
+        return np.zeros(1, np.int64)
+    return np.concatenate(([0], np.flatnonzero(values[1:] != values[:-1]) + 1, [len(values)]))
 
 
 def _anchors_of(units: Units, width: int, gram: int, n_shards: int):
@@ -207,88 +237,103 @@ def _anchors_of(units: Units, width: int, gram: int, n_shards: int):
         block = Block(docs, units)
         _, _, values, unit_ends, _ = block.read(block.first_copies(side))
         found = [anchor for *_, anchor in segments(values, unit_ends, width, gram)]
-        anchors = np.concatenate(found) if found else np.empty(0, U64)
-        shard, key = (anchors >> U64(32)) % U64(n_shards), (anchors & LOW).astype(np.uint32)
-        order, first = _unique(shard, key)
-        count = np.minimum(np.diff(np.append(first, len(order))), MOST_COUNTED).astype(np.uint16)
-        shard, key = shard[order][first], key[order][first]
-        cut = runs(shard)
+        anchors = np.sort(_dealt(np.concatenate(found) if found else np.empty(0, U64), n_shards))
+        cuts = _cuts(anchors)
+        count = np.minimum(np.diff(cuts), MOST_COUNTED).astype(np.uint16)
+        anchors = anchors[cuts[:-1]]
+        shard = anchors >> U64(32)
+        cuts = _cuts(shard)
         number = docs["block"][0].as_py() if docs.num_rows else 0
         return pa.table(
             {
-                "shard": pa.array([int(shard[a]) for a, _ in cut], pa.int64()),
-                "block": pa.array([number] * len(cut), pa.int64()),
-                "keys": pa.array([key[a:b].tobytes() for a, b in cut], pa.binary()),
-                "counts": pa.array([count[a:b].tobytes() for a, b in cut], pa.binary()),
+                "shard": pa.array(shard[cuts[:-1]].astype(np.int64), pa.int64()),
+                "block": pa.array(np.full(len(cuts) - 1, number), pa.int64()),
+                "keys": _lists((anchors & LOW).astype(np.uint32), cuts),
+                "counts": _lists(count, cuts),
             }
         )
 
     return run
 
 
-def _shared_anchors(table: pa.Table) -> pa.Table:
-    """What each block of a shard hears: its anchors that other blocks have too, and hot ones."""
-    data, ends = text_buffer(table["keys"])
-    keys = np.frombuffer(data.tobytes(), np.uint32)
-    counts = np.frombuffer(text_buffer(table["counts"])[0].tobytes(), np.uint16)
-    ends = ends // 4
-    order = np.argsort(keys, kind="stable")
-    new = np.ones(len(keys), bool)
-    new[1:] = keys[order][1:] != keys[order][:-1]
-    group = np.cumsum(new) - 1
-    many = np.bincount(group) >= 2 if len(keys) else np.empty(0, bool)
-    total = np.bincount(group, weights=counts[order])
-    is_shared, is_hot = np.empty(len(keys), bool), np.empty(len(keys), bool)
-    is_shared[order] = many[group]
-    is_hot[order] = (total > HOT)[group]
-    told, hot = [], []
-    for i in range(table.num_rows):
-        a, b = (ends[i - 1] if i else 0), ends[i]
-        told.append(keys[a:b][is_shared[a:b]].tobytes())
-        hot.append(keys[a:b][is_hot[a:b]].tobytes())
-    return pa.table(
-        {
-            "block": table["block"],
-            "kind": pa.array([1] * table.num_rows, pa.int32()),
-            "doc": pa.nulls(table.num_rows, pa.int64()),
-            "hash": pa.nulls(table.num_rows, pa.int64()),
-            "shard": table["shard"],
-            "keys": pa.array(told, pa.binary()),
-            "hot": pa.array(hot, pa.binary()),
-        }
-    )
+def _dealt(anchor: np.ndarray, n_shards: int) -> np.ndarray:
+    """The shard of each anchor, and 32 bits of the anchor below."""
+    return ((anchor >> U64(32)) % U64(n_shards) << U64(32)) | (anchor & LOW)
+
+
+def _shared_anchors(hot: int):
+    """What each block of a shard hears: its anchors that other blocks have too, and those with
+    more than `hot` segments."""
+
+    def run(table: pa.Table) -> pa.Table:
+        data, ends = text_buffer(table["keys"])
+        keys = np.frombuffer(data.tobytes(), np.uint32)
+        counts = np.frombuffer(text_buffer(table["counts"])[0].tobytes(), np.uint16)
+        ends = np.concatenate(([0], ends // 4))
+        order = np.argsort(keys)
+        cuts = _cuts(keys[order])
+        size = np.diff(cuts)
+        total = np.add.reduceat(counts[order], cuts[:-1], dtype=np.int64) if len(keys) else np.empty(0, np.int64)
+        is_shared, is_hot = np.empty(len(keys), bool), np.empty(len(keys), bool)
+        is_shared[order] = np.repeat(size >= 2, size)
+        is_hot[order] = np.repeat(total > hot, size)
+
+        def told(mask):
+            return _lists(keys[mask], np.concatenate(([0], np.cumsum(mask)))[ends])
+
+        return pa.table(
+            {
+                "block": table["block"],
+                "kind": pa.array(np.ones(table.num_rows, np.int32), pa.int32()),
+                "doc": pa.nulls(table.num_rows, pa.int64()),
+                "hash": pa.nulls(table.num_rows, pa.int64()),
+                "shard": table["shard"],
+                "keys": told(is_shared),
+                "hot": told(is_hot),
+            }
+        )
+
+    return run
 
 
 def _told(side: pa.Table, column: str) -> np.ndarray:
     """Sorted (shard, key) numbers that a block has heard."""
     rows = side.filter(pc.equal(side["kind"], 1))
-    got = [
-        (U64(shard) << U64(32)) | np.frombuffer(keys, np.uint32).astype(U64)
-        for shard, keys in zip(rows["shard"].to_pylist(), rows[column].to_pylist(), strict=True)
-    ]
-    return np.sort(np.concatenate(got)) if got else np.empty(0, U64)
+    data, ends = text_buffer(rows[column])
+    shard = np.repeat(rows["shard"].to_numpy().astype(U64), np.diff(ends // 4, prepend=0))
+    return np.sort((shard << U64(32)) | np.frombuffer(data.tobytes(), np.uint32).astype(U64))
 
 
-def _packed(number: int, dest, doc, row, place, size, source, start) -> list[dict]:
+def _packed(number: int, dest, doc, row, place, size, source, start) -> pa.Table:
     """A row per shard with the segments that go there; `start` are their places in `source`."""
     order = np.argsort(dest, kind="stable")
-    return [
+    cuts = _cuts(dest[order])
+    size = size[order]
+    ends = np.concatenate(([0], np.cumsum(size)))[cuts]
+    n = len(cuts) - 1
+    return pa.table(
         {
-            "shard": int(dest[at[0]]),
-            "block": number,
-            "doc": doc[at].astype(np.int64).tobytes(),
-            "row": row[at].astype(np.int32).tobytes(),
-            "start": place[at].astype(np.int32).tobytes(),
-            "size": size[at].astype(np.int32).tobytes(),
-            "units": source[_places(start[at], size[at])].tobytes(),
-        }
-        for at in (order[a:b] for a, b in runs(dest[order]))
-    ]
+            "shard": pa.array(dest[order][cuts[:-1]].astype(np.int64), pa.int64()),
+            "block": pa.array(np.full(n, number), pa.int64()),
+            "doc": _lists(doc[order].astype(np.int64), cuts),
+            "row": _lists(row[order].astype(np.int32), cuts),
+            "start": _lists(place[order].astype(np.int32), cuts),
+            "size": _lists(size.astype(np.int32), cuts),
+            "units": _lists(_gathered(source, start[order], size), ends),
+            "echoes": pa.nulls(n, pa.binary()),
+        },
+        schema=FOUND_ARROW,
+    )
 
 
-def _repeats(start, count, row, h1, h2):
+def _repeats(start, count, row, h1, h2, anchor):
     """(a segment of each content and document, echoes): the others' places as progressions
     (which of the first, its place, its windows, first place, step, number). Starts ascend."""
+    # Equal segments have equal anchors: most have their own, and are only passed on.
+    some = _repeated(anchor)
+    alone = np.ones(len(anchor), bool)
+    alone[some] = False
+    start, count, row, h1, h2 = (x[some] for x in (start, count, row, h1, h2))
     # One sort; of equal keys by chance, the segments would merely be sent more than once.
     order = np.argsort(mix(h1 + row.astype(U64) * U64(BASES[0])), kind="stable")
     new = np.zeros(len(order), bool)
@@ -305,7 +350,8 @@ def _repeats(start, count, row, h1, h2):
     at = np.flatnonzero(begins)
     which = which[again][at]
     echoes = (which, start[once][which], count[once][which], place[again][at], step[at])
-    return once, np.stack((*echoes, np.diff(np.append(at, len(again)))), 1).astype(np.int64)
+    echoes = np.stack((*echoes, np.diff(np.append(at, len(again)))), 1).astype(np.int64)
+    return np.concatenate((some[once], np.flatnonzero(alone))), echoes
 
 
 def _echoed(row, start, n, echoes, width: int):
@@ -343,6 +389,19 @@ def _places(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.arange(int(to[-1]) if len(to) else 0) + np.repeat(start - (to - size), size)
 
 
+def _gathered(source: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The spans of `source`, one after the other."""
+    to = np.cumsum(size)
+    out = np.empty(int(to[-1]) if len(to) else 0, source.dtype)
+    at = 0
+    while at < len(to):
+        begin = int(to[at] - size[at])
+        end = max(int(np.searchsorted(to, begin + (1 << 20), "right")), at + 1)
+        out[begin : int(to[end - 1])] = source[_places(start[at:end], size[at:end])]
+        at = end
+    return out
+
+
 def _segments_of(units: Units, width: int, gram: int, n_anchor_shards: int, n_shards: int):
     def run(docs: pa.Table, side: pa.Table) -> pa.Table:
         block = Block(docs, units)
@@ -357,7 +416,7 @@ def _segments_of(units: Units, width: int, gram: int, n_anchor_shards: int, n_sh
             end = start + count + width - 1
             row = np.searchsorted(unit_ends, start + a, "right")
             h1, h2 = hasher.spans(start, end), other.spans(start, end)
-            once, again = _repeats(start + a, count, row, h1, h2)
+            once, again = _repeats(start + a, count, row, h1, h2, anchor)
             again[:, 0] += n_got
             echoes.append(again)
             got.append(tuple(x[once] for x in (start + a, count, row, anchor, h1, h2)))
@@ -370,15 +429,15 @@ def _segments_of(units: Units, width: int, gram: int, n_anchor_shards: int, n_sh
         echoes = np.concatenate(echoes)
 
         # Shared: another block has the anchor, or another document of this one.
-        full = ((anchor >> U64(32)) % U64(n_anchor_shards) << U64(32)) | (anchor & LOW)
+        full = _dealt(anchor, n_anchor_shards)
         shared = _within(full, told)
-        order = np.argsort(full, kind="stable")
-        new = np.ones(len(order), bool)
-        new[1:] = full[order][1:] != full[order][:-1]
-        if len(order):
-            at = np.flatnonzero(new)
+        some = _repeated(full)
+        if len(some):
+            order = some[np.argsort(full[some])]
+            cuts = _cuts(full[order])
+            at = cuts[:-1]
             mixed = np.minimum.reduceat(row[order], at) != np.maximum.reduceat(row[order], at)
-            shared[order] |= mixed[np.cumsum(new) - 1]
+            shared[order] |= np.repeat(mixed, np.diff(cuts))
         echoes = echoes[shared[echoes[:, 0]]]
         if len(echoes):
             echoes[:, [1, 3]] -= begins[row[echoes[:, 0]], None]
@@ -386,58 +445,80 @@ def _segments_of(units: Units, width: int, gram: int, n_anchor_shards: int, n_sh
         start, count, row, h1, h2 = (x[shared] for x in (start, count, row, h1, h2))
         full, anchor = full[shared], anchor[shared]
         dest = (full ^ (anchor >> U64(17))) % U64(n_shards)
+        doc = block.doc[firsts[row]] if len(row) else np.empty(0, np.int64)
+
+        # Equal segments: the first document's are sent, the later ones are covered.
+        sent, later = _first_holders(h1, h2, count, doc)
+        covered = [(row[later], start[later], count[later])]
+        start, count, row, h1, h2, dest, doc = (x[sent] for x in (start, count, row, h1, h2, dest, doc))
 
-        # Windows of hot anchors go one by one, by their own content.
-        is_hot = _within(full, hot)
+        # Windows of hot anchors go one by one, by their own content; equal ones likewise.
+        is_hot = _within(full[sent], hot)
         if is_hot.any():
-            times = np.where(is_hot, count, 1)
-            each = np.repeat(np.arange(len(count)), times)
-            step = np.arange(len(each)) - np.repeat(np.cumsum(times) - times, times)
-            start, row, dest = start[each] + step, row[each], dest[each]
-            h1, h2 = h1[each], h2[each]
-            count = np.where(is_hot, 1, count)[each]
-            single = is_hot[each]
-            one = np.flatnonzero(single)
-            for low in range(0, len(one), 1 << 15):
-                some = one[low : low + (1 << 15)]
-                grid = values(start[some, None] + np.arange(width))
-                for seed, target in ((0, h1), (1, h2)):
+            some = np.flatnonzero(is_hot)
+            each = np.repeat(some, count[some])
+            to = np.cumsum(count[some])
+            one = start[each] + np.arange(len(each)) - np.repeat(to - count[some], count[some])
+            single1, single2 = np.empty(len(each), U64), np.empty(len(each), U64)
+            for low in range(0, len(each), 1 << 15):
+                grid = values(one[low : low + (1 << 15), None] + np.arange(width))
+                for seed, target in ((0, single1), (1, single2)):
                     up, _ = Hasher.powers(seed, width)
-                    target[some] = mix((grid * up[:width]).sum(1, dtype=U64))
-            dest[single] = (h1[single] ^ (h2[single] >> U64(7))) % U64(n_shards)
+                    target[low : low + (1 << 15)] = mix((grid * up[:width]).sum(1, dtype=U64))
+            single_dest = (single1 ^ (single2 >> U64(7))) % U64(n_shards)
+            windows = np.ones(len(each), np.int64)
+            first, later = _first_holders(single1, single2, windows, doc[each])
+            covered.append((row[each[later]], one[later], windows[later]))
+            each, one, rest = each[first], one[first], np.flatnonzero(~is_hot)
+            start, count, row, dest, doc = (
+                np.concatenate((x[rest], y))
+                for x, y in (
+                    (start, one), (count, windows[first]), (row, row[each]),
+                    (dest, single_dest[first]), (doc, doc[each]),
+                )
+            )
 
-        # Equal segments: the first document's are sent, the later ones are covered.
-        doc = block.doc[firsts[row]] if len(row) else np.empty(0, np.int64)
-        order, first = _unique(h1, h2, count, doc)
-        o1, o2, o3 = h1[order], h2[order], count[order]
-        same = np.zeros(len(order), bool)
-        same[1:] = (o1[1:] == o1[:-1]) & (o2[1:] == o2[:-1]) & (o3[1:] == o3[:-1])
-        heads = np.flatnonzero(~same)
-        least = np.repeat(doc[order][heads], np.diff(np.append(heads, len(order))))
-        later = doc[order] > least
-        sent, covered = order[~later], order[later]
-        place = start - begins[row] if len(row) else start
         rows = _packed(
-            number, dest[sent], doc[sent], firsts[row[sent]], place[sent],
-            count[sent] + width - 1, state[0], start[sent],
+            number, dest, doc, firsts[row], start - begins[row], count + width - 1, state[0], start
         )
-        rows.append(
-            {
-                "shard": number % n_shards,  # passes through that shard as it is
-                "block": number,
-                "doc": None,
-                "row": firsts[row[covered]].astype(np.int32).tobytes(),
-                "start": place[covered].astype(np.int32).tobytes(),
-                "size": count[covered].astype(np.int32).tobytes(),
-                "units": None,
-                "echoes": echoes.astype(np.int32).tobytes(),
-            }
-        )
-        return pa.Table.from_pylist(rows, FOUND_ARROW)
+        row, start, count = (np.concatenate(x) for x in zip(*covered, strict=True))
+        known = {
+            "shard": number % n_shards,  # passes through that shard as it is
+            "block": number,
+            "row": firsts[row].astype(np.int32).tobytes(),
+            "start": (start - begins[row]).astype(np.int32).tobytes(),
+            "size": count.astype(np.int32).tobytes(),
+            "echoes": echoes.astype(np.int32).tobytes(),
+        }
+        return pa.concat_tables([rows, pa.Table.from_pylist([known], FOUND_ARROW)])
 
     return run
 
 
+def _by_content(h1: np.ndarray, h2: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order, cuts of it) of segments grouped by their content."""
+
+    def cut(order):
+        new = np.ones(len(order) + 1, bool)
+        new[1:-1] = False
+        for key in (h1, h2, size):
+            new[1:-1] |= key[order][1:] != key[order][:-1]
+        return order, np.flatnonzero(new) if len(order) else np.zeros(1, np.int64)
+
+    order, cuts = cut(np.argsort(h1, kind="stable"))
+    if (h1[order[cuts[1:-1]]] == h1[order[cuts[1:-1] - 1]]).any():  # by chance, of different contents
+        order, cuts = cut(np.lexsort((size, h2, h1)))
+    return order, cuts
+
+
+def _first_holders(h1, h2, size, doc) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the segments of the smallest document that has each content, and of the others."""
+    order, cuts = _by_content(h1, h2, size)
+    least = np.minimum.reduceat(doc[order], cuts[:-1]) if len(order) else doc
+    later = doc[order] > np.repeat(least, np.diff(cuts))
+    return order[~later], order[later]
+
+
 FOUND_ARROW = pa.schema(
     [("shard", pa.int64()), ("block", pa.int64())]
     + [(c, pa.binary()) for c in ("doc", "row", "start", "size", "units", "echoes")]
@@ -457,7 +538,51 @@ class Found:
     doc: np.ndarray  # the first holder of each
 
 
-def _search(method: Callable, units: Units, width: int):
+def _anchor_bits(found: Found, width: int, gram: int) -> np.ndarray:
+    """The upper bits of each segment's anchor: the least of its first window's grams, and as well
+    of any other of its windows (see `windows.segments`)."""
+    table = byte_values(0)
+    end = found.start + found.size
+    out = np.empty(len(end), U64)
+    at = 0
+    while at < len(end):
+        to = max(int(np.searchsorted(end, found.start[at] + (1 << 18), "right")), at + 1)
+        a, b = int(found.start[at]), int(end[to - 1])
+        values = found.units[a:b]
+        grams = Hasher(table[values] if values.dtype == np.uint8 else values).grams(gram) >> PLACE_BITS
+        window = (found.start[at:to] - a)[:, None] + np.arange(width - gram + 1)
+        out[at:to] = grams[window].min(1)
+        at = to
+    return out
+
+
+def _searched(found: Found, method: Callable, width: int, gram: int):
+    """`method` of the segments that may share a window with one of another document."""
+    key = _anchor_bits(found, width, gram)
+    order = np.argsort(key, kind="stable")
+    cuts = _cuts(key[order])
+    out = [(np.empty(0, np.int64),) * 3]
+    if len(order):
+        # Equal windows have equal anchors; different segments of one window are different windows.
+        at, doc = cuts[:-1], found.doc[order]
+        asked = np.minimum.reduceat(doc, at) < np.maximum.reduceat(doc, at)
+        asked &= np.maximum.reduceat(found.size[order], at) > width
+        n = np.diff(cuts)
+        order, n = order[np.repeat(asked, n)], n[asked]
+        to = np.cumsum(found.size[order])
+        begin = to - found.size[order]
+        total = int(to[-1]) if len(to) else 0
+        n_pieces = parts(total, SEARCH_UNITS)
+        pieces = np.repeat(begin[np.cumsum(n) - n] * n_pieces // max(total, 1), n)
+        for a, b in runs(pieces):
+            taken, size = order[a:b], found.size[order[a:b]]
+            part = Found(_gathered(found.units, found.start[taken], size), begin[a:b] - begin[a], size, found.doc[taken])
+            segment, window, count = method(part, width)
+            out.append((taken[segment], window, count))
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+
+
+def _search(method: Callable, units: Units, width: int, gram: int):
     """`method(Found, width)` gives (segment, first window, n windows) that start in a document
     before the segment's first holder."""
 
@@ -479,18 +604,14 @@ def _search(method: Callable, units: Units, width: int):
         to = np.cumsum(size)
         begin = to - size
         h1, h2 = _content(data, begin, to)
-        order, first = _unique(h1, h2, size, doc)
-        same = np.zeros(len(order), bool)
-        a, b, c = h1[order], h2[order], size[order]
-        same[1:] = (a[1:] == a[:-1]) & (b[1:] == b[:-1]) & (c[1:] == c[:-1])
-        heads = np.flatnonzero(~same)
+        order, cuts = _by_content(h1, h2, size)
         segment = np.empty(len(order), np.int64)
-        segment[order] = np.cumsum(~same) - 1
-        taken = order[heads]
+        segment[order] = np.repeat(np.arange(len(cuts) - 1), np.diff(cuts))
+        taken = order[cuts[:-1]]
         sizes = size[taken]
-        ends2 = np.cumsum(sizes)
-        found = Found(data[_places(begin[taken], sizes)], ends2 - sizes, sizes, doc[taken])
-        hit, at, n = method(found, width)
+        first = np.minimum.reduceat(doc[order], cuts[:-1]) if len(order) else doc
+        found = Found(_gathered(data, begin[taken], sizes), np.cumsum(sizes) - sizes, sizes, first)
+        hit, at, n = _searched(found, method, width, gram)
 
         later = np.flatnonzero(doc > found.doc[segment])
         early = np.flatnonzero(doc == found.doc[segment])
@@ -498,24 +619,24 @@ def _search(method: Callable, units: Units, width: int):
         low = np.searchsorted(segment[early], hit, "left")
         times = np.searchsorted(segment[early], hit, "right") - low
         each = np.repeat(np.arange(len(hit)), times)
-        holder = early[np.repeat(low, times) + np.arange(len(each)) - np.repeat(np.cumsum(times) - times, times)]
+        holder = early[_places(low, times)]
         who = np.concatenate((later, holder))
         window = np.concatenate((np.zeros(len(later), np.int64), at[each]))
         count = np.concatenate((size[later] - width + 1, n[each]))
         order = np.argsort(block[who], kind="stable")
         who, window, count = who[order], window[order], count[order]
-        out = [
+        cuts = _cuts(block[who])
+        out = pa.table(
             {
-                "block": int(block[who[a]]),
-                "row": row[who[a:b]].astype(np.int32).tobytes(),
-                "start": (place[who[a:b]] + window[a:b]).astype(np.int32).tobytes(),
-                "n": count[a:b].astype(np.int32).tobytes(),
-            }
-            for a, b in runs(block[who])
-        ]
-        return pa.concat_tables(
-            [known.rename_columns(COVER_ARROW.names).cast(COVER_ARROW), pa.Table.from_pylist(out, COVER_ARROW)]
+                "block": pa.array(block[who[cuts[:-1]]], pa.int64()),
+                "row": _lists(row[who].astype(np.int32), cuts),
+                "start": _lists((place[who] + window).astype(np.int32), cuts),
+                "n": _lists(count.astype(np.int32), cuts),
+                "echoes": pa.nulls(len(cuts) - 1, pa.binary()),
+            },
+            schema=COVER_ARROW,
         )
+        return pa.concat_tables([known.rename_columns(COVER_ARROW.names).cast(COVER_ARROW), out])
 
     return run
 
@@ -648,11 +769,11 @@ def cut_shared(
         released(_anchors_of(units, width, gram, n_anchor_shards)),
         "shard long, block long, keys binary, counts binary",
     )
-    told = anchors.groupBy("shard").applyInArrow(released(_shared_anchors), SIDE)
+    told = anchors.groupBy("shard").applyInArrow(released(_shared_anchors(HOT * units.hot)), SIDE)
     found = blocks.cogroup(copy_side.unionByName(told).groupBy("block")).applyInArrow(
         released(_segments_of(units, width, gram, n_anchor_shards, n_shards)), FOUND
     )
-    covers = found.groupBy("shard").applyInArrow(released(_search(method, units, width)), COVER)
+    covers = found.groupBy("shard").applyInArrow(released(_search(method, units, width, gram)), COVER)
     cut_side = covers.select(
         "block", F.lit(2).alias("kind"), F.lit(None).cast("long").alias("doc"),
         F.lit(None).cast("long").alias("hash"), "row", "start", "n", "echoes",

@@ -38,12 +38,10 @@ def smaller_than_next(s: np.ndarray) -> np.ndarray:
 def _place(sa, symbol, entries, border, step):
     """Put `entries` at the borders of their symbols' buckets, in order; moves the borders."""
     order = np.argsort(symbol, kind="stable")
-    sorted_symbol = symbol[order]
-    cut = np.flatnonzero(np.append(True, sorted_symbol[1:] != sorted_symbol[:-1]))
-    count = np.diff(np.append(cut, len(order)))
-    within = np.arange(len(order)) - np.repeat(cut, count)
-    sa[border[sorted_symbol] + step * within] = entries[order]
-    border[sorted_symbol[cut]] += step * count
+    count = np.bincount(symbol, minlength=len(border))
+    first = border - step * (np.cumsum(count) - count)  # as if the symbol's entries began at 0
+    sa[first[symbol[order]] + np.arange(0, step * len(order), step)] = entries[order]
+    border += step * count
 
 
 def induce(s: np.ndarray, smaller: np.ndarray, lms: np.ndarray, n_symbols: int) -> np.ndarray:
@@ -117,7 +115,8 @@ def name_substrings(s: np.ndarray, smaller: np.ndarray, lms: np.ndarray, order:
 def by_doubling(names: np.ndarray) -> np.ndarray:
     """Suffix array of a string of many different names."""
     n, rank, step = len(names), names.astype(np.int64) + 1, 1
-    order = np.argsort(rank, kind="stable")
+    few = rank.max() < 1 << 16  # sorted by their digits
+    order = np.argsort(rank.astype(np.uint16) if few else rank, kind="stable")
     while True:
         ordered = rank[order]
         tied = np.zeros(n, bool)
@@ -131,7 +130,7 @@ def by_doubling(names: np.ndarray) -> np.ndarray:
         after = np.zeros(len(live), np.int64)
         ok = live + step < n
         after[ok] = rank[live[ok] + step]
-        again = np.lexsort((after, rank[live]))
+        again = np.argsort(rank[live] * (n + 1) + after)
         order[at] = live[again]
         # New ranks are places of the first of equals, so they stay below the next group's.
         key, nxt = rank[live[again]], after[again]
@@ -161,7 +160,9 @@ def suffix_array(s: np.ndarray, n_symbols: int) -> np.ndarray:
         is_lms = np.zeros(len(s), bool)
         is_lms[lms] = True
         sorted_lms = sa[is_lms[sa]]
-        order = np.searchsorted(lms, sorted_lms)
+        place = np.empty(len(s), np.int32)
+        place[lms] = np.arange(len(lms))
+        order = place[sorted_lms]
         names, n_names = name_substrings(s, smaller, lms, order)
         if n_names < len(lms):
             lms = lms[suffix_array(names, n_names)]
@@ -171,7 +172,9 @@ def suffix_array(s: np.ndarray, n_symbols: int) -> np.ndarray:
 
 
 def common_prefixes(data: np.ndarray, sa: np.ndarray, most: int) -> np.ndarray:
-    """For each suffix in text order: common prefix with the one before it in `sa`, up to `most`."""
+    """For each suffix in text order: common prefix with the one before it in `sa`, up to `most`.
+
+    `sa` may be some of the suffixes in order; others get 0."""
     n = len(data)
     before = np.full(n, -1, np.int64)
     before[sa[1:]] = sa[:-1]
@@ -203,7 +206,6 @@ def equal_strings(found: Found, width: int):
     segment = np.repeat(np.arange(len(start)), found.size)
     text[np.arange(len(found.units)) + segment] = found.units
     sa = suffix_array(text, 256)
-    prefix = common_prefixes(text, sa, width)
     windows = np.zeros(len(text) + 1, np.int64)  # places where a window starts
     np.add.at(windows, start, 1)
     np.add.at(windows, start + found.size - width + 1, -1)
@@ -211,7 +213,7 @@ def equal_strings(found: Found, width: int):
     owner = np.repeat(np.arange(len(start)), found.size + 1)
 
     at = sa[begins[sa]]
-    new = prefix[at] < width
+    new = common_prefixes(text, at, width)[at] < width
     new[0] = True
     doc = found.doc[owner[at]]
     least = np.minimum.reduceat(doc, np.flatnonzero(new))[np.cumsum(new) - 1]

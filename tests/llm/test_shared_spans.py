@@ -189,6 +189,94 @@ def test_runs_send_little(units, gram, texts):
     assert 0 < sent.nbytes < sum(map(len, texts)) / 10
 
 
+def told(anchors, hot):
+    """What a block hears if others have all its anchors, and all are hot."""
+    n = anchors.num_rows
+    nulls = pa.nulls(n, pa.int64())
+    return pa.table(
+        {
+            "kind": pa.array([1] * n, pa.int32()), "block": anchors["block"], "doc": nulls, "hash": nulls,
+            "shard": anchors["shard"], "keys": anchors["keys"],
+            "hot": anchors["keys"] if hot else pa.array([b""] * n),
+        }
+    )
+
+
+@pytest.mark.parametrize("units, gram", [(shared_spans.BYTES, 24), (shared_spans.WORDS, 10)])
+def test_common_segments_are_covered_whole(units, gram):
+    """A passage under hot anchors is dealt by windows for its first document only."""
+    rng = random.Random(11)
+    passage, n = prose(rng, 600), 300
+    docs, side = one_block([f"{prose(rng, 3)} {passage} {prose(rng, 3)}" for _ in range(n)])
+    anchors = shared_spans._anchors_of(units, 50, gram, 1)(docs, side)
+    sent = shared_spans._segments_of(units, 50, gram, 1, 1)(docs, told(anchors, hot=True))
+    covered = [x for x in sent.to_pylist() if x["units"] is None]
+    n_windows = len(octets(passage) if units is shared_spans.BYTES else words(passage)) - 49
+    assert 0 < sum(len(x["row"]) // 4 for x in covered) < n * n_windows / 4
+
+
+def test_hot_anchors_are_counted_by_the_bytes_under_them():
+    """Ten thousand segments of some 60 bytes fit a shard; as many of 70 words of eight bytes don't."""
+    key, count = np.uint32([5]).tobytes(), np.uint16([1000]).tobytes()
+    table = pa.table({"shard": [0] * 10, "block": list(range(10)), "keys": [key] * 10, "counts": [count] * 10})
+    for units, hot in ((shared_spans.BYTES, b""), (shared_spans.WORDS, key)):
+        heard = shared_spans._shared_anchors(shared_spans.HOT * units.hot)(table)
+        assert heard["keys"].to_pylist() == [key] * 10
+        assert heard["hot"].to_pylist() == [hot] * 10
+
+
+@pytest.mark.parametrize(
+    "units, gram, method",
+    [(shared_spans.BYTES, 24, suffix_dedup.equal_strings), (shared_spans.WORDS, 10, substring_dedup.factor)],
+)
+def test_search_of_what_may_be_shared(monkeypatch, units, gram, method):
+    """Segments that all their documents have alike aren't searched; those that differ are, in pieces."""
+    rng = random.Random(13)
+    common, lines = prose(rng, 300), [prose(rng, 70) for _ in range(30)]
+    texts = [f"{common} {' '.join(rng.sample(lines, 3))} {prose(rng, 9)}" for _ in range(60)]
+    docs, side = one_block(texts)
+    data = np.frombuffer(common.encode(), np.uint8)
+    inside = units.read(data, np.array([len(data)]))[2][0]
+    middle = inside[len(inside) // 2 :][:50].tobytes()
+    anchors = shared_spans._anchors_of(units, 50, gram, 1)(docs, side)
+    found = []
+    for b in range(3):  # three blocks, which all hear of all anchors
+        part = docs.filter(pa.array([i % 3 == b for i in range(len(texts))]))
+        part = part.set_column(0, "block", pa.array([b] * part.num_rows))
+        found.append(shared_spans._segments_of(units, 50, gram, 1, 1)(part, told(anchors, hot=False)))
+    found = pa.concat_tables(found)
+    sent = sum(len(x or b"") for x in found["units"].to_pylist())
+    assert middle in b"".join(x or b"" for x in found["units"].to_pylist())
+    results = []
+    for most in (1 << 20, 1000):
+        monkeypatch.setattr(shared_spans, "SEARCH_UNITS", most)
+        seen = []
+
+        def spy(some, width, seen=seen):
+            seen.append(some)
+            return method(some, width)
+
+        covers = shared_spans._search(spy, units, 50, gram)(found)
+        of = [[np.frombuffer(x[c] or b"", np.int32).tolist() for c in ("row", "start", "n")] for x in covers.to_pylist()]
+        results.append(sorted(zip(covers["block"].to_pylist(), (sorted(zip(*x, strict=True)) for x in of), strict=True)))
+        whole = np.concatenate([x.units for x in seen]).tobytes()
+        assert 0 < len(whole) < sent * 0.7
+        assert middle not in whole
+        assert len(seen) == 1 if most > 1000 else len(seen) > 3
+    assert results[0] == results[1]
+
+
+@pytest.mark.parametrize("operator, split, joined", CASES)
+def test_all_anchors_hot(spark, monkeypatch, operator, split, joined):
+    monkeypatch.setattr(shared_spans, "HOT", 0)
+    for name in ("BLOCK_BYTES", "ANCHOR_SHARD_BYTES", "SHARD_BYTES"):
+        monkeypatch.setattr(shared_spans, name, 2000)
+    rng = random.Random(17)
+    lines = [prose(rng, n) for n in (12, 60, 75)]
+    texts = [" ".join(rng.choice([*lines, prose(rng, 8), "w " * 60]) for _ in range(5)) for _ in range(40)]
+    check(spark, operator, split, joined, list(enumerate(texts)))
+
+
 @pytest.mark.parametrize("operator, split, joined", CASES)
 def test_long_runs(spark, operator, split, joined):
     """Ten million bytes of one unit, beyond slices and blocks; what is left follows from the rule."""
